@@ -1,0 +1,71 @@
+"""Gaussian naive Bayes in closed form: one aggregate to learn, one expression to score."""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..functions.columns import as_number, col
+from ..functions.sampling import MAX_CLASSES
+
+# Fixed value: the share of the largest variance that is added to every variance.
+SMOOTHING = 1e-9
+
+
+@dataclass(frozen=True)
+class GaussianBayes:
+    columns: tuple[str, ...]
+    classes: tuple
+    prior: tuple[float, ...]
+    mean: tuple[tuple[float, ...], ...]
+    variance: tuple[tuple[float, ...], ...]
+
+    def _log_likelihood(self, df: DataFrame, i: int) -> Column:
+        total = F.lit(math.log(self.prior[i]))
+        for j, c in enumerate(self.columns):
+            v = self.variance[i][j]
+            d = as_number(df, c) - F.lit(self.mean[i][j])
+            total = total - F.lit(0.5 * math.log(2.0 * math.pi * v)) - d * d / F.lit(2.0 * v)
+        return total
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Adds ``prediction`` and ``probability`` (array in the order of ``classes``)."""
+        joint = F.array(*[self._log_likelihood(df, i) for i in range(len(self.classes))])
+        work = df.withColumn("_joint", joint).withColumn("_top", F.array_max("_joint"))
+        grown = F.transform("_joint", lambda v: F.exp(v - F.col("_top")))
+        total = F.aggregate("_grown", F.lit(0.0), lambda a, v: a + v)
+        names = F.array(*[F.lit(c) for c in self.classes])
+        best = F.array_position("_joint", F.col("_top")).cast("int")
+        return (
+            work.withColumn("_grown", grown)
+            .withColumn("_total", total)
+            .withColumn("prediction", F.element_at(names, best))
+            .withColumn("probability", F.transform("_grown", lambda v: v / F.col("_total")))
+            .drop("_joint", "_top", "_grown", "_total")
+        )
+
+
+def fit_gaussian_bayes(train: DataFrame, columns: list[str], label: str) -> GaussianBayes:
+    """Per class mean and population variance of every column, from one aggregate."""
+    work = train.select(
+        col(label).alias("_y"), *[as_number(train, c).alias(f"_x{i}") for i, c in enumerate(columns)]
+    )
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i in range(len(columns)):
+        aggs += [F.avg(f"_x{i}").alias(f"m{i}"), F.var_pop(f"_x{i}").alias(f"v{i}")]
+    rows = work.groupBy("_y").agg(*aggs).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"`{label}` has more than {MAX_CLASSES} classes.")
+    overall = work.agg(*[F.var_pop(f"_x{i}") for i in range(len(columns))]).first()
+    extra = SMOOTHING * max(overall)
+    rows.sort(key=lambda r: r["_y"])
+    total = sum(r["n"] for r in rows)
+    return GaussianBayes(
+        tuple(columns),
+        tuple(r["_y"] for r in rows),
+        tuple(r["n"] / total for r in rows),
+        tuple(tuple(r[f"m{i}"] for i in range(len(columns))) for r in rows),
+        tuple(tuple(r[f"v{i}"] + extra for i in range(len(columns))) for r in rows),
+    )
