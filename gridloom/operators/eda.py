@@ -28,7 +28,9 @@ def bin_index(x: Column, lo: float, width: float, bins: int) -> Column:
     """Equal-width bin of a value; the largest value belongs to the last bin."""
     if width == 0:
         return F.when(x.isNotNull(), F.lit(0))
-    return F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    # least() skips NULLs, so a missing value has to be kept out of it.
+    place = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
+    return F.when(x.isNotNull(), place).cast("int")
 
 
 def histogram(df: DataFrame, x: str, bins: int = DEFAULT_BINS) -> DataFrame:
