@@ -1,4 +1,4 @@
 """All named queries. Importing the modules registers them."""
 
-from . import charts, cleaning, engineering, profiling, tables  # noqa: F401
+from . import charts, cleaning, engineering, profiling, scoring, tables  # noqa: F401
 from ._registry import ORACLES, QUERIES  # noqa: F401

@@ -202,21 +202,22 @@ def cln13(spark, sf):
 @query(
     "cln14_missing_guard",
     f"""
-    WITH {DIRTY} SELECT 'l_discount' AS "column", count(*) - count(l_discount) AS missing FROM dirty
-    UNION ALL SELECT 'l_quantity', count(*) - count(l_quantity) FROM dirty
+    WITH {DIRTY} SELECT 'l_discount' AS "column", count(*) > count(l_discount) AS refused, count(l_discount) AS filled FROM dirty
+    UNION ALL SELECT 'l_quantity', count(*) > count(l_quantity), count(l_quantity) FROM dirty
     """,
 )
 def cln14(spark, sf):
-    """The guard must refuse the column with holes and let the other one pass."""
-    df = dirty(spark, sf)
-    rows = []
+    """Which columns the guard refuses to scale, next to their filled cells."""
+    df, result = dirty(spark, sf), None
     for c in ("l_discount", "l_quantity"):
         try:
             clean.missing_guard(df, [c], "scale")
-            rows.append(df.agg(F.count(F.when(F.lit(False), 1)).alias("missing")).withColumn("column", F.lit(c)))
+            refused = False
         except ValueError:
-            rows.append(df.agg(F.count(F.when(F.col(c).isNull(), 1)).alias("missing")).withColumn("column", F.lit(c)))
-    return rows[0].unionByName(rows[1])
+            refused = True
+        row = df.agg(F.lit(c).alias("column"), F.lit(refused).alias("refused"), F.count(c).alias("filled"))
+        result = row if result is None else result.unionByName(row)
+    return result
 
 
 def split_sql(source: str, key: str, seed: int = 42) -> str:

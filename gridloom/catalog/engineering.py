@@ -36,10 +36,10 @@ def fe2(spark, sf):
     return fe.create_numeric_feature(df, "l_extendedprice", "l_quantity", "ratio", "unit_price")
 
 
-@query("fe3_log", f"SELECT {KEYS}, l_extendedprice, round(ln(l_extendedprice), 10) AS l_extendedprice_log FROM lineitem")
+@query("fe3_log", f"SELECT {KEYS}, l_extendedprice, round(ln(l_extendedprice), 6) AS l_extendedprice_log FROM lineitem")
 def fe3(spark, sf):
     df = fe.apply_math_transform(lines(spark, sf, "l_extendedprice"), ["l_extendedprice"], "log")
-    return rnd(df, 10, "l_extendedprice_log")
+    return rnd(df, 6, "l_extendedprice_log")
 
 
 @query("fe4_sqrt", f"SELECT {KEYS}, l_quantity, sqrt(l_quantity) AS l_quantity_sqrt FROM lineitem")
@@ -126,7 +126,7 @@ def fe11(spark, sf):
     """
     SELECT p_partkey, a, b, a * a AS a_pow2, a * b AS a_x_b, b * b AS b_pow2, a * a * a AS a_pow3,
         a * a * b AS a_pow2_x_b, a * b * b AS a_x_b_pow2, b * b * b AS b_pow3
-    FROM (SELECT p_partkey, p_size AS a_int, p_size::DOUBLE AS a, p_retailprice AS b FROM part)
+    FROM (SELECT p_partkey, p_size::DOUBLE AS a, p_retailprice AS b FROM part)
     """,
 )
 def fe12(spark, sf):

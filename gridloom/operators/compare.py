@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import col, existing
 from ..models.one_vs_rest import in_parallel
@@ -86,10 +86,19 @@ def compare_regressors(
     return _compare(df, features, target, names, params, keys, test_size, random_state, False, False, preparer)
 
 
-def best_model(table: DataFrame) -> DataFrame:
-    """The first by accuracy then F1, or by R2; of equal ones the first by name."""
+def _by_merit(table: DataFrame) -> list:
     order = ["accuracy", "f1"] if "accuracy" in table.columns else ["r2"]
-    return table.orderBy(*[F.desc(c) for c in order], "model").limit(1).select("model")
+    return [*[F.desc(c) for c in order], F.asc("model")]
+
+
+def ranked(table: DataFrame) -> DataFrame:
+    """Adds ``place``: accuracy then F1, or R2; equal ones by name. One row per model."""
+    place = F.row_number().over(Window.orderBy(*_by_merit(table))).cast("bigint")
+    return table.withColumn("place", place)
+
+
+def best_model(table: DataFrame) -> DataFrame:
+    return table.orderBy(*_by_merit(table)).limit(1).select("model")
 
 
 def metrics_long(table: DataFrame) -> DataFrame:
