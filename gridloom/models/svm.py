@@ -26,7 +26,7 @@ FOURIER_FEATURES = 256
 LANDMARKS = 128
 CALIBRATION_FOLDS = 3
 POLY_DEGREE = 3
-_MAX_ITER = 100
+_MAX_ITER = 50
 
 
 def _scale_gamma(train: DataFrame) -> tuple[float, int]:
@@ -129,24 +129,33 @@ def fit_svm(train: DataFrame, classes: list, kernel: str = "rbf", c: float = 1.0
         learner = LinearSVC(maxIter=_MAX_ITER, regParam=1.0 / (c * n), standardization=False)
         return learner.fit(rows)
 
-    def one(index: int):
+    def fit_one(job: tuple[int, int | None]):
+        index, left_out = job
         rows = binary_label(mapped, index)
+        return machine(rows if left_out is None else rows.filter(F.col("_fold") != left_out))
+
+    def curve(index: int) -> tuple[float, float]:
+        """A logistic curve over margins of rows that the machine had not seen."""
         unseen = None
         for fold in range(CALIBRATION_FOLDS):
-            model = machine(rows.filter(F.col("_fold") != fold))
-            part = model.transform(rows.filter(F.col("_fold") == fold)).select(
+            held = binary_label(mapped.filter(F.col("_fold") == fold), index)
+            part = machines[index, fold].transform(held).select(
                 array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features"), "label"
             )
             unseen = part if unseen is None else unseen.unionByName(part)
-        curve = LogisticRegression(maxIter=_MAX_ITER, regParam=0.0, family="binomial").fit(unseen)
-        return machine(rows), (float(curve.coefficients[0]), float(curve.intercept))
+        fitted = LogisticRegression(maxIter=_MAX_ITER, regParam=0.0, family="binomial").fit(unseen)
+        return float(fitted.coefficients[0]), float(fitted.intercept)
 
+    positives = [1] if len(classes) == 2 else list(range(len(classes)))
+    jobs = [(i, fold) for i in positives for fold in (None, *range(CALIBRATION_FOLDS))]
     try:
-        fitted = in_parallel(one, [1] if len(classes) == 2 else list(range(len(classes))))
+        machines = dict(zip(jobs, in_parallel(fit_one, jobs)))
+        curves = in_parallel(curve, positives)
     finally:
         mapped.unpersist()
-    single = kernel == "linear" and len(fitted) == 1
+    models = [machines[i, None] for i in positives]
+    single = kernel == "linear" and len(models) == 1
     return SupportVectors(
-        feature_map, [m for m, _ in fitted], [p for _, p in fitted],
-        np.asarray(fitted[0][0].coefficients.toArray()) if single else None,
+        feature_map, models, curves,
+        np.asarray(models[0].coefficients.toArray()) if single else None,
     )

@@ -12,6 +12,7 @@ from ..operators.clean import drop_missing_target
 from ..operators.prepare import FeatureTable, fit_features
 from ..operators.profile import MAX_TARGET_CLASSES, type_name
 from ..operators.split import SPLIT, TEST, TRAIN, assign_folds, split_train_test
+from .one_vs_rest import in_parallel
 from .registry import fit_model
 
 # Classes a model can be trained for: each has a slot in the probability array.
@@ -39,7 +40,8 @@ def validate_classification_target(df: DataFrame, target: str) -> DataFrame:
         )
     return seen.filter("c is not null").select(
         F.col("c").cast("string").alias("class"), F.col("n").alias("count"),
-        F.lit(facts["classes"]).alias("n_classes"), F.lit(facts["missing"]).alias("missing"),
+        F.lit(facts["classes"]).cast("bigint").alias("n_classes"),
+        F.lit(facts["missing"]).cast("bigint").alias("missing"),
         F.lit(type_name(dtype)).alias("data_type"),
     )
 
@@ -97,16 +99,33 @@ def _row_key(keys: list[str] | None, columns: list[str]) -> Column:
 
 @dataclass
 class Trained:
-    """A fitted model with the scored table: ``keys, split, actual, predicted[, probability]``."""
+    """A fitted model and its prepared rows. Each side is scored only when it is asked for.
+
+    Scored tables hold ``keys, split, actual, predicted`` and, for classifiers,
+    ``probability``. Persist them when several reports are made from one.
+    """
 
     model: object
     features: FeatureTable
     classes: list | None
-    scored: DataFrame
+    rows: DataFrame
+    keep: list[str]
+
+    def _side(self, side: str) -> DataFrame:
+        rows = self.rows.filter(F.col(SPLIT) == side)
+        return _finish(self.model.score(rows), self.keep, self.classes)
+
+    @property
+    def train(self) -> DataFrame:
+        return self._side(TRAIN)
 
     @property
     def test(self) -> DataFrame:
-        return self.scored.filter(F.col(SPLIT) == TEST)
+        return self._side(TEST)
+
+    @property
+    def scored(self) -> DataFrame:
+        return _finish(self.model.score(self.rows), self.keep, self.classes)
 
     @property
     def metrics(self) -> DataFrame:
@@ -124,7 +143,7 @@ class Trained:
 
     @property
     def predictions(self) -> DataFrame:
-        kept = [c for c in self.scored.columns if c not in ("actual", "predicted", SPLIT)]
+        kept = [c for c in self.keep if c != SPLIT]
         return metrics.prediction_frame(self.test, "actual", "predicted", kept)
 
     @property
@@ -200,7 +219,7 @@ def _train(df, features, target, model, params, keys, test_size, seed, stratify,
     keep = [*(keys or []), SPLIT]
     table, rows = prepare_rows(split, features, target, keys, classes, train_rows, keep, preparer)
     fitted = fit_model(model, rows.filter(train_rows), classes, params, seed)
-    return Trained(fitted, table, classes, _finish(fitted.score(rows), keep, classes))
+    return Trained(fitted, table, classes, rows, keep)
 
 
 def train_classifier(
@@ -229,16 +248,17 @@ def cross_validate(
     df = drop_missing_target(df, target)
     classify = task == "classification"
     folds = assign_folds(df, keys, n_folds, random_state, target if classify else None)
-    rows = []
-    for fold in range(n_folds):
+    classes = class_list(df, target) if classify else None
+
+    def one(fold: int) -> tuple[int, float]:
         inside = F.col("fold") != fold
-        classes = class_list(folds, target) if classify else None
         _, data = prepare_rows(folds, features, target, keys, classes, inside, ["fold"], preparer)
         fitted = fit_model(model, data.filter(inside), classes, params, random_state)
         held = _finish(fitted.score(data.filter(~inside)), ["fold"], classes)
         if classify:
-            score = held.agg(F.avg((F.col("actual") == F.col("predicted")).cast("double"))).first()[0]
-        else:
-            score = metrics.regression_metrics(held).first()["r2"]
-        rows.append((fold, float(score)))
+            hit = (F.col("actual") == F.col("predicted")).cast("double")
+            return fold, float(held.agg(F.avg(hit)).first()[0])
+        return fold, float(metrics.regression_metrics(held).first()["r2"])
+
+    rows = in_parallel(one, list(range(n_folds)))
     return df.sparkSession.createDataFrame(rows, "fold int, score double")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import as_number, categorical_columns, col, existing, is_numeric, rows_of
+from ..functions.columns import as_number, col, existing, is_numeric, rows_of
 from ..functions.ordering import WINDOW_ROWS, position_codes
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
 from .profile import value_counts
@@ -199,20 +199,24 @@ def remove_outliers(df: DataFrame, columns: list[str], threshold: float = OUTLIE
     return df.filter(~reduce(Column.__or__, [outside(df, c, lim) for c, lim in limits.items()]))
 
 
-def fit_categories(df: DataFrame, columns: list[str], limit: int) -> dict[str, list[str]]:
-    """Sorted distinct values of each column, as text. More than ``limit`` is an error."""
+def category_counts(df: DataFrame, columns: list[str], limit: int) -> dict[str, dict[str, int]]:
+    """Every value of each text column with its count. More than ``limit`` values is an error."""
     names = existing(df, columns)
     if not names:
         return {}
-    values = value_counts(df, names).select("column", "value")
-    rows = values.limit(limit * len(names) + 1).collect()
-    found: dict[str, list[str]] = {c: [] for c in names}
-    for r in rows:
-        found[r[0]].append(r[1])
+    rows = value_counts(df, names).limit(limit * len(names) + 1).collect()
+    found: dict[str, dict[str, int]] = {c: {} for c in names}
+    for c, value, n in rows:
+        found[c][value] = n
     wide = [c for c in names if len(found[c]) > limit]
     if wide or len(rows) > limit * len(names):
         raise ValueError(f"Too many distinct values to encode: {', '.join(wide or names)}.")
-    return {c: sorted(v) for c, v in found.items()}
+    return found
+
+
+def fit_categories(df: DataFrame, columns: list[str], limit: int) -> dict[str, list[str]]:
+    """Sorted distinct values of each column, as text."""
+    return {c: sorted(v) for c, v in category_counts(df, columns, limit).items()}
 
 
 def one_hot_columns(categories: dict[str, list[str]]) -> list[Column]:
@@ -324,7 +328,3 @@ def removed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     a = before.agg(F.count(F.lit(1)).alias("before")).withColumn("_one", one)
     b = after.agg(F.count(F.lit(1)).alias("kept_rows")).withColumn("_one", one)
     return a.join(b, "_one").select((F.col("before") - F.col("kept_rows")).alias("removed_rows"), "kept_rows")
-
-
-def non_numeric(df: DataFrame) -> list[str]:
-    return categorical_columns(df)

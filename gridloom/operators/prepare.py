@@ -12,8 +12,8 @@ from ..functions.columns import (
 )
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
 from .clean import (
-    MAX_ONE_HOT, apply_fill_values, apply_scaler, column_modes, fit_categories, fit_fill_values,
-    fit_scaler,
+    MAX_ONE_HOT, apply_fill_values, apply_scaler, category_counts, fit_categories,
+    fit_fill_values, fit_scaler,
 )
 
 # The category lists of a model's features are held on the driver.
@@ -140,10 +140,11 @@ class FeatureTable:
             raw = [f"_t{i}" for i in range(len(texts))]
             codes = [f"_i{i}" for i in range(len(texts))]
             hot = [f"_o{i}" for i in range(len(texts))]
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                list(self.categories.values()), inputCols=raw, outputCols=codes, handleInvalid="keep"
-            )
-            indexed = indexer.transform(wide)
+            indexed = wide
+            for source, code, labels in zip(raw, codes, self.categories.values()):
+                indexed = StringIndexerModel.from_labels(
+                    labels, inputCol=source, outputCol=code, handleInvalid="keep"
+                ).transform(indexed)
             # "keep" adds a last slot for unseen text; dropping it leaves all zeros there.
             encoder = OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True)
             wide = encoder.fit(indexed).transform(indexed)
@@ -165,21 +166,45 @@ def fit_features(
     """
     chosen = train.select(*map(col, existing(train, features)))
     numbers, texts = numeric_columns(chosen), categorical_feature_columns(chosen)
-    medians, _ = column_quantiles(chosen, numbers, [0.5], distinct_limit) if numbers else ({}, None)
-    medians = {c: m[0] for c, m in medians.items() if m[0] is not None}
-    scaler = {}
-    if medians:
-        filled = chosen.select(
-            *[F.coalesce(as_number(chosen, c), F.lit(m)).alias(c) for c, m in medians.items()]
-        )
-        scaler = fit_scaler(filled, list(medians))
-    modes = {c: m for c, m in column_modes(chosen, texts).items() if m is not None}
-    categories = fit_categories(chosen, list(modes), max_categories)
+    medians, scaler = _fit_numbers(chosen, numbers, distinct_limit) if numbers else ({}, {})
+    counts = category_counts(chosen, texts, max_categories)
+    counts = {c: found for c, found in counts.items() if found}
+    modes = {c: min(found, key=lambda v: (-found[v], v)) for c, found in counts.items()}
+    categories = {c: sorted(found) for c, found in counts.items()}
     if not (medians or categories):
         return None
     return FeatureTable(medians, scaler, modes, categories)
 
 
+def _fit_numbers(df: DataFrame, columns: list[str], distinct_limit: int):
+    """Medians, and mean and spread of the columns as they are once the holes are filled.
+
+    Filling m holes with the median moves mean and variance in a known way, so the table
+    is not read again after the medians are known.
+    """
+    extra = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(columns):
+        x = as_number(df, c)
+        extra += [
+            F.avg(x).alias(f"a{i}"), F.var_pop(x).alias(f"v{i}"),
+            (F.min(x) < F.max(x)).alias(f"varies{i}"),
+        ]
+    found, seen = column_quantiles(df, columns, [0.5], distinct_limit, extra)
+    medians, scaler = {}, {}
+    for i, c in enumerate(columns):
+        if found[c][0] is None:
+            continue
+        n, median = seen[f"_n{i}"], found[c][0]
+        holes = seen["rows"] - n
+        mean = (n * seen[f"a{i}"] + holes * median) / (n + holes)
+        variance = (
+            n * (seen[f"v{i}"] + (seen[f"a{i}"] - mean) ** 2) + holes * (median - mean) ** 2
+        ) / (n + holes)
+        medians[c] = median
+        scaler[c] = (mean, variance**0.5 if seen[f"varies{i}"] and variance > 0 else 1.0)
+    return medians, scaler
+
+
 def input_defaults(df: DataFrame, features: list[str], limit: int = 50,
                    distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
     """Defaults of a prediction form: the median of a number, the sorted values of a text."""
