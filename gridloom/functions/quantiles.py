@@ -1,9 +1,9 @@
 """Exact linear-interpolated quantiles that stay exact on tables of any size.
 
-``percentile`` keeps every distinct value of a group in one buffer, so it is used only
-where the number of distinct values is known to be small. Beyond that, a mergeable sketch
-brackets each wanted rank, a counting scan proves the bracket, and the bracket is narrowed
-until what is left inside is small enough to read exactly. No scan shuffles rows.
+Columns with a bounded number of distinct values are counted by value, and the counts
+(one row per distinct value) are ranked. For the others a mergeable sketch brackets each
+wanted rank, a counting scan proves the bracket, and the bracket is narrowed until what is
+left inside is small enough to read exactly. Those scans shuffle nothing but their sums.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .columns import as_number, col
-from .ordering import WINDOW_ROWS, estimate_rows, running_sums
+from .ordering import WINDOW_ROWS, running_sums
 
 DISTINCT_LIMIT = 250_000
 SKETCH = 10_000
+# Rows from which the first bracket is guessed; the guess is proved on all rows.
+GUESS_ROWS = 200_000_000
 
 
 @dataclass
@@ -43,7 +45,8 @@ def _neighbours(n: int, prob: float) -> tuple[int, int, float]:
 
 def _marks(rank: int, n: int, slack: float, sketch: int) -> list[float]:
     """The two fractions whose sketched values should enclose the rank."""
-    wide = slack * n / sketch + 1
+    noise = 3.0 / math.sqrt(GUESS_ROWS) if n > GUESS_ROWS else 0.0
+    wide = (slack / sketch + noise) * n + 1
     return [min(1.0, max(0.0, (rank + s * wide) / n)) for s in (-1, 1)]
 
 
@@ -81,15 +84,15 @@ def column_quantiles(
     ranks = {
         c: {r: _Rank(c, r) for p in probs for r in _neighbours(sizes[c], p)[:2]} for c in large
     }
-    aggs = [F.percentile(x[c], probs).alias(f"s{i}") for i, c in enumerate(small)]
+    if small:
+        result.update(_by_counts(df, x, small, sizes, probs))
+    if not large:
+        return result, head
+    aggs = []
     for i, c in enumerate(large):
         at = [m for r in ranks[c].values() for m in _marks(r.rank, sizes[c], r.slack, sketch)]
-        aggs.append(F.percentile_approx(x[c], at, sketch).alias(f"b{i}"))
-    if not aggs:
-        return result, head
+        aggs.append(F.percentile_approx(_guessed_from(x[c], sizes[c]), at, sketch).alias(f"b{i}"))
     row = df.agg(*aggs).first()
-    for i, c in enumerate(small):
-        result[c] = [float(v) for v in row[f"s{i}"]]
     for i, c in enumerate(large):
         for j, r in enumerate(ranks[c].values()):
             r.lo, r.hi = row[f"b{i}"][2 * j], row[f"b{i}"][2 * j + 1]
@@ -107,6 +110,46 @@ def column_quantiles(
     return result, head
 
 
+def _guessed_from(x: Column, n: int) -> Column:
+    """On huge columns the first guess reads a share of the values: it only has to be close."""
+    return x if n <= GUESS_ROWS else F.when(F.rand(0) < F.lit(GUESS_ROWS / n), x)
+
+
+def _by_counts(df, x, columns: list[str], sizes, probs) -> dict[str, list[float]]:
+    """Quantiles of columns with few distinct values: count by value, rank the counts."""
+    ids = [f"c{i}" for i in range(len(columns))]
+    melted = df.select(*[x[c].alias(i) for c, i in zip(columns, ids)]).unpivot([], ids, "id", "v")
+    counts = melted.filter("v is not null").groupBy("id", "v").agg(F.count("*").alias("k"))
+    upto = Window.partitionBy("id").orderBy("v")
+    ranked = counts.withColumn("upto", F.sum("k").over(upto))
+    wanted = F.create_map(
+        *[
+            cell
+            for c, i in zip(columns, ids)
+            for cell in (
+                F.lit(i),
+                F.array(*[F.lit(r) for p in probs for r in _neighbours(sizes[c], p)[:2]]),
+            )
+        ]
+    )
+    places = 2 * len(probs)
+    found = (
+        ranked.withColumn("at", F.element_at(wanted, F.col("id")))
+        .groupBy("id")
+        .agg(*[F.min(F.when(F.col("upto") > F.col("at")[j], F.col("v"))).alias(f"q{j}") for j in range(places)])
+        .collect()  # one row per column
+    )
+    result = {}
+    for row in found:
+        c = columns[int(row["id"][1:])]
+        result[c] = []
+        for j, p in enumerate(probs):
+            weight = _neighbours(sizes[c], p)[2]
+            low, high = row[f"q{2 * j}"], row[f"q{2 * j + 1}"]
+            result[c].append(float(low + (high - low) * weight))
+    return result
+
+
 def _count_brackets(df, x, open_: list[_Rank], sizes, distinct_limit: int) -> None:
     """One scan: where does each rank lie - on an end of its bracket, inside, or outside?"""
     aggs = []
@@ -173,44 +216,40 @@ def _read_brackets(df, x, ready: list[_Rank]) -> None:
 
 
 def grouped_quantiles(
-    df: DataFrame,
-    by: str,
-    value: str,
-    probs: list[float],
-    distinct_limit: int = DISTINCT_LIMIT,
-    window_rows: int = WINDOW_ROWS,
+    df: DataFrame, by: str, value: str, probs: list[float], window_rows: int = WINDOW_ROWS
 ) -> DataFrame:
-    """``by, n, q`` per non-null group; ``q`` is the array of exact quantiles."""
+    """``by, n, q`` per non-null group that has values; ``q`` is the array of exact quantiles.
+
+    Equal values of a group are added up before the shuffle, so no group is larger than its
+    number of distinct values; where even that may be too many for one task, the running
+    counts are taken over sorted slices.
+    """
     work = df.select(col(by).alias("g"), as_number(df, value).alias("v")).filter(
-        F.col("g").isNotNull()
+        "g is not null and v is not null"
     )
-    if work.agg(F.approx_count_distinct("v")).first()[0] <= distinct_limit:
-        return work.groupBy("g").agg(
-            F.count("v").alias("n"), F.percentile("v", probs).alias("q")
-        ).select(F.col("g").alias(by), "n", "q")
-
-    counts = work.filter("v is not null").groupBy("g", "v").agg(F.count("*").alias("k"))
-    running = running_sums(
-        counts, ["g"], ["v"], ["k"], estimate_rows(work, ["g", "v"]), window_rows
-    )
-    sizes = work.groupBy("g").agg(F.count("v").alias("n"))
+    counts = work.groupBy("g", "v").agg(F.count("*").alias("k"))
+    widest = work.agg(F.approx_count_distinct("v")).first()[0]
+    if widest <= window_rows:
+        group = Window.partitionBy("g")
+        ranked = counts.select(
+            "g", "v", F.sum("k").over(group.orderBy("v")).alias("cum_k"), F.sum("k").over(group).alias("n")
+        )
+    else:
+        sizes = work.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("n"))
+        running = running_sums(counts, ["g"], ["v"], ["k"], window_rows + 1, window_rows)
+        ranked = running.join(sizes, F.col("g") == F.col("g2"))
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     picks = []
-    for j, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        low = F.floor(at)
+    for j in range(len(probs)):
+        low = F.floor(at[j])
+        high = F.least(low + 1, F.col("n") - 1)
         picks += [
             F.min(F.when(F.col("cum_k") > low, F.col("v"))).alias(f"lo{j}"),
-            F.min(
-                F.when(F.col("cum_k") > F.least(low + 1, F.col("n") - 1), F.col("v"))
-            ).alias(f"hi{j}"),
+            F.min(F.when(F.col("cum_k") > high, F.col("v"))).alias(f"hi{j}"),
         ]
-    joined = running.join(sizes.select(F.col("g").alias("g2"), "n"), F.col("g") == F.col("g2"))
-    found = joined.groupBy("g").agg(*picks)
-    merged = sizes.join(found, "g", "left")
-    q = []
-    for j, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        q.append(F.col(f"lo{j}") + (F.col(f"hi{j}") - F.col(f"lo{j}")) * (at - F.floor(at)))
-    return merged.select(
-        F.col("g").alias(by), "n", F.when(F.col("n") > 0, F.array(*q)).alias("q")
-    )
+    found = ranked.groupBy("g", "n").agg(*picks)
+    q = [
+        F.col(f"lo{j}") + (F.col(f"hi{j}") - F.col(f"lo{j}")) * (at[j] - F.floor(at[j]))
+        for j in range(len(probs))
+    ]
+    return found.select(F.col("g").alias(by), "n", F.array(*q).alias("q"))

@@ -17,8 +17,10 @@ from .columns import col, require
 
 # Cuts are held on the driver: one per class and part.
 MAX_CLASSES = 10_000
-# Up to this many rows the hashes are counted one by one, beyond it by range first.
-FINE_ROWS = 1_000_000
+# Up to this many rows one counting pass looks at whole hashes; beyond it, ranges first.
+FINE_ROWS = 50_000
+# The hash is narrowed 12 bits at a time: 4,096 ranges per pass and class.
+_SHIFTS = (20, 8)
 
 
 def key_hash(keys: list[str], seed: int) -> Column:
@@ -70,8 +72,10 @@ def assign_parts(
     hashed = df.withColumn("_h", key_hash(keys, seed)).withColumn(
         "_c", F.lit(None).cast("string") if by is None else col(by)
     )
-    large = sum(sum(sizes) for sizes in parts.values()) > fine_rows
-    cuts = _find_cuts(hashed, keys, parts, large)
+    rows = sum(sum(sizes) for sizes in parts.values())
+    # Each pass leaves 1/4096 of the rows; the last one counts whole hashes.
+    shifts = [s for i, s in enumerate(_SHIFTS) if rows > fine_rows * 4096**i]
+    cuts = _find_cuts(hashed, keys, parts, shifts)
     placed = _place(hashed, keys, parts, cuts, by is None, name)
     torn: dict = {}
     for cut in cuts:
@@ -97,7 +101,7 @@ def _ranks(parts: dict) -> list[tuple]:
     return out
 
 
-def _find_cuts(hashed: DataFrame, keys: list[str], parts: dict, large: bool) -> list[dict]:
+def _find_cuts(hashed: DataFrame, keys: list[str], parts: dict, shifts: list[int]) -> list[dict]:
     """The row at each wanted rank: its hash, its keys, and its place among equal keys."""
     targets = _ranks(parts)
     if not targets:
@@ -111,14 +115,15 @@ def _find_cuts(hashed: DataFrame, keys: list[str], parts: dict, large: bool) ->
             T.StructField("within", T.LongType()),
         ]
     )
-    high, whole, key = F.shiftright("_h", 16), F.col("_h"), F.struct(*map(col, keys))
-    top = F.lit(0).cast("bigint")
-    levels = [(top, high), (high, whole)] if large else [(top, whole)]
-    for level, (parent, child) in enumerate([*levels, (whole, key)]):
+    whole = F.col("_h")
+    steps = [F.lit(0).cast("bigint"), *[F.shiftright("_h", s) for s in shifts], whole]
+    levels = list(zip(steps, steps[1:]))
+    for level, (parent, child) in enumerate([*levels, (whole, F.struct(*map(col, keys)))]):
         # At most MAX_CLASSES x parts rows.
         wanted = F.broadcast(spark.createDataFrame(targets, schema))
         rows = hashed.select("_c", parent.alias("_p"), child.alias("_v"))
         if level > 0:
+            # Only rows inside a range that holds a cut go on to the next pass.
             rows = rows.join(
                 wanted, F.col("_c").eqNullSafe(F.col("label")) & (F.col("_p") == F.col("within")),
                 "left_semi",

@@ -279,16 +279,20 @@ def fit_scaler(
     columns: list[str],
     method: str = "StandardScaler",
     distinct_limit: int = DISTINCT_LIMIT,
+    refuse_missing: bool = False,
 ) -> dict[str, tuple[float, float]]:
-    """``{column: (shift, divisor)}``; a constant column divides by one."""
+    """``{column: (shift, divisor)}``; a constant column divides by one.
+
+    The check for missing values, if asked for, is part of the same scan.
+    """
     names = existing(df, columns)
     if method not in SCALING_METHODS:
         raise ValueError(f"Unknown scaling method `{method}`.")
+    aggs = [F.count(F.when(col(c).isNull(), 1)).alias(f"m{i}") for i, c in enumerate(names)]
     if method == "RobustScaler":
-        q, _ = column_quantiles(df, names, [0.25, 0.5, 0.75], distinct_limit)
+        q, row = column_quantiles(df, names, [0.25, 0.5, 0.75], distinct_limit, aggs)
         found = {c: (q[c][1], None if q[c][0] is None else q[c][2] - q[c][0]) for c in names}
     else:
-        aggs = []
         for i, c in enumerate(names):
             x = as_number(df, c)
             if method == "StandardScaler":
@@ -299,6 +303,9 @@ def fit_scaler(
                 aggs += [F.min(x).alias(f"s{i}"), (F.max(x) - F.min(x)).alias(f"d{i}")]
         row = df.agg(*aggs).first() if aggs else {}
         found = {c: (row[f"s{i}"], row[f"d{i}"]) for i, c in enumerate(names)}
+    holes = [c for i, c in enumerate(names) if row[f"m{i}"]]
+    if refuse_missing and holes:
+        raise ValueError(f"Cannot scale columns with missing values: {', '.join(holes)}.")
     return {c: (s, d if d else 1.0) for c, (s, d) in found.items() if s is not None}
 
 
@@ -318,8 +325,7 @@ def scale_numeric(
     names = existing(df, columns)
     if not names:
         return df
-    missing_guard(df, names, "scale")
-    return apply_scaler(df, fit_scaler(df, names, method, distinct_limit))
+    return apply_scaler(df, fit_scaler(df, names, method, distinct_limit, refuse_missing=True))
 
 
 def removed_rows(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -72,8 +72,8 @@ def box_plot(
         q1, q2, q3 = (F.lit(q).cast("double") for q in quartiles)
         return df.select(v.alias("v")).filter("v is not null").agg(*_box(q1, q2, q3))
     name = "group" if x == y else x
-    quartiles = grouped_quantiles(df, x, y, [0.25, 0.5, 0.75], distinct_limit)
-    quartiles = quartiles.filter("n > 0").select(col(x).alias("_g"), "q")
+    quartiles = grouped_quantiles(df, x, y, [0.25, 0.5, 0.75])
+    quartiles = quartiles.select(col(x).alias("_g"), "q")
     rows = df.select(col(x).alias("_x"), as_number(df, y).alias("v")).filter("v is not null")
     # The quartile side is aggregated; the optimizer broadcasts it when it is small, and
     # splits a group that is too large for one task when it is not.
@@ -157,15 +157,13 @@ def excluded_rows(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def grouped_bar(
-    df: DataFrame, x: str, y: str, aggregation: str = "mean", distinct_limit: int = DISTINCT_LIMIT
-) -> DataFrame:
+def grouped_bar(df: DataFrame, x: str, y: str, aggregation: str = "mean") -> DataFrame:
     """``group, value`` per non-null group; groups without a value are left out."""
     require(df, x, y)
     if aggregation not in AGGREGATIONS:
         raise ValueError(f"Unknown aggregation `{aggregation}`.")
     if aggregation == "median":
-        return grouped_quantiles(df, x, y, [0.5], distinct_limit).filter("n > 0").select(
+        return grouped_quantiles(df, x, y, [0.5]).select(
             col(x).alias("group"), F.col("q")[0].alias("value")
         )
     v = as_number(df, y)
@@ -292,7 +290,7 @@ def box_facts(
     )
     if x is None or x not in df.columns:
         return facts.drop("_one")
-    medians = grouped_bar(df, x, y, "median", distinct_limit)
+    medians = grouped_bar(df, x, y, "median")
     return facts.join(_extremes(medians).withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
@@ -306,10 +304,8 @@ def _extremes(grouped: DataFrame) -> DataFrame:
     )
 
 
-def bar_facts(
-    df: DataFrame, x: str, y: str, aggregation: str = "mean", distinct_limit: int = DISTINCT_LIMIT
-) -> DataFrame:
-    return _extremes(grouped_bar(df, x, y, aggregation, distinct_limit))
+def bar_facts(df: DataFrame, x: str, y: str, aggregation: str = "mean") -> DataFrame:
+    return _extremes(grouped_bar(df, x, y, aggregation))
 
 
 def relationship_facts(df: DataFrame, x: str, y: str) -> DataFrame:

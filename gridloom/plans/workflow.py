@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..functions.storage import cut_lineage
 from ..operators import clean
 from ..operators.prepare import Preparation, fit_preparation
 from ..operators.split import SPLIT, TRAIN, split_train_test
@@ -28,6 +29,9 @@ class Workflow:
             df = clean.handle_missing(df, **self.missing)
         if self.duplicates:
             df = clean.remove_duplicates(df)
+            if self.outliers or self.encode or self.scale:
+                # The steps below read the table several times: shuffle it only once.
+                df = cut_lineage(df)
         if self.outliers:
             df = clean.remove_outliers(df, **self.outliers)
         if self.encode:
