@@ -43,9 +43,8 @@ def _neighbours(n: int, prob: float) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), at - low
 
 
-def _marks(rank: int, n: int, slack: float, sketch: int) -> list[float]:
+def _marks(rank: int, n: int, slack: float, sketch: int, noise: float = 0.0) -> list[float]:
     """The two fractions whose sketched values should enclose the rank."""
-    noise = 3.0 / math.sqrt(GUESS_ROWS) if n > GUESS_ROWS else 0.0
     wide = (slack / sketch + noise) * n + 1
     return [min(1.0, max(0.0, (rank + s * wide) / n)) for s in (-1, 1)]
 
@@ -88,14 +87,20 @@ def column_quantiles(
         result.update(_by_counts(df, x, small, sizes, probs))
     if not large:
         return result, head
+    # On huge columns the first guess reads a share of the values: it only has to be close.
+    values = df.select(*[x[c].alias(f"v{i}") for i, c in enumerate(large)], F.rand(0).alias("u"))
     aggs = []
     for i, c in enumerate(large):
-        at = [m for r in ranks[c].values() for m in _marks(r.rank, sizes[c], r.slack, sketch)]
-        aggs.append(F.percentile_approx(_guessed_from(x[c], sizes[c]), at, sketch).alias(f"b{i}"))
-    row = df.agg(*aggs).first()
+        share = GUESS_ROWS / sizes[c]
+        noise = 3.0 / math.sqrt(GUESS_ROWS) if share < 1 else 0.0
+        at = [m for r in ranks[c].values() for m in _marks(r.rank, sizes[c], r.slack, sketch, noise)]
+        seen = F.when(F.col("u") < share, F.col(f"v{i}")) if share < 1 else F.col(f"v{i}")
+        aggs.append(F.percentile_approx(seen, at, sketch).alias(f"b{i}"))
+    row = values.agg(*aggs).first()
     for i, c in enumerate(large):
         for j, r in enumerate(ranks[c].values()):
-            r.lo, r.hi = row[f"b{i}"][2 * j], row[f"b{i}"][2 * j + 1]
+            marks = row[f"b{i}"] or [0.0] * (2 * len(ranks[c]))
+            r.lo, r.hi = marks[2 * j], marks[2 * j + 1]
 
     everything = [r for c in large for r in ranks[c].values()]
     while open_ := [r for r in everything if r.value is None and not r.ready]:
@@ -110,11 +115,6 @@ def column_quantiles(
     return result, head
 
 
-def _guessed_from(x: Column, n: int) -> Column:
-    """On huge columns the first guess reads a share of the values: it only has to be close."""
-    return x if n <= GUESS_ROWS else F.when(F.rand(0) < F.lit(GUESS_ROWS / n), x)
-
-
 def _by_counts(df, x, columns: list[str], sizes, probs) -> dict[str, list[float]]:
     """Quantiles of columns with few distinct values: count by value, rank the counts."""
     ids = [f"c{i}" for i in range(len(columns))]

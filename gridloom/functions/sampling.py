@@ -206,7 +206,7 @@ def _split_tie(rows: DataFrame, keys, seed, cuts: list[dict], name: str) -> Data
     needs = [0, *[c["need"] for c in cuts], cuts[0]["size"]]
     sizes = [b - a for a, b in zip(needs, needs[1:])]
     labels = [c["part"] for c in cuts] + [cuts[-1]["part"] + 1]
-    renamed = F.element_at(F.array(*map(F.lit, labels)), F.col("_piece") + 1).alias(name)
+    renamed = F.get(F.array(*map(F.lit, labels)), F.col("_piece")).alias(name)
     if set(keys) != set(rows.columns):
         inner = assign_parts(rows, rows.columns, seed, {None: sizes}, name="_piece")
         return inner.select(*map(col, rows.columns), renamed)

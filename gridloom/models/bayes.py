@@ -37,11 +37,11 @@ class GaussianBayes:
         grown = F.transform("_joint", lambda v: F.exp(v - F.col("_top")))
         total = F.aggregate("_grown", F.lit(0.0), lambda a, v: a + v)
         names = F.array(*[F.lit(c) for c in self.classes])
-        best = F.array_position("_joint", F.col("_top")).cast("int")
+        best = F.array_position("_joint", F.col("_top")).cast("int") - 1
         return (
             work.withColumn("_grown", grown)
             .withColumn("_total", total)
-            .withColumn("prediction", F.element_at(names, best))
+            .withColumn("prediction", F.get(names, best))
             .withColumn("probability", F.transform("_grown", lambda v: v / F.col("_total")))
             .drop("_joint", "_top", "_grown", "_total")
         )

@@ -222,9 +222,9 @@ def vote(neighbours: DataFrame, classes: list, weights: str = "uniform") -> Data
         F.sum("w").alias("all_votes"),
     )
     names = F.array(*[F.lit(c) for c in classes])
-    best = F.array_position("votes", F.array_max("votes")).cast("int")
+    best = F.array_position("votes", F.array_max("votes")).cast("int") - 1
     return votes.select(
-        "test_key", F.element_at(names, best).alias("prediction"),
+        "test_key", F.get(names, best).alias("prediction"),
         F.transform("votes", lambda v: v / F.col("all_votes")).alias("probability"),
     )
 

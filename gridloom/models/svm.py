@@ -26,6 +26,7 @@ FOURIER_FEATURES = 256
 LANDMARKS = 128
 CALIBRATION_FOLDS = 3
 POLY_DEGREE = 3
+ROWS_PER_TASK = 20_000
 _MAX_ITER = 50
 
 
@@ -122,8 +123,10 @@ def fit_svm(train: DataFrame, classes: list, kernel: str = "rbf", c: float = 1.0
         )
     mapped = _mapped(train, feature_map).withColumn(
         "_fold", F.pmod(key_hash(["_key"], seed + 1), F.lit(CALIBRATION_FOLDS))
-    ).select("features", "label", "_fold").persist()
+    ).select("features", "label", "_fold")
     n = mapped.count()
+    # Every iteration is a job over this table: few rows need few tasks.
+    mapped = mapped.coalesce(n // ROWS_PER_TASK + 1).persist()
 
     def machine(rows: DataFrame):
         learner = LinearSVC(maxIter=_MAX_ITER, regParam=1.0 / (c * n), standardization=False)

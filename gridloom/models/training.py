@@ -83,13 +83,14 @@ def encode_labels(df: DataFrame, target: str, classes: list, name: str = "label"
 
 
 def _class_number(value: Column, classes: list) -> Column:
+    """A class that is not in the list (it may turn up in testing) gets no number."""
     names = F.array(*[F.lit(c) for c in classes])
-    return (F.array_position(names, value) - 1).cast("double")
+    return F.nullif(F.array_position(names, value), F.lit(0)).cast("double") - 1
 
 
 def _class_value(number: Column, classes: list) -> Column:
     names = F.array(*[F.lit(c) for c in classes])
-    return F.element_at(names, number.cast("int") + 1)
+    return F.get(names, number.cast("int"))
 
 
 def _row_key(keys: list[str] | None, columns: list[str]) -> Column:
@@ -168,7 +169,7 @@ def class_probabilities(predicted: DataFrame, keys: list[str], classes: list) ->
     names = F.array(*[F.lit(str(c)) for c in classes])
     return predicted.select(
         *map(col, keys), F.posexplode("probability").alias("_i", "probability")
-    ).select(*map(col, keys), F.element_at(names, F.col("_i") + 1).alias("class"), "probability")
+    ).select(*map(col, keys), F.get(names, F.col("_i")).alias("class"), "probability")
 
 
 def feature_importance(model, names: list[str], spark) -> DataFrame | None:
@@ -194,8 +195,10 @@ def prepare_rows(
     if table is None:
         raise ValueError("None of the selected features can be used.")
     label = as_number(df, target) if classes is None else _class_number(col(target), classes)
-    wide = df.select("*", _row_key(keys, df.columns).alias("_key"), label.alias("label"))
-    return table, table.vectors(wide, [*dict.fromkeys([*keep, "_key", "label"])])
+    wide = df.select(
+        "*", _row_key(keys, df.columns).alias("_key"), label.alias("label"), col(target).alias("_actual")
+    )
+    return table, table.vectors(wide, [*dict.fromkeys([*keep, "_key", "label", "_actual"])])
 
 
 def _finish(scored: DataFrame, keep: list[str], classes: list | None) -> DataFrame:
@@ -203,7 +206,7 @@ def _finish(scored: DataFrame, keep: list[str], classes: list | None) -> DataFra
         return scored.select(*keep, F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
     extra = ["probability"] if "probability" in scored.columns else []
     return scored.select(
-        *keep, _class_value(F.col("label"), classes).alias("actual"),
+        *keep, F.col("_actual").alias("actual"),
         _class_value(F.col("prediction"), classes).alias("predicted"), *extra,
     )
 

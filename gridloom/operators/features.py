@@ -145,7 +145,7 @@ def bin_numeric(
     number = F.lit(1)
     for edge in edges[1:-1]:
         number = number + (x > F.lit(edge)).cast("int")
-    shown = F.element_at(F.array(*[F.lit(t) for t in texts]), F.col("_bin"))
+    shown = F.get(F.array(*[F.lit(t) for t in texts]), F.col("_bin") - 1)
     numbered = df.withColumn("_bin", F.when(x.isNotNull(), number))
     return _add(numbered, {f"{column}_binned": shown, f"{column}_bin": F.col("_bin")}).drop("_bin")
 

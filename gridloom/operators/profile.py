@@ -98,9 +98,7 @@ def _by_family(df: DataFrame, columns: list[str], as_text: bool) -> DataFrame |
         ids = [f"c{i}" for i in range(len(names))]
         melted = df.select(*cells).unpivot([], ids, "_id", "value").filter("value is not null")
         counted = melted.groupBy("_id", "value").agg(F.count("*").alias("n"))
-        named = F.element_at(
-            F.array(*[F.lit(c) for c in names]), F.substring("_id", 2, 9).cast("int") + 1
-        )
+        named = F.get(F.array(*[F.lit(c) for c in names]), F.substring("_id", 2, 9).cast("int"))
         value = F.col("value").cast("string") if as_text else F.lit(1)
         piece = counted.select(named.alias("column"), value.alias("value"), "n")
         result = piece if result is None else result.unionByName(piece)

@@ -88,13 +88,30 @@ def _raw_csv(spark, path, encoding, columns, multi_line) -> DataFrame:
     )
 
 
-def _broken(width: int) -> Column:
-    """A line with an unclosed quote, or with more cells than the header."""
+def _inspect_lines(spark: SparkSession, path: str, multi_line: bool):
+    """One scan of the raw lines: are all of them UTF-8, and are all quotes closed?
+
+    A quote may span lines only in multi-line mode; then each file must close its own.
+    """
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    marked = lines.select(
+        F.is_valid_utf8("value").alias("valid"), quotes.alias("quotes"), F.input_file_name().alias("file")
+    )
+    if multi_line:
+        marked = marked.groupBy("file").agg(F.min("valid").alias("valid"), F.sum("quotes").alias("quotes"))
+    return marked.agg(
+        F.coalesce(F.min("valid"), F.lit(True)).alias("utf8"),
+        F.count(F.when(F.col("quotes") % 2 == 1, 1)).alias("open_quotes"),
+    ).first()
+
+
+def _too_wide(width: int) -> Column:
+    """A line the parser marked that has more cells than the header (fewer are padded)."""
     line = F.col(_BAD)
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     bare = F.regexp_replace(line, '"[^"]*"', "")
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
-    return line.isNotNull() & ((quotes % 2 == 1) | (commas >= width))
+    return line.isNotNull() & (commas >= width)
 
 
 def _cell(name: str) -> Column:
@@ -107,37 +124,28 @@ def read_csv(
     schema: T.StructType | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Header row, comma separated. One scan checks the lines and infers the types.
+    """Header row, comma separated. Two scans: the raw lines, then the types of the cells.
 
-    Bytes that are not UTF-8 show as U+FFFD and cause a second try as Latin-1.
+    Text that is not UTF-8 is read as Latin-1.
     """
-    for encoding in ENCODINGS:
-        header = _raw_csv(spark, path, encoding, None, multi_line).columns
-        if not header:
-            raise DataLoadError("The file appears to be empty.")
-        raw = _raw_csv(spark, path, encoding, header, multi_line)
-        cells = [_cell(c) for c in header]
-        undecoded = F.lit(False)
-        for c in header:
-            undecoded = undecoded | F.coalesce(F.contains(col(c), F.lit("�")), F.lit(False))
-        checks = [
-            F.count(F.when(undecoded, 1)).alias("undecoded"),
-            F.count(F.when(_broken(len(header)), 1)).alias("broken"),
-        ]
+    lines = _inspect_lines(spark, path, multi_line)
+    encoding = ENCODINGS[0] if lines["utf8"] else ENCODINGS[1]
+    header = _raw_csv(spark, path, encoding, None, multi_line).columns
+    if not header:
+        raise DataLoadError("The file appears to be empty.")
+    raw = _raw_csv(spark, path, encoding, header, multi_line)
+    cells = [_cell(c) for c in header]
+    checks = [F.count(F.when(_too_wide(len(header)), 1)).alias("broken")]
+    checks += [F.count(cell).alias(f"n{i}") for i, cell in enumerate(cells)]
+    if schema is None:
         for i, cell in enumerate(cells):
-            checks.append(F.count(cell).alias(f"n{i}"))
             for kind, pattern in (("w", _WHOLE), ("d", _DECIMAL), ("t", _TRUTH)):
                 checks.append(F.count(F.when(cell.rlike(pattern), 1)).alias(f"{kind}{i}"))
-        seen = raw.agg(*checks).first()
-        if seen["undecoded"] and encoding != ENCODINGS[-1] and "�" not in "".join(header):
-            continue
-        if "�" in "".join(header) and encoding != ENCODINGS[-1]:
-            continue
-        if seen["broken"]:
-            raise DataLoadError(
-                "Could not read the CSV file. Make sure it is a valid comma-separated text file."
-            )
-        break
+    seen = raw.agg(*checks).first()
+    if lines["open_quotes"] or seen["broken"]:
+        raise DataLoadError(
+            "Could not read the CSV file. Make sure it is a valid comma-separated text file."
+        )
     out = []
     for i, (c, cell) in enumerate(zip(header, cells)):
         if schema is not None:
