@@ -19,6 +19,8 @@ from .columns import col, require
 MAX_CLASSES = 10_000
 # Up to this many rows one counting pass looks at whole hashes; beyond it, ranges first.
 FINE_ROWS = 50_000
+# Up to this many cuts are found with the counts on the driver.
+FEW_CUTS = 64
 # The hash is narrowed 12 bits at a time: 4,096 ranges per pass and class.
 _SHIFTS = (20, 8)
 
@@ -106,50 +108,67 @@ def _find_cuts(hashed: DataFrame, keys: list[str], parts: dict, shifts: list[int
     targets = _ranks(parts)
     if not targets:
         return []
-    spark = hashed.sparkSession
+    steps = [F.lit(0).cast("bigint"), *[F.shiftright("_h", s) for s in shifts], F.col("_h")]
+    levels = [*zip(steps, steps[1:]), (F.col("_h"), F.struct(*map(col, keys)))]
+    find = _hits_on_driver if len(targets) <= FEW_CUTS else _hits_in_spark
+    for i, (parent, child) in enumerate(levels):
+        rows = hashed.select("_c", parent.alias("_p"), child.alias("_v"))
+        found = find(rows, targets, first=i == 0, last=i == len(levels) - 1)
+        targets = [(label, part, need, value) for label, part, need, _, value, _ in found]
+    names = ("label", "part", "need", "hash", "key", "size")
+    return [dict(zip(names, hit)) for hit in found]
+
+
+def _hits_on_driver(rows: DataFrame, targets: list[tuple], first: bool, last: bool) -> list[tuple]:
+    """``label, part, place in range, outer range, range, rows in range`` of each target.
+
+    With few targets the counts fit the driver: 4,096 ranges per target and pass, then the
+    whole hashes of one range, then the keys that share a hash.
+    """
+    if not first:
+        inside = [
+            F.col("_c").eqNullSafe(F.lit(label)) & (F.col("_p") == F.lit(within))
+            for label, within in dict.fromkeys((t[0], t[3]) for t in targets)
+        ]
+        rows = rows.filter(reduce(Column.__or__, inside))
+    counts = rows.groupBy("_c", "_p", "_v").agg(F.count("*").alias("_k"))
+    # Keys are put in order by Spark; hash ranges are plain numbers.
+    table = counts.orderBy("_v").collect() if last else sorted(counts.collect(), key=lambda r: r["_v"])
+    groups: dict = {}
+    for label, outer, value, k in table:
+        groups.setdefault((label, outer), []).append((value, k))
+    found = []
+    for label, part, rank, within in targets:
+        seen = 0
+        for value, k in groups[label, within]:
+            if rank <= seen + k:
+                found.append((label, part, rank - seen, within, value, k))
+                break
+            seen += k
+    return found
+
+
+def _hits_in_spark(rows: DataFrame, targets: list[tuple], first: bool, last: bool) -> list[tuple]:
+    """The same for many classes: counts stay distributed, only the hits come back."""
     schema = T.StructType(
         [
-            T.StructField("label", hashed.schema["_c"].dataType),
+            T.StructField("label", rows.schema["_c"].dataType),
             T.StructField("part", T.IntegerType()),
             T.StructField("rank", T.LongType()),
             T.StructField("within", T.LongType()),
         ]
     )
-    whole = F.col("_h")
-    steps = [F.lit(0).cast("bigint"), *[F.shiftright("_h", s) for s in shifts], whole]
-    levels = list(zip(steps, steps[1:]))
-    for level, (parent, child) in enumerate([*levels, (whole, F.struct(*map(col, keys)))]):
-        # At most MAX_CLASSES x parts rows.
-        wanted = F.broadcast(spark.createDataFrame(targets, schema))
-        rows = hashed.select("_c", parent.alias("_p"), child.alias("_v"))
-        if level > 0:
-            # Only rows inside a range that holds a cut go on to the next pass.
-            rows = rows.join(
-                wanted, F.col("_c").eqNullSafe(F.col("label")) & (F.col("_p") == F.col("within")),
-                "left_semi",
-            )
-        counts = rows.groupBy("_c", "_p", "_v").agg(F.count("*").alias("_k"))
-        order = Window.partitionBy("_c", "_p").orderBy("_v")
-        upto = counts.withColumn("_upto", F.sum("_k").over(order))
-        hits = upto.join(
-            wanted,
-            F.col("_c").eqNullSafe(F.col("label"))
-            & (F.col("_p") == F.col("within"))
-            & F.col("rank").between(F.col("_upto") - F.col("_k") + 1, F.col("_upto")),
-        ).select(
-            "label", "part", (F.col("rank") - F.col("_upto") + F.col("_k")).alias("need"),
-            "_p", "_v", "_k",
-        )
-        found = hits.collect()
-        if level < len(levels):
-            targets = [(r["label"], r["part"], r["need"], r["_v"]) for r in found]
-    return [
-        {
-            "label": r["label"], "part": r["part"], "need": r["need"],
-            "hash": r["_p"], "key": r["_v"], "size": r["_k"],
-        }
-        for r in found
-    ]
+    # At most MAX_CLASSES x parts rows.
+    wanted = F.broadcast(rows.sparkSession.createDataFrame(targets, schema))
+    same = F.col("_c").eqNullSafe(F.col("label")) & (F.col("_p") == F.col("within"))
+    if not first:
+        rows = rows.join(wanted, same, "left_semi")
+    counts = rows.groupBy("_c", "_p", "_v").agg(F.count("*").alias("_k"))
+    upto = counts.withColumn("_upto", F.sum("_k").over(Window.partitionBy("_c", "_p").orderBy("_v")))
+    before = F.col("_upto") - F.col("_k")
+    hits = upto.join(wanted, same & F.col("rank").between(before + 1, F.col("_upto")))
+    picked = hits.select("label", "part", (F.col("rank") - before).alias("need"), "_p", "_v", "_k")
+    return [tuple(r) for r in picked.collect()]
 
 
 def _place(hashed, keys, parts, cuts, single: bool, name: str) -> DataFrame:

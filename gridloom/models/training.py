@@ -221,7 +221,12 @@ def _train(df, features, target, model, params, keys, test_size, seed, stratify,
     classes = class_list(split.filter(train_rows), target) if classify else None
     keep = [*(keys or []), SPLIT]
     table, rows = prepare_rows(split, features, target, keys, classes, train_rows, keep, preparer)
-    fitted = fit_model(model, rows.filter(train_rows), classes, params, seed)
+    # Learners read their rows several times; afterwards each side is scored on demand.
+    rows.persist()
+    try:
+        fitted = fit_model(model, rows.filter(train_rows), classes, params, seed)
+    finally:
+        rows.unpersist()
     return Trained(fitted, table, classes, rows, keep)
 
 
@@ -256,7 +261,11 @@ def cross_validate(
     def one(fold: int) -> tuple[int, float]:
         inside = F.col("fold") != fold
         _, data = prepare_rows(folds, features, target, keys, classes, inside, ["fold"], preparer)
-        fitted = fit_model(model, data.filter(inside), classes, params, random_state)
+        data.persist()
+        try:
+            fitted = fit_model(model, data.filter(inside), classes, params, random_state)
+        finally:
+            data.unpersist()
         held = _finish(fitted.score(data.filter(~inside)), ["fold"], classes)
         if classify:
             hit = (F.col("actual") == F.col("predicted")).cast("double")

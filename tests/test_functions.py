@@ -93,6 +93,16 @@ def test_parts_are_exact_and_do_not_depend_on_layout(spark, fine_rows):
     assert sorted(map(tuple, a.collect())) != sorted(map(tuple, c.collect()))
 
 
+def test_many_classes_take_the_distributed_way(spark, monkeypatch):
+    df = spark.range(1200).withColumn("c", F.concat(F.lit("c"), F.col("id") % 40))
+    parts = {f"c{i}": [10, 20] for i in range(40)}
+    few = sampling.assign_parts(df, ["id"], 9, parts, by="c")
+    monkeypatch.setattr(sampling, "FEW_CUTS", 0)
+    many = sampling.assign_parts(df, ["id"], 9, parts, by="c", fine_rows=1)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    assert sizes_of(many) == {0: 400, 1: 800}
+
+
 def test_parts_when_a_third_of_the_rows_share_a_key(spark):
     df = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("x")
