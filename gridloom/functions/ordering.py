@@ -24,7 +24,7 @@ def running_sums(
     window_rows: int = WINDOW_ROWS,
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``cum_<s>``: the inclusive running total of each sum within ``by``.
+    """Add ``cum_<s>`` and ``all_<s>``: running and whole total of each sum within ``by``.
 
     ``df`` holds one row per (by, order), already aggregated. ``rows`` is the caller's
     estimate of its size. Small tables take a plain window. Larger ones are range-sorted
@@ -34,23 +34,26 @@ def running_sums(
     directed = [col(c).desc() if descending else col(c).asc() for c in order]
     upto = (Window.unboundedPreceding, Window.currentRow)
     if rows <= window_rows:
-        frame = Window.partitionBy(*map(col, by)).orderBy(*directed).rowsBetween(*upto)
-        return df.select("*", *[F.sum(col(s)).over(frame).alias(f"cum_{s}") for s in sums])
+        group = Window.partitionBy(*map(col, by))
+        frame = group.orderBy(*directed).rowsBetween(*upto)
+        return df.select(
+            "*",
+            *[F.sum(col(s)).over(frame).alias(f"cum_{s}") for s in sums],
+            *[F.sum(col(s)).over(group).alias(f"all_{s}") for s in sums],
+        )
 
     ranged = df.orderBy(*map(col, by), *directed).withColumn("_slice", F.spark_partition_id())
     ranged = cut_lineage(ranged)
     totals = ranged.groupBy("_slice", *map(col, by)).agg(
         *[F.sum(col(s)).alias(f"_t_{s}") for s in sums]
     )
-    earlier = (
-        Window.partitionBy(*map(col, by))
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    whole = Window.partitionBy(*map(col, by))
+    earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         F.col("_slice").alias("_o_slice"),
         *[col(b).alias(f"_o_{b}") for b in by],
         *[_before(f"_t_{s}", earlier).alias(f"_off_{s}") for s in sums],
+        *[F.sum(f"_t_{s}").over(whole).alias(f"all_{s}") for s in sums],
     )
     inside = (
         Window.partitionBy("_slice", *map(col, by)).orderBy(*directed).rowsBetween(*upto)
@@ -62,6 +65,7 @@ def running_sums(
     return local.join(offsets, match).select(
         *[col(c) for c in df.columns],
         *[(F.col(f"_in_{s}") + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
+        *[F.col(f"all_{s}") for s in sums],
     )
 
 

@@ -229,15 +229,9 @@ def grouped_quantiles(
     )
     counts = work.groupBy("g", "v").agg(F.count("*").alias("k"))
     widest = work.agg(F.approx_count_distinct("v")).first()[0]
-    if widest <= window_rows:
-        group = Window.partitionBy("g")
-        ranked = counts.select(
-            "g", "v", F.sum("k").over(group.orderBy("v")).alias("cum_k"), F.sum("k").over(group).alias("n")
-        )
-    else:
-        sizes = work.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("n"))
-        running = running_sums(counts, ["g"], ["v"], ["k"], window_rows + 1, window_rows)
-        ranked = running.join(sizes, F.col("g") == F.col("g2"))
+    # No group has more distinct values than the whole column.
+    ranked = running_sums(counts, ["g"], ["v"], ["k"], widest, window_rows)
+    ranked = ranked.withColumnRenamed("all_k", "n")
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     picks = []
     for j in range(len(probs)):

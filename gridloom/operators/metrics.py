@@ -161,13 +161,6 @@ def _cumulated(scored: DataFrame, by: list[str], window_rows: int) -> DataFrame:
     return running_sums(groups, by, ["score"], ["pos", "neg"], rows, window_rows, descending=True)
 
 
-def _totals(scored: DataFrame, by: list[str]) -> DataFrame:
-    return scored.groupBy(*[F.col(b).alias(f"_t_{b}") for b in by]).agg(
-        F.count(F.when(F.col("positive"), 1)).alias("total_pos"),
-        F.count(F.when(~F.col("positive"), 1)).alias("total_neg"),
-    )
-
-
 def roc_points(
     scored: DataFrame, by: tuple[str, ...] = ("class",), window_rows: int = WINDOW_ROWS
 ) -> DataFrame:
@@ -176,19 +169,20 @@ def roc_points(
     Classes without a positive row have no curve.
     """
     by = list(by)
-    running = _cumulated(scored, by, window_rows)
-    totals = _totals(scored, by).filter("total_pos > 0")
-    match = [F.col(b) == F.col(f"_t_{b}") for b in by]
-    points = running.join(totals, match).select(
-        *by, F.col("score").alias("threshold"),
-        F.try_divide(F.col("cum_neg").cast("double"), F.col("total_neg").cast("double")).alias("fpr"),
-        F.try_divide(F.col("cum_pos").cast("double"), F.col("total_pos").cast("double")).alias("tpr"),
+    running = _cumulated(scored, by, window_rows).filter("all_pos > 0")
+    share = {
+        "fpr": F.try_divide(F.col("cum_neg").cast("double"), F.col("all_neg").cast("double")),
+        "tpr": F.try_divide(F.col("cum_pos").cast("double"), F.col("all_pos").cast("double")),
+    }
+    point = F.struct(F.col("score").alias("threshold"), *[v.alias(n) for n, v in share.items()])
+    origin = F.struct(
+        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
-    origin = totals.select(
-        *[F.col(f"_t_{b}").alias(b) for b in by], F.lit(None).cast("double").alias("threshold"),
-        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
+    # The highest score of a class also brings the start of its curve.
+    highest = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
+    return running.select(
+        *by, F.inline(F.when(highest, F.array(origin, point)).otherwise(F.array(point)))
     )
-    return origin.unionByName(points)
 
 
 def roc_auc(

@@ -17,6 +17,8 @@ HIGH_CARDINALITY = 50
 TOP_CORRELATIONS = 10
 MAX_TARGET_CLASSES = 20
 WORST_MISSING = 3
+# Correlation expressions in one aggregate.
+PAIRS_PER_SCAN = 200
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
@@ -244,36 +246,44 @@ def constant_columns(df: DataFrame) -> DataFrame:
 
 def quality_report(df: DataFrame) -> DataFrame:
     """Type, missing cells, distinct values and the constant flag of every column."""
-    wide = df.agg(*_null_counts(df), *[_constant(df, c).alias(f"k{i}") for i, c in enumerate(df.columns)])
     spec = [
         {
             "column": F.lit(f.name),
             "data_type": F.lit(type_name(f.dataType)),
             "missing_count": F.col(f"m{i}"),
             "missing_pct": _percent(F.col(f"m{i}"), F.col("rows")),
-            "constant": F.col(f"k{i}"),
         }
         for i, f in enumerate(df.schema.fields)
     ]
-    return wide.select(rows_of(spec)).join(unique_counts(df), "column").select(
-        "column", "data_type", "missing_count", "missing_pct", "unique_values", "constant"
+    missing = df.agg(*_null_counts(df)).select(rows_of(spec))
+    return missing.join(unique_counts(df), "column").select(
+        "column", "data_type", "missing_count", "missing_pct", "unique_values",
+        (F.col("unique_values") <= 1).alias("constant"),
     )
 
 
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``column_a, column_b, correlation`` for every pair of numeric columns, in one scan."""
+    """``column_a, column_b, correlation`` for every pair of numeric columns.
+
+    One scan, or one per ``PAIRS_PER_SCAN`` pairs of a very wide table.
+    """
     columns = columns or numeric_columns(df)
     if len(columns) < 2:
         raise ValueError("A correlation matrix needs at least two numeric columns.")
     pairs = list(combinations(columns, 2))
-    wide = df.agg(
-        *[pearson(as_number(df, a), as_number(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    spec = [
-        {"column_a": F.lit(a), "column_b": F.lit(b), "correlation": F.col(f"r{i}")}
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(rows_of(spec))
+    result = None
+    for start in range(0, len(pairs), PAIRS_PER_SCAN):
+        chunk = pairs[start : start + PAIRS_PER_SCAN]
+        wide = df.agg(
+            *[pearson(as_number(df, a), as_number(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(chunk)]
+        )
+        spec = [
+            {"column_a": F.lit(a), "column_b": F.lit(b), "correlation": F.col(f"r{i}")}
+            for i, (a, b) in enumerate(chunk)
+        ]
+        piece = wide.select(rows_of(spec))
+        result = piece if result is None else result.unionByName(piece)
+    return result
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -281,21 +291,20 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     columns = columns or numeric_columns(df)
     if len(columns) < 2:
         raise ValueError("A correlation matrix needs at least two numeric columns.")
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(
-        *[pearson(as_number(df, a), as_number(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[
-            F.when(F.min(as_number(df, c)) < F.max(as_number(df, c)), F.lit(1.0)).alias(f"d{i}")
-            for i, c in enumerate(columns)
-        ],
+    upper = correlations(df, columns)
+    both = F.array(
+        F.struct("column_a", "column_b", "correlation"),
+        F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "correlation"),
     )
-    spec = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            spec.append({"column_a": F.lit(x), "column_b": F.lit(y), "correlation": F.col(f"r{i}")})
-    for i, c in enumerate(columns):
-        spec.append({"column_a": F.lit(c), "column_b": F.lit(c), "correlation": F.col(f"d{i}")})
-    return wide.select(rows_of(spec))
+    varies = [
+        F.when(F.min(as_number(df, c)) < F.max(as_number(df, c)), F.lit(1.0)).alias(f"d{i}")
+        for i, c in enumerate(columns)
+    ]
+    diagonal = [
+        {"column_a": F.lit(c), "column_b": F.lit(c), "correlation": F.col(f"d{i}")}
+        for i, c in enumerate(columns)
+    ]
+    return upper.select(F.inline(both)).unionByName(df.agg(*varies).select(rows_of(diagonal)))
 
 
 def top_correlations(df: DataFrame, k: int = TOP_CORRELATIONS) -> DataFrame:
