@@ -10,7 +10,7 @@ from ..models.bayes import fit_gaussian_bayes
 from ..operators import compare, metrics
 from ..operators.prepare import fit_features
 from ..operators.split import SPLIT, TRAIN, split_train_test
-from ._registry import query, rnd, table
+from ._registry import hash_sql, query, rnd, table
 from .cleaning import split_sql, stratified_sql
 
 ORDER_FEATURES = ["o_totalprice", "o_custkey", "o_orderpriority"]
@@ -66,7 +66,15 @@ def scores(trained) -> DataFrame:
     return trained.metrics.withColumn("_one", one).join(trained.scores.withColumn("_one", one), "_one").drop("_one")
 
 
-@query("mod4_feature_names")
+@query(
+    "mod4_feature_names",
+    f"""
+    WITH {split_sql('orders', 'o_orderkey')}, v AS (SELECT DISTINCT o_orderpriority AS v FROM s WHERE split = 'train')
+    SELECT 0::INTEGER AS position, 'numeric__o_totalprice' AS feature
+    UNION ALL SELECT 1, 'numeric__o_custkey'
+    UNION ALL SELECT (row_number() OVER (ORDER BY v) + 1)::INTEGER, 'categorical__o_orderpriority_' || v FROM v
+    """,
+)
 def mod4(spark, sf):
     df = orders(spark, sf)
     split = split_train_test(df, "o_orderstatus", ["o_orderkey"])
@@ -322,6 +330,23 @@ def evl10_summary(spark, sf):
     return metrics.fold_summary(folds)
 
 
+@query(
+    "evl10_regression_scores",
+    f"""
+    WITH f AS (SELECT o_custkey AS x, o_totalprice AS y,
+        (ntile(4) OVER (ORDER BY {hash_sql('o_orderkey')}, o_orderkey) - 1)::INTEGER AS fold FROM orders),
+    k AS (SELECT DISTINCT fold FROM f),
+    w AS (SELECT k.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM k JOIN f ON f.fold <> k.fold GROUP BY 1)
+    SELECT f.fold, round(1 - avg((y - a - b * x) * (y - a - b * x)) / var_pop(y), 8) AS score FROM f JOIN w ON f.fold = w.fold GROUP BY 1
+    """,
+)
+def evl10_regression(spark, sf):
+    scores = training.cross_validate(
+        orders(spark, sf), ["o_custkey"], "o_totalprice", "Linear Regression", None, ["o_orderkey"], "regression", 4
+    )
+    return rnd(scores, 8, "score")
+
+
 @query(
     "cmp1_shared_split",
     f"""
@@ -344,6 +369,26 @@ def cmp2(spark, sf):
     return result.table
 
 
+def line_scores_sql(name: str, slope: str) -> str:
+    return f"""SELECT '{name}' AS model, round(avg(abs(y - p)), 3) AS mae, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse,
+        round(1 - avg((y - p) * (y - p)) / var_pop(y), 7) AS r2
+    FROM (SELECT o_totalprice AS y, my + {slope} * ((o_custkey - a) / d - mx) AS p FROM s, z, m WHERE split = 'test')"""
+
+
+@query(
+    "cmp3_compare_linear_models",
+    f"WITH {LINE} {line_scores_sql('Linear Regression', 'sxy / sxx')} UNION ALL {line_scores_sql('Ridge Regression', 'n * sxy / (n * sxx + 250)')} "
+    f"UNION ALL {line_scores_sql('Lasso Regression', 'sign(sxy) * greatest(abs(sxy) - 100, 0) / sxx')}",
+)
+def cmp3_linear(spark, sf):
+    result = compare.compare_regressors(
+        orders(spark, sf), ["o_custkey"], "o_totalprice",
+        ["Linear Regression", "Ridge Regression", "Lasso Regression"],
+        {"Ridge Regression": {"alpha": 250.0}, "Lasso Regression": {"alpha": 100.0}}, ["o_orderkey"],
+    )
+    return rnd(rnd(result.table, 3, "mae", "rmse"), 7, "r2")
+
+
 @query("cmp3_compare_regressors")
 def cmp3(spark, sf):
     result = compare.compare_regressors(

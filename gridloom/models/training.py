@@ -22,21 +22,21 @@ MAX_MODEL_CLASSES = 1_000
 def validate_classification_target(df: DataFrame, target: str) -> DataFrame:
     """One row per class (``class, count``) with ``n_classes, missing, data_type``; or an error."""
     if target not in df.columns:
-        raise ValueError(f"Target column `{target}` not found in the table.")
+        raise ValueError(f"The table has no column `{target}`.")
     seen = df.groupBy(col(target).alias("c")).agg(F.count("*").alias("n"))
     facts = seen.agg(
         F.count("c").alias("classes"),
         F.coalesce(F.sum(F.when(F.col("c").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
     ).first()
     if facts["classes"] == 0:
-        raise ValueError(f"Target column `{target}` has no usable values.")
+        raise ValueError(f"`{target}` is NULL in every row.")
     if facts["classes"] < 2:
-        raise ValueError(f"Target column `{target}` has only one class; at least two are needed.")
+        raise ValueError(f"`{target}` always has the same value; there is nothing to tell apart.")
     dtype = df.schema[target].dataType
     if is_numeric(dtype) and facts["classes"] > MAX_TARGET_CLASSES:
         raise ValueError(
-            f"Target column `{target}` looks like a numeric target with {facts['classes']} "
-            "values. Pick a column with few classes, or use regression."
+            f"`{target}` has {facts['classes']} different numbers: too many classes, this is a "
+            "target for regression."
         )
     return seen.filter("c is not null").select(
         F.col("c").cast("string").alias("class"), F.col("n").alias("count"),
@@ -49,13 +49,13 @@ def validate_classification_target(df: DataFrame, target: str) -> DataFrame:
 def validate_regression_target(df: DataFrame, target: str) -> DataFrame:
     """One row: n_values, missing, n_unique, min, max, mean, data_type; or an error."""
     if target not in df.columns:
-        raise ValueError(f"Target column `{target}` not found in the table.")
+        raise ValueError(f"The table has no column `{target}`.")
     dtype = df.schema[target].dataType
     y = col(target)
     if df.agg(F.count(y)).first()[0] == 0:
-        raise ValueError(f"Target column `{target}` has no usable values.")
+        raise ValueError(f"`{target}` is NULL in every row.")
     if not is_numeric(dtype) and not isinstance(dtype, T.BooleanType):
-        raise ValueError(f"Target column `{target}` is not numeric; use classification instead.")
+        raise ValueError(f"`{target}` holds no numbers; it is a target for classification.")
     v = as_number(df, target)
     facts = df.select(v.alias("v")).groupBy("v").agg(F.count("*").alias("n")).agg(
         F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("n_values"),
@@ -66,7 +66,7 @@ def validate_regression_target(df: DataFrame, target: str) -> DataFrame:
     )
     row = df.agg(F.min(v), F.max(v)).first()
     if row[0] == row[1]:
-        raise ValueError(f"Target column `{target}` holds a single value; nothing to predict.")
+        raise ValueError(f"`{target}` never varies; a regression on it is pointless.")
     return facts
 
 
@@ -190,10 +190,10 @@ def prepare_rows(
     """Learn the preparation from the rows of ``train_rows``; vectors and label for all."""
     chosen = [c for c in existing(df, features) if c != target]
     if not chosen:
-        raise ValueError("Select at least one feature column to train on.")
+        raise ValueError("No feature column was given.")
     table = preparer(df.filter(train_rows), chosen)
     if table is None:
-        raise ValueError("None of the selected features can be used.")
+        raise ValueError("The features are all empty or of types that cannot be used.")
     label = as_number(df, target) if classes is None else _class_number(col(target), classes)
     wide = df.select(
         "*", _row_key(keys, df.columns).alias("_key"), label.alias("label"), col(target).alias("_actual")
@@ -214,7 +214,7 @@ def _finish(scored: DataFrame, keep: list[str], classes: list | None) -> DataFra
 def _train(df, features, target, model, params, keys, test_size, seed, stratify, classify, preparer) -> Trained:
     df = drop_missing_target(df, target)
     if df.isEmpty():
-        raise ValueError("No rows remain after dropping missing targets.")
+        raise ValueError(f"`{target}` is NULL in every row.")
     wanted = [*dict.fromkeys([*(keys or []), *existing(df, features), target])]
     split = split_train_test(df.select(*map(col, wanted)) if keys else df, target, keys, test_size, seed, stratify)
     train_rows = F.col(SPLIT) == TRAIN

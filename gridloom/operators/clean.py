@@ -49,7 +49,7 @@ def fit_fill_values(
     if strategy in ("mean", "median"):
         for c in names:
             if c not in numbers:
-                warnings.append(f"`{c}` is not numeric; `{strategy}` was skipped.")
+                warnings.append(f"`{c}` holds no numbers, so it has no {strategy}.")
         if strategy == "median":
             medians, _ = column_quantiles(df, numbers, [0.5], distinct_limit)
             fills = {c: medians[c][0] for c in numbers}
@@ -63,7 +63,7 @@ def fit_fill_values(
     else:
         raise ValueError(f"Unknown strategy `{strategy}`.")
     for c in [c for c, v in fills.items() if v is None]:
-        warnings.append(f"`{c}` has no value to learn from and was left alone.")
+        warnings.append(f"`{c}` is NULL throughout; nothing to fill it with.")
         del fills[c]
     return fills, warnings
 
@@ -271,7 +271,7 @@ def missing_guard(df: DataFrame, columns: list[str], what: str) -> None:
     row = df.agg(*[F.count(F.when(col(c).isNull(), 1)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     holes = [c for i, c in enumerate(columns) if row[i]]
     if holes:
-        raise ValueError(f"Cannot {what} columns with missing values: {', '.join(holes)}.")
+        raise ValueError(f"NULLs in {', '.join(holes)}: fill or drop them before you {what} the column.")
 
 
 def fit_scaler(
@@ -305,7 +305,7 @@ def fit_scaler(
         found = {c: (row[f"s{i}"], row[f"d{i}"]) for i, c in enumerate(names)}
     holes = [c for i, c in enumerate(names) if row[f"m{i}"]]
     if refuse_missing and holes:
-        raise ValueError(f"Cannot scale columns with missing values: {', '.join(holes)}.")
+        raise ValueError(f"NULLs in {', '.join(holes)}: fill or drop them before you scale the column.")
     return {c: (s, d if d else 1.0) for c, (s, d) in found.items() if s is not None}
 
 

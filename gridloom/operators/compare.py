@@ -29,9 +29,9 @@ class Comparison:
 
 def _compare(df, features, target, names, params, keys, test_size, seed, stratify, classify, preparer):
     if not names:
-        raise ValueError("Choose at least one model to compare.")
+        raise ValueError("The list of models is empty.")
     if not existing(df, features):
-        raise ValueError("Select at least one feature column to compare models.")
+        raise ValueError("No feature column was given.")
     df = drop_missing_target(df, target)
     split = split_train_test(df, target, keys, test_size, seed, stratify)
     train_rows = F.col(SPLIT) == TRAIN

@@ -110,9 +110,9 @@ def density(df: DataFrame, x: str, points: int = DENSITY_POINTS) -> DataFrame:
     v = as_number(df, x)
     n, lo, hi, std = df.agg(F.count(v), F.min(v), F.max(v), F.stddev_samp(v)).first()
     if n < 2:
-        raise ValueError(f"'{x}' needs at least two non-missing values for a density plot.")
+        raise ValueError(f"A density of `{x}` takes two values or more.")
     if lo == hi or not std:
-        raise ValueError(f"'{x}' is constant, so its density is not defined.")
+        raise ValueError(f"`{x}` never varies; its density has no width.")
     width = std * n ** (-1.0 / 5.0)
     step = (hi - lo) / (points - 1)
     scale = 1.0 / (n * width * math.sqrt(2.0 * math.pi))

@@ -50,7 +50,7 @@ def create_numeric_feature(
     """Combine two numeric columns. A zero divisor is an error, or NULL if asked for."""
     require(df, col_a, col_b)
     if operation not in NUMERIC_OPERATIONS:
-        raise ValueError(f"Unknown operation `{operation}`.")
+        raise ValueError(f"`{operation}` is no arithmetic operation.")
     name = name or f"{col_a}_{NUMERIC_OPERATIONS[operation]}_{col_b}"
     a, b = _wide(df, col_a), _wide(df, col_b)
     if operation == "sum":
@@ -61,7 +61,7 @@ def create_numeric_feature(
         result = a * b
     else:
         if on_zero == "error":
-            _refuse(df, {col_b: b == 0}, "{} contains zero, so the ratio is undefined there.")
+            _refuse(df, {col_b: b == 0}, "Division by zero: {} holds zeros.")
         result = F.try_divide(as_number(df, col_a), as_number(df, col_b))
     return _add(df, {name: result})
 
@@ -73,10 +73,10 @@ def apply_math_transform(df: DataFrame, columns: list[str], method: str = "log")
     names = existing(df, columns)
     suffix = MATH_SUFFIXES[method]
     if method == "log":
-        _refuse(df, {c: col(c) <= 0 for c in names}, "Cannot take the log of {}: not all positive.")
+        _refuse(df, {c: col(c) <= 0 for c in names}, "No logarithm for {}: zero or negative values.")
         return _add(df, {c + suffix: F.ln(as_number(df, c)) for c in names})
     if method == "sqrt":
-        _refuse(df, {c: col(c) < 0 for c in names}, "Cannot take the root of {}: negative values.")
+        _refuse(df, {c: col(c) < 0 for c in names}, "No square root for {}: negative values.")
         return _add(df, {c + suffix: F.sqrt(as_number(df, c)) for c in names})
     return _add(df, {c + suffix: _wide(df, c) * _wide(df, c) for c in names})
 
@@ -162,7 +162,7 @@ def extract_datetime_features(df: DataFrame, column: str, parts: list[str]) -> D
     require(df, column)
     when = parsed_time(df, column)
     if df.agg(F.count(when)).first()[0] == 0:
-        raise ValueError(f"`{column}` could not be parsed as a date.")
+        raise ValueError(f"No value of `{column}` reads as a date.")
     makers = {"year": F.year, "month": F.month, "day": F.dayofmonth, "weekday": F.weekday}
     return _add(df, {f"{column}_{p}": makers[p](when) for p in parts})
 
@@ -221,7 +221,7 @@ def low_variance_columns(df: DataFrame, columns: list[str], threshold: float = 0
     row = df.agg(*aggs).first()
     low = [c for i, c in enumerate(names) if row[i] is None or row[i] <= threshold]
     if len(low) == len(names):
-        raise ValueError("No selected column has a variance above the threshold.")
+        raise ValueError("Every column is below the variance threshold.")
     return low
 
 
@@ -232,10 +232,10 @@ def select_by_variance(df: DataFrame, columns: list[str], threshold: float = 0.0
 def weak_columns(df: DataFrame, target: str, threshold: float = 0.2) -> list[str]:
     """Numeric features whose correlation with the target is weak or undefined, one scan."""
     if target not in df.columns:
-        raise ValueError(f"Target column `{target}` not found in the table.")
+        raise ValueError(f"The table has no column `{target}`.")
     dtype = df.schema[target].dataType
     if not is_numeric(dtype) and not isinstance(dtype, T.BooleanType):
-        raise ValueError("Selection by correlation needs a numeric target column.")
+        raise ValueError(f"`{target}` holds no numbers to correlate with.")
     features = [c for c in numeric_columns(df) if c != target]
     if not features:
         return []

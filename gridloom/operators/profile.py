@@ -269,7 +269,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """
     columns = columns or numeric_columns(df)
     if len(columns) < 2:
-        raise ValueError("A correlation matrix needs at least two numeric columns.")
+        raise ValueError("Correlations take two numeric columns or more.")
     pairs = list(combinations(columns, 2))
     result = None
     for start in range(0, len(pairs), PAIRS_PER_SCAN):
@@ -290,7 +290,7 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     """Both triangles and the diagonal, in long form. The diagonal is NULL for constants."""
     columns = columns or numeric_columns(df)
     if len(columns) < 2:
-        raise ValueError("A correlation matrix needs at least two numeric columns.")
+        raise ValueError("Correlations take two numeric columns or more.")
     upper = correlations(df, columns)
     both = F.array(
         F.struct("column_a", "column_b", "correlation"),

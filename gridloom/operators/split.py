@@ -26,20 +26,20 @@ def split_train_test(
     ``keys`` identify a row. With ``stratify`` every class keeps its share on both sides.
     """
     if target not in df.columns:
-        raise ValueError(f"Target column `{target}` not found.")
+        raise ValueError(f"The table has no column `{target}` to split by.")
     require(df, *(keys or []))
     n = df.count()
     test = math.ceil(n * test_size)
     if not 0 < test < n:
-        raise ValueError("The train/test split failed: one side would be empty.")
+        raise ValueError(f"A test share of {test_size} of {n} rows leaves one side empty.")
     if stratify:
         sizes = class_sizes(df, target)
         if sum(sizes.values()) != n:
-            raise ValueError("Drop the rows without a target before a stratified split.")
+            raise ValueError("Rows without a target cannot be stratified; filter them first.")
         if min(sizes.values()) < 2 or min(test, n - test) < len(sizes):
             raise ValueError(
-                "The train/test split failed: with stratification every class needs at "
-                "least two members, and each side room for every class."
+                "Some class is too small for a stratified split: two rows per class are the "
+                "minimum, and each side must have room for every class."
             )
         quota = share_out(sizes, test)
         parts = {c: [quota[c], sizes[c] - quota[c]] for c in sizes}
@@ -74,17 +74,16 @@ def assign_folds(
 ) -> DataFrame:
     """Add ``fold`` (0 to n_folds-1); with a target every class is spread over all folds."""
     if n_folds < 2:
-        raise ValueError("Cross-validation needs at least two folds.")
+        raise ValueError("Ask for two folds or more.")
     if target is None:
         n = df.count()
         if n < n_folds:
-            raise ValueError("Cross-validation failed: fewer rows than folds.")
+            raise ValueError(f"{n} rows cannot be spread over {n_folds} folds.")
         return assign_parts(df, keys, random_state, {None: fold_sizes(n, n_folds)}, name="fold")
     sizes = class_sizes(df, target)
     if not sizes or min(sizes.values()) < n_folds:
         raise ValueError(
-            "Cross-validation failed: every class needs at least as many members as there "
-            "are folds. Use fewer folds or more data."
+            f"The smallest class has fewer than {n_folds} rows, so some fold would miss it."
         )
     parts = {c: fold_sizes(k, n_folds) for c, k in sizes.items()}
     return assign_parts(df, keys, random_state, parts, by=target, name="fold")

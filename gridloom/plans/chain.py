@@ -26,7 +26,7 @@ OPERATIONS = {
 def apply_feature_op(df: DataFrame, op: dict) -> DataFrame:
     """Run one ``{"key": ..., "params": {...}}`` operation."""
     if op["key"] not in OPERATIONS:
-        raise ValueError(f"Unknown feature operation: {op['key']}")
+        raise ValueError(f"`{op['key']}` is not in the list of operations.")
     return OPERATIONS[op["key"]](df, **op["params"])
 
 

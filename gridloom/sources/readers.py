@@ -40,7 +40,7 @@ def load_table(
     fmt = fmt or FORMATS.get(os.path.splitext(name)[1].lower())
     if fmt not in FORMATS.values():
         raise DataLoadError(
-            f"Unsupported file type for '{name}'. Supported: {', '.join(sorted(FORMATS))}."
+            f"'{name}' cannot be loaded; known extensions are {', '.join(sorted(FORMATS))}."
         )
     try:
         if fmt == "csv":
@@ -52,9 +52,9 @@ def load_table(
     except AnalysisException as exc:
         condition = exc.getCondition() or ""
         if "PATH_NOT_FOUND" in condition:
-            raise DataLoadError(f"File not found: {name}") from exc
+            raise DataLoadError(f"There is no '{name}' at that path.") from exc
         if "UNABLE_TO_INFER_SCHEMA" in condition:
-            raise DataLoadError(f"'{name}' appears to be empty.") from exc
+            raise DataLoadError(f"'{name}' holds no table.") from exc
         raise DataLoadError(f"Could not read '{name}': {exc}") from exc
     except PySparkException as exc:
         raise DataLoadError(f"Could not read '{name}': {exc}") from exc
@@ -63,9 +63,9 @@ def load_table(
 def validate_table(df: DataFrame, name: str) -> DataFrame:
     """At least one column and one row; looks at one row, not at the count."""
     if not df.columns:
-        raise DataLoadError(f"'{name}' does not contain any columns to work with.")
+        raise DataLoadError(f"'{name}' has no columns.")
     if df.isEmpty():
-        raise DataLoadError(f"'{name}' does not contain any rows.")
+        raise DataLoadError(f"'{name}' has a header but no rows.")
     return df
 
 
@@ -132,7 +132,7 @@ def read_csv(
     encoding = ENCODINGS[0] if lines["utf8"] else ENCODINGS[1]
     header = _raw_csv(spark, path, encoding, None, multi_line).columns
     if not header:
-        raise DataLoadError("The file appears to be empty.")
+        raise DataLoadError("There is no header line to read.")
     raw = _raw_csv(spark, path, encoding, header, multi_line)
     cells = [_cell(c) for c in header]
     checks = [F.count(F.when(_too_wide(len(header)), 1)).alias("broken")]
@@ -144,7 +144,7 @@ def read_csv(
     seen = raw.agg(*checks).first()
     if lines["open_quotes"] or seen["broken"]:
         raise DataLoadError(
-            "Could not read the CSV file. Make sure it is a valid comma-separated text file."
+            "The CSV text is malformed: an open quote, or a line with more cells than the header."
         )
     out = []
     for i, (c, cell) in enumerate(zip(header, cells)):
