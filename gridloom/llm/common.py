@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import require
+from ..functions.storage import cut_lineage
 
 # White space of the word rule of this folder: space and the controls \x09 to \x0D.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -60,3 +61,17 @@ def parts_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of few rows, so that Python objects of one slice exist at a time."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+# A table of at most so many narrow rows is broadcast; beyond it joins shuffle.
+BROADCAST_ROWS = 50_000
+
+
+def fitting(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table as a build side: broadcast where a count shows that it fits, else left alone.
+
+    The rows are written once, so the count and the join read the same ones. Use it for
+    narrow rows (keys and numbers).
+    """
+    small = cut_lineage(small)
+    return F.broadcast(small) if small.count() <= rows else small

@@ -4,21 +4,46 @@ from __future__ import annotations
 
 import textwrap
 
-from . import pieces, tokens, urls
+from . import copies, mixing, pieces, rules, tokens, urls
 from .common import table
 
 
+def op1_quality_rules(spark, sf_dir):
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_exact_dedup(spark, sf_dir):
+    return copies.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"))
 
 
+def op6_mix_sources(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op5_sentencepiece, op10_url_filter)}
-ORACLES = {"op10_url_filter": textwrap.dedent(urls.oracle_sql()).strip()}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_token_counts, op3_exact_dedup, op5_sentencepiece, op6_mix_sources, op10_url_filter,
+    )
+}
+ORACLES = {
+    name: textwrap.dedent(sql).strip()
+    for name, sql in (
+        ("op1_quality_rules", rules.oracle_sql()),
+        ("op3_exact_dedup", copies.ORACLE_SQL),
+        ("op6_mix_sources", mixing.oracle_sql()),
+        ("op10_url_filter", urls.oracle_sql()),
+    )
+}

@@ -136,12 +136,12 @@ def oracle_sql(rules=RULES, strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS
     verdict = " ".join(f + _sql_text(v) for f, (v, _, _) in zip(fits, ranked))
     return f"""
     WITH cut AS (
-        SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
+        SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS mark FROM pages
     ), split AS (
         SELECT page_id,
-               CASE WHEN at > 0 THEN translate(regexp_extract(url[at + 3:], '^[^/?#]*'), '{upper}', '{lower}') ELSE '' END AS host,
-               CASE WHEN at > 0 THEN regexp_extract(regexp_replace(url[at + 3:], '^[^/?#]*', ''), '^[^?#]*') ELSE '' END AS path,
-               translate(CASE WHEN at > 0 THEN url[at + 3:] ELSE url END, '{upper}', '{lower}') AS rest
+               CASE WHEN mark > 0 THEN translate(regexp_extract(url[mark + 3:], '^[^/?#]*'), '{upper}', '{lower}') ELSE '' END AS host,
+               CASE WHEN mark > 0 THEN regexp_extract(regexp_replace(url[mark + 3:], '^[^/?#]*', ''), '^[^?#]*') ELSE '' END AS path,
+               translate(CASE WHEN mark > 0 THEN url[mark + 3:] ELSE url END, '{upper}', '{lower}') AS rest
         FROM cut
     ), counted AS (
         SELECT *, {hits(strict)} AS n_strict, {hits(soft)} AS n_soft FROM split
