@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import textwrap
 
-from . import copies, mixing, pieces, rules, tokens, urls
+from . import copies, extraction, mixing, pieces, quality, rules, tokens, urls
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op3_exact_dedup(spark, sf_dir):
     return copies.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark, sf_dir):
+    return extraction.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_sentencepiece(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,11 @@ def op6_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -35,7 +44,8 @@ def op10_url_filter(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_token_counts, op3_exact_dedup, op5_sentencepiece, op6_mix_sources, op10_url_filter,
+        op1_quality_rules, op2_token_counts, op3_exact_dedup, op4_html_text, op5_sentencepiece,
+        op6_mix_sources, op9_quality_classifier, op10_url_filter,
     )
 }
 ORACLES = {
