@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import textwrap
 
-from . import copies, extraction, mixing, pieces, private, quality, rules, tokens, urls
+from . import copies, extraction, mixing, near, pieces, private, quality, rules, tokens, urls
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op6_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark, sf_dir):
+    return near.near_groups(table(spark, sf_dir, "documents")).drop("digest")
+
+
 def op8_private_data(spark, sf_dir):
     return private.find_private(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_token_counts, op3_exact_dedup, op4_html_text, op5_sentencepiece,
-        op6_mix_sources, op8_private_data, op9_quality_classifier, op10_url_filter,
+        op6_mix_sources, op7_near_dedup, op8_private_data, op9_quality_classifier, op10_url_filter,
     )
 }
 ORACLES = {
