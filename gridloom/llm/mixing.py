@@ -28,13 +28,14 @@ SEED = 42
 _BITS, _SHIFTS = 48, (36, 24)
 
 
-def sizes_of(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``doc_id, source, size`` and a row number ``copy`` of nothing else: size in words."""
+def sizes_of(docs: DataFrame, id_col: str, text_col: str, source_col: str, payload: bool = False) -> DataFrame:
+    """``doc_id, source, size`` (in words), and with ``payload`` the whole row as a struct."""
     require(docs, id_col, text_col, source_col)
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     return docs.select(
         quoted(id_col).alias("doc_id"), quoted(source_col).cast("string").alias("source"),
         F.size(words(text)).cast("bigint").alias("size"),
+        *([F.struct(*map(quoted, docs.columns)).alias("row")] if payload else []),
     )
 
 
@@ -95,38 +96,24 @@ def _crossing(ranked: DataFrame, shift: int) -> DataFrame:
     )
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights=WEIGHTS,
-    total_share: float = TOTAL_SHARE,
-    most: int = MOST_COPIES,
-    seed: int = SEED,
-) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken``, one row per row of ``docs``.
+def _ranked(sized: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
+    """Adds the source's goal and the document's rank; documents that need no draw have none."""
+    rows = sized.join(goal, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    share = F.col("missing") / F.col("source_size")
+    rank = pareto_rank(
+        key_hash(["doc_id"], seed), share, F.col("size") * F.col("docs") / F.col("source_size")
+    )
+    return rows.withColumn("rank", F.when((F.col("missing") > 0) & (F.col("size") > 0), rank))
 
-    ``taken`` is copies times size; a source's sum is as near to its target as the document
-    at which the target is met allows. Reruns agree: the random numbers are hashes of the id.
 
-    NULL and empty texts have size 0 and are taken for 0 words; a NULL source is a source
-    of its own, the last; rows that share an id and a source are taken or left together; an
-    empty table gives an empty one; other columns are left out.
-    """
+def _decided(docs, id_col, text_col, source_col, weights, total_share, most, seed, payload: bool) -> DataFrame:
     sized = cut_lineage(sizes_of(docs, id_col, text_col, source_col))
     goal = targets(sized, weights, total_share, most)
     ratio = F.col("target") / F.col("source_size")
     goal = goal.withColumn("whole", F.coalesce(F.floor(ratio).cast("int"), F.lit(0)))
     goal = goal.withColumn("missing", F.coalesce(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
     goal = fitting(goal.withColumnRenamed("source", "s"))
-    rows = sized.join(goal, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    share = F.col("missing") / F.col("source_size")
-    rank = pareto_rank(
-        key_hash(["doc_id"], seed), share, F.col("size") * F.col("docs") / F.col("source_size")
-    )
-    rows = rows.withColumn("rank", F.when((F.col("missing") > 0) & (F.col("size") > 0), rank))
-
+    rows = _ranked(sized, goal, seed)
     left = rows.filter("rank IS NOT NULL").select(
         "doc_id", "source", "size", "rank", "missing", F.lit(0).cast("bigint").alias("before")
     )
@@ -149,14 +136,53 @@ def mix(
     cuts = fitting(cuts.withColumnRenamed("source", "s"))
     passed = (place < F.col("cut")) | (F.col("with_it") & place.eqNullSafe(F.col("cut")))
     drawn = F.col("rank").isNotNull() & F.coalesce(passed, F.lit(False))
+    if payload:
+        rows = _ranked(sizes_of(docs, id_col, text_col, source_col, payload=True), goal, seed)
     done = rows.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    done = done.withColumn("copies", F.col("whole") + drawn.cast("int"))
+    return done.withColumn("copies", F.col("whole") + drawn.cast("int"))
+
+
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=WEIGHTS,
+    total_share: float = TOTAL_SHARE,
+    most: int = MOST_COPIES,
+    seed: int = SEED,
+) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken``, one row per row of ``docs``.
+
+    ``taken`` is copies times size; a source's sum is as near to its target as the document
+    at which the target is met allows. Reruns agree: the random numbers are hashes of the id.
+
+    NULL and empty texts have size 0 and are taken for 0 words; a NULL source is a source
+    of its own, the last; rows that share an id and a source are taken or left together; an
+    empty table gives an empty one; other columns are left out.
+    """
+    done = _decided(docs, id_col, text_col, source_col, weights, total_share, most, seed, False)
     return done.select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
     )
 
 
+def mix_rows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=WEIGHTS,
+    total_share: float = TOTAL_SHARE,
+    most: int = MOST_COPIES,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``docs``, each as many times as the mix takes it, all columns as they were."""
+    done = _decided(docs, id_col, text_col, source_col, weights, total_share, most, seed, True)
+    return done.select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")
+
+
 def oracle_sql(weights=WEIGHTS, total_share: float = TOTAL_SHARE, most: int = MOST_COPIES, seed: int = SEED) -> str:
     """The same in DuckDB's SQL over ``documents`` with distinct ids."""
     ranks = f"floor(odds / (1 + odds) * {float(1 << _BITS)!r})"
