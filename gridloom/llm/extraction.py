@@ -23,7 +23,7 @@ TRAINING_PAGES, SEED = 400, 11
 _END = tuple('.!?:;"”»…')
 _NOTE = ("copyright", "all rights reserved", "cookie", "subscribe", "newsletter", "advert", "sponsored", "log in", "sign up")
 _TEXT = (
-    "short", "medium", "long", "ends", "commas", "some_links", "all_links", "note", "mark", "bars", "first", "near_first", "last",
+    "short", "medium", "long", "ends", "commas", "some_links", "all_links", "note", "mark", "dots", "first", "near_first", "last",
 )
 N = 2 * len(SIGNS) + len(_TEXT) + 1
 
@@ -47,7 +47,7 @@ def active(blocks: list[Block]) -> list[list[int]]:
         share = block.linked / len(text)
         flags = (
             words < 4, 4 <= words < 12, words >= 12, text.endswith(_END), text.count(",") >= 2,
-            0.2 < share < 0.8, share >= 0.8, any(n in lower for n in _NOTE), "©" in text, words < 40 and ("|" in text or "·" in text),
+            0.2 < share < 0.8, share >= 0.8, any(n in lower for n in _NOTE), "©" in text, words < 40 and "·" in text,
             i == 0, 0 < i < 3, i == last,
         )
         out.append(
@@ -161,7 +161,17 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple[list
         return " ".join(words).capitalize() + rnd.choice(".....!?")
 
     def prose(count: int) -> str:
-        return " ".join(sentence(3, 18) for _ in range(count))
+        text = " ".join(sentence(3, 18) for _ in range(count))
+        style = rnd.random()
+        if style < 0.06:  # rows of a table, shouting, noise, lists of words: odd text is text
+            text = text.replace(" ", " | ") + rnd.choice(("", " |"))
+        elif style < 0.09:
+            text = text.upper().replace(" ", "!! ")
+        elif style < 0.12:
+            text = " ".join(w + rnd.choice(("###", "%%%", "***")) for w in text.split())
+        elif style < 0.16:
+            text = " ".join(w.strip(".,!?").lower() for w in text.split())
+        return text
 
     def bad(kind: str) -> str:
         link = lambda: f'<a href="/{word()}">{word().capitalize()}</a>'
