@@ -46,7 +46,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") != 3, F.col("l_discount") + F.lit(0.0)).alias("l_discount"),
         F.when(F.col("l_linenumber") != 5, F.col("l_tax") + F.lit(0.0)).alias("l_tax"),
         when_null("l_linenumber = 2", "l_returnflag"),
-        "l_linestatus",
+        "l_linestatus", when_null("l_linenumber = 4", "l_shipdate"),
         F.lit("x").alias("l_constant"),
     )
 
@@ -57,16 +57,16 @@ DIRTY = """dirty AS (
            CASE WHEN l_linenumber <> 3 THEN l_discount + 0.0::DOUBLE END AS l_discount,
            CASE WHEN l_linenumber <> 5 THEN l_tax + 0.0::DOUBLE END AS l_tax,
            CASE WHEN l_linenumber <> 2 THEN l_returnflag END AS l_returnflag,
-           l_linestatus, 'x' AS l_constant
+           l_linestatus, CASE WHEN l_linenumber <> 4 THEN l_shipdate END AS l_shipdate, 'x' AS l_constant
     FROM lineitem)"""
 DIRTY_COLUMNS = [
     ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
     ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
     ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
-    ("l_linestatus", "string"), ("l_constant", "string"),
+    ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"), ("l_constant", "string"),
 ]
-DIRTY_NUMBERS = [c for c, t in DIRTY_COLUMNS if t != "string"]
-DIRTY_TEXTS = [c for c, t in DIRTY_COLUMNS if t == "string"]
+DIRTY_NUMBERS = [c for c, t in DIRTY_COLUMNS if t not in ("string", "timestamp_ntz")]
+DIRTY_TEXTS = [c for c, t in DIRTY_COLUMNS if t in ("string", "timestamp_ntz")]
 
 
 def each(columns, template: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from ..operators import eda, profile
@@ -173,12 +175,9 @@ def eda9(spark, sf):
     "eda10_pairwise_points",
     f"WITH {DIRTY} "
     + " UNION ALL ".join(
-        f"SELECT '{a}' AS x_column, '{b}' AS y_column, {a} AS x, {b} AS y FROM dirty "
+        f"SELECT '{a}' AS x_column, '{b}' AS y_column, {a}::DOUBLE AS x, {b}::DOUBLE AS y FROM dirty "
         f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
-        for a, b in [
-            ("l_quantity", "l_extendedprice"), ("l_quantity", "l_discount"), ("l_quantity", "l_tax"),
-            ("l_extendedprice", "l_discount"), ("l_extendedprice", "l_tax"), ("l_discount", "l_tax"),
-        ]
+        for a, b in combinations([*NUMBERS, "l_linenumber"], 2)
     ),
 )
 def eda10(spark, sf):

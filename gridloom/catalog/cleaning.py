@@ -121,12 +121,10 @@ def cln7(spark, sf):
     return clean.remove_outliers(priced(spark, sf), ["price", "l_discount"])
 
 
-@query(
-    "cln8_remove_duplicates",
-    f"WITH {DIRTY} SELECT DISTINCT l_returnflag, l_linestatus, l_tax FROM dirty",
-)
+@query("cln8_remove_duplicates", f"WITH {DIRTY}, d AS (SELECT * FROM dirty UNION ALL SELECT * FROM dirty) SELECT DISTINCT * FROM d")
 def cln8(spark, sf):
-    return clean.remove_duplicates(dirty(spark, sf).select("l_returnflag", "l_linestatus", "l_tax"))
+    rows = dirty(spark, sf)
+    return clean.remove_duplicates(rows.unionByName(rows))
 
 
 @query(
@@ -145,7 +143,7 @@ def cln9(spark, sf):
     "cln10_label_encode",
     f"""
     WITH {DIRTY} SELECT {KEYS}, CASE WHEN l_returnflag IS NULL THEN -1 ELSE
-        dense_rank() OVER (ORDER BY l_returnflag NULLS LAST) - 1 END::INTEGER AS l_returnflag FROM dirty
+        dense_rank() OVER (ORDER BY l_returnflag NULLS LAST) - 1 END::BIGINT AS l_returnflag FROM dirty
     """,
 )
 def cln10(spark, sf):
@@ -155,7 +153,7 @@ def cln10(spark, sf):
 
 @query(
     "cln10_label_encode_many",
-    "SELECT p_partkey, (dense_rank() OVER (ORDER BY p_name) - 1)::INTEGER AS p_name FROM part",
+    "SELECT p_partkey, (dense_rank() OVER (ORDER BY p_name) - 1)::BIGINT AS p_name FROM part",
 )
 def cln10_many(spark, sf):
     df = table(spark, sf, "part").select("p_partkey", "p_name")
@@ -296,7 +294,7 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     z AS (SELECT avg(coalesce(o_totalprice, med)) AS a, stddev_pop(coalesce(o_totalprice, med)) AS d FROM t, m),
     codes AS (SELECT o_orderstatus AS v, row_number() OVER (ORDER BY o_orderstatus) - 1 AS code FROM (SELECT DISTINCT o_orderstatus FROM t))
     SELECT o_orderkey, split, round((coalesce(o_totalprice, med) - a) / d, 6) AS o_totalprice,
-        coalesce(code, -1)::INTEGER AS o_orderstatus, o_orderpriority
+        coalesce(code, -1)::BIGINT AS o_orderstatus, o_orderpriority
     FROM p CROSS JOIN m CROSS JOIN z LEFT JOIN codes ON v = o_orderstatus
     """,
 )
@@ -326,7 +324,7 @@ def pre2(spark, sf):
     f"""
     WITH {HOLED}, codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM
         (SELECT DISTINCT o_orderpriority AS v FROM t WHERE o_orderpriority IS NOT NULL))
-    SELECT o_orderkey, CASE WHEN o_orderpriority IS NOT NULL THEN coalesce(code, -1) END::INTEGER AS o_orderpriority
+    SELECT o_orderkey, CASE WHEN o_orderpriority IS NOT NULL THEN coalesce(code, -1) END::BIGINT AS o_orderpriority
     FROM p LEFT JOIN codes ON v = o_orderpriority
     """,
 )
@@ -338,6 +336,21 @@ def pre3(spark, sf):
     return fitted.apply(df).drop(SPLIT)
 
 
+@query(
+    "pre3_many_values",
+    f"""
+    WITH {split_sql('part', 'p_partkey')}, codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM
+        (SELECT DISTINCT p_name AS v FROM s WHERE split = 'train'))
+    SELECT p_partkey, coalesce(code, -1)::BIGINT AS p_name FROM s LEFT JOIN codes ON v = p_name
+    """,
+)
+def pre3_many(spark, sf):
+    """More values than one-hot encoding takes: codes are a joined table."""
+    split = split_train_test(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", ["p_partkey"])
+    fitted = fit_preparation(split.filter(F.col(SPLIT) == TRAIN), encode_columns=["p_name"], encode_method="label")
+    return fitted.apply(split).drop(SPLIT)
+
+
 FLOW = Workflow(
     missing={"columns": ["l_tax"], "strategy": "median"},
     duplicates=True,

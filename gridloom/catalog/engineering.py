@@ -151,6 +151,23 @@ def fe14(spark, sf):
     return fe.select_by_correlation(df, "l_quantity", 0.8)
 
 
+@query(
+    "fe14_correlations",
+    """
+    SELECT feature, round(r, 8) AS correlation, coalesce(abs(r) >= 0.8, false) AS kept FROM (
+        SELECT 'near' AS feature, corr(l_quantity * 2 + l_tax, l_quantity) AS r FROM lineitem
+        UNION ALL SELECT 'l_tax', corr(l_tax, l_quantity) FROM lineitem
+        UNION ALL SELECT 'l_flat', NULL)
+    """,
+)
+def fe14_correlations(spark, sf):
+    df = table(spark, sf, "lineitem").select(
+        "l_quantity", "l_returnflag", (F.col("l_quantity") * 2 + F.col("l_tax")).alias("near"), "l_tax",
+        F.lit(3).alias("l_flat"),
+    )
+    return rnd(fe.correlation_choice(df, "l_quantity", 0.8), 8, "correlation")
+
+
 OPS = [
     {"key": "numeric", "params": {"col_a": "l_quantity", "col_b": "l_tax", "operation": "sum", "name": "s"}},
     {"key": "math", "params": {"columns": ["l_quantity"], "method": "square"}},

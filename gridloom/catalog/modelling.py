@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import DataFrame, functions as F
 
 from ..models import neighbors, training
-from ..models.bayes import fit_gaussian_bayes
 from ..operators import compare, metrics
 from ..operators.prepare import fit_features
 from ..operators.split import SPLIT, TRAIN, split_train_test
@@ -20,16 +19,109 @@ def orders(spark, sf) -> DataFrame:
     return table(spark, sf, "orders")
 
 
-def labelled(spark, sf) -> DataFrame:
-    """Documents that carry a quality label."""
-    docs = table(spark, sf, "documents").select(
-        "doc_id", "lang", "source", "n_chars",
-        F.regexp_count("text", F.lit(r"(?U)\S+")).alias("n_words"),
+def sized(spark, sf) -> DataFrame:
+    """Parts with targets whose best models SQL can state.
+
+    ``kind`` follows the size with noise, ``side`` leaves a wide gap (NULL in between), and
+    ``cost`` is a number that follows the size with noise.
+    """
+    size, noise = F.col("p_size"), F.pmod("p_partkey", F.lit(20))
+    return table(spark, sf, "part").select(
+        "p_partkey", "p_size",
+        F.when(size + noise < 25, "a").when(size + noise < 45, "b").otherwise("c").alias("kind"),
+        F.when(size + noise < 35, "small").otherwise("large").alias("half"),
+        F.when(size <= 20, "low").when(size >= 31, "high").alias("side"),
+        F.when(size <= 20, 10.0).when(size >= 31, 50.0).alias("level"),
+        (size * size + F.pmod("p_partkey", F.lit(100))).cast("double").alias("cost"),
+    )
+
+
+SIZED = """sized AS (SELECT p_partkey, p_size, CASE WHEN p_size + p_partkey % 20 < 25 THEN 'a' WHEN p_size + p_partkey % 20 < 45 THEN 'b' ELSE 'c' END AS kind,
+        CASE WHEN p_size + p_partkey % 20 < 35 THEN 'small' ELSE 'large' END AS half,
+        CASE WHEN p_size <= 20 THEN 'low' WHEN p_size >= 31 THEN 'high' END AS side, CASE WHEN p_size <= 20 THEN 10::DOUBLE WHEN p_size >= 31 THEN 50::DOUBLE END AS level,
+        (p_size * p_size + p_partkey % 100)::DOUBLE AS cost FROM part)"""
+
+
+def on_size(spark, sf, target, model, params=None, **kw):
+    """A model of one feature, the size of a part."""
+    train = training.train_regressor if target in ("cost", "level") else training.train_classifier
+    return train(sized(spark, sf), ["p_size"], target, model, params, ["p_partkey"], **kw)
+
+
+def stump_sql(target: str, impurity: str, split: str = "s") -> str:
+    """The best single cut of ``p_size`` over the training rows, as ``cut``."""
+    if impurity == "variance":
+        sides = """n_l * (ss_l / n_l - (s_l / n_l) * (s_l / n_l)) + n_r * (ss_r / n_r - (s_r / n_r) * (s_r / n_r))"""
+        values = f"""v AS (SELECT p_size AS x, count(*)::DOUBLE AS n, sum({target}) AS s, sum({target} * {target}) AS ss FROM t GROUP BY 1),
+        w AS (SELECT x, sum(n) OVER o AS n_l, sum(s) OVER o AS s_l, sum(ss) OVER o AS ss_l, sum(n) OVER () - sum(n) OVER o AS n_r,
+            sum(s) OVER () - sum(s) OVER o AS s_r, sum(ss) OVER () - sum(ss) OVER o AS ss_r FROM v WINDOW o AS (ORDER BY x)),
+        best AS (SELECT x AS cut FROM w WHERE n_r > 0 ORDER BY round({sides}, 6), x LIMIT 1)"""
+    else:
+        part = "k / n * k / n" if impurity == "gini" else "-k / n * log2(k / n)"
+        total = "1 - sum({p})" if impurity == "gini" else "sum({p})"
+        values = f"""xs AS (SELECT DISTINCT p_size AS x FROM t WHERE p_size < (SELECT max(p_size) FROM t)),
+        k AS (SELECT x, p_size <= x AS lower, {target} AS c, count(*)::DOUBLE AS k FROM xs, t GROUP BY ALL),
+        h AS (SELECT x, lower, any_value(n) AS n, {total.format(p=part)} AS h FROM (SELECT *, sum(k) OVER (PARTITION BY x, lower) AS n FROM k) GROUP BY ALL),
+        best AS (SELECT x AS cut FROM h GROUP BY x ORDER BY round(sum(n * h), 6), x LIMIT 1)"""
+    return f"t AS (SELECT * FROM {split} WHERE split = 'train'), {values}"
+
+
+def stump_classes_sql(target: str, impurity: str, classes: str) -> str:
+    """Shares of the classes on the row's side of the cut, for every part."""
+    shares = ", ".join(f"round(avg(({target} = '{c}')::INTEGER), 6) AS p_{c}" for c in classes.split())
+    names = ", ".join(f"p_{c}" for c in classes.split())
+    return f"""
+    WITH {SIZED}, {split_sql('sized', 'p_partkey')}, {stump_sql(target, impurity)},
+    sides AS (SELECT p_size <= cut AS lower, mode({target}) AS prediction, {shares} FROM t, best GROUP BY 1)
+    SELECT p_partkey, prediction, {names} FROM sized, best JOIN sides ON lower = (p_size <= cut)"""
+
+
+def shares_of(trained, df, classes: str) -> DataFrame:
+    scored = trained.predict(df, ["p_partkey"])
+    return scored.select(
+        "p_partkey", "prediction",
+        *[F.round(F.col("probability")[i], 6).alias(f"p_{c}") for i, c in enumerate(classes.split())],
     )
-    return docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
 
 
-DOC_FEATURES = ["lang", "n_chars", "n_words"]
+# One standardised feature: the fitted line has a closed form. All orders are used.
+LINE = f"""{split_sql('orders', 'o_orderkey')}, t AS (SELECT * FROM s WHERE split = 'train'),
+    z AS (SELECT avg(o_custkey) AS a, stddev_pop(o_custkey) AS d FROM t),
+    x AS (SELECT (o_custkey - a) / d AS x, o_totalprice AS y FROM t, z),
+    m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM x)"""
+
+
+BAYES_COLUMNS = ["o_totalprice", "o_custkey"]
+
+
+def bayes_sql(train: str = "split = 'train'", rows: str = "s", by: str = "") -> str:
+    """Gaussian naive Bayes of the order status: ``q`` has ``o_orderkey, c, ll, p`` per class.
+
+    ``by`` names a column per value of which (as ``k.<by>``) a model of its own is fitted.
+    """
+    source = f"(SELECT k.{by} AS fit, r.* FROM {rows} r, k)" if by else f"(SELECT 0 AS fit, * FROM {rows})"
+    return f"""
+    r AS {source},
+    z AS (SELECT fit, avg(o_totalprice) AS a1, stddev_pop(o_totalprice) AS d1, avg(o_custkey) AS a2, stddev_pop(o_custkey) AS d2, count(*) AS n FROM r WHERE {train} GROUP BY 1),
+    x AS (SELECT r.*, n, (o_totalprice - a1) / d1 AS x1, (o_custkey - a2) / d2 AS x2 FROM r JOIN z USING (fit)),
+    c AS (SELECT fit, o_orderstatus AS c, ln(count(*)::DOUBLE / any_value(n)) AS prior, avg(x1) AS m1, var_pop(x1) + 1e-9::DOUBLE AS v1, avg(x2) AS m2, var_pop(x2) + 1e-9::DOUBLE AS v2
+        FROM x WHERE {train} GROUP BY ALL),
+    l AS (SELECT x.*, c.c, prior - 0.5::DOUBLE * ln(2 * pi() * v1) - (x1 - m1) * (x1 - m1) / (2 * v1)
+        - 0.5::DOUBLE * ln(2 * pi() * v2) - (x2 - m2) * (x2 - m2) / (2 * v2) AS ll FROM x JOIN c USING (fit)),
+    e AS (SELECT *, exp(ll - max(ll) OVER (PARTITION BY fit, o_orderkey)) AS e FROM l),
+    q AS (SELECT *, e / sum(e) OVER (PARTITION BY fit, o_orderkey) AS p FROM e),
+    answer AS (SELECT fit, o_orderkey, any_value(o_orderstatus) AS actual, max_by(c, ll) AS predicted FROM q GROUP BY ALL)"""
+
+
+def report_sql(answers: str) -> str:
+    """Scores per class of ``actual, predicted``."""
+    return f"""
+    pairs AS (SELECT * FROM {answers}),
+    labels AS (SELECT actual AS label FROM pairs UNION SELECT predicted FROM pairs),
+    counted AS (SELECT label, (SELECT count(*) FROM pairs WHERE actual = label AND predicted = label) AS hits,
+        (SELECT count(*) FROM pairs WHERE actual = label) AS support, (SELECT count(*) FROM pairs WHERE predicted = label) AS called FROM labels),
+    scored AS (SELECT *, coalesce(hits / nullif(called, 0)::DOUBLE, 0) AS precision, coalesce(hits / nullif(support, 0)::DOUBLE, 0) AS recall,
+        coalesce(2 * hits / nullif(called + support, 0)::DOUBLE, 0) AS f1 FROM counted)"""
 
 
 @query(
@@ -54,9 +146,9 @@ def mod2(spark, sf):
     return rnd(training.validate_regression_target(orders(spark, sf), "o_totalprice"), 4, "mean")
 
 
-def classify(spark, sf, model, params=None, **kw):
+def bayes(spark, sf, model="Naive Bayes", **kw):
     return training.train_classifier(
-        orders(spark, sf), ORDER_FEATURES, "o_orderstatus", model, params, ["o_orderkey"], **kw
+        orders(spark, sf), BAYES_COLUMNS, "o_orderstatus", model, None, ["o_orderkey"], **kw
     )
 
 
@@ -82,45 +174,90 @@ def mod4(spark, sf):
     return spark.createDataFrame(list(enumerate(fitted.names)), "position int, feature string")
 
 
-@query("mod5_feature_importance")
+@query("mod5_feature_importance", f"WITH {LINE} SELECT 'numeric__o_custkey' AS feature, round(abs(sxy / sxx), 3) AS importance FROM m")
 def mod5(spark, sf):
-    trained = classify(spark, sf, "Decision Tree", {"max_depth": 6})
-    return training.feature_importance(trained.model, trained.features.names, spark)
+    trained = training.train_regressor(
+        orders(spark, sf), ["o_custkey"], "o_totalprice", "Linear Regression", None, ["o_orderkey"]
+    )
+    return rnd(training.feature_importance(trained.model, trained.features.names, spark), 3, "importance")
 
 
-@query("mod6_train_classifier")
+@query(
+    "mod6_train_classifier",
+    f"""
+    WITH {stratified_sql('orders', 'o_orderkey', 'o_orderstatus')}, {bayes_sql()},
+    {report_sql("(SELECT actual, predicted FROM answer JOIN s USING (o_orderkey) WHERE split = 'test')")},
+    lines AS (SELECT label AS class, precision, recall, f1, support FROM scored
+        UNION ALL SELECT 'Macro average', avg(precision), avg(recall), avg(f1), sum(support) FROM scored
+        UNION ALL SELECT 'Weighted average', sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM scored)
+    SELECT class, round(precision, 8) AS precision, round(recall, 8) AS recall, round(f1, 8) AS f1, support::BIGINT AS support FROM lines
+    """,
+)
 def mod6(spark, sf):
-    trained = classify(spark, sf, "Logistic Regression", {"max_iter": 100}, stratify=True)
-    return trained.report
+    return rnd(bayes(spark, sf, stratify=True).report, 8, "precision", "recall", "f1")
 
 
-@query("mod7_train_regressor")
+@query(
+    "mod7_train_regressor",
+    f"""
+    WITH {LINE}, p AS (SELECT o_orderkey, o_totalprice AS y, my + sxy / sxx * ((o_custkey - a) / d - mx) AS p FROM s, z, m WHERE split = 'test')
+    SELECT o_orderkey, y AS actual, round(p, 3) AS predicted, round(y - p, 3) AS residual FROM p
+    """,
+)
 def mod7(spark, sf):
     trained = training.train_regressor(
-        orders(spark, sf), ["o_custkey", "o_orderpriority", "o_orderstatus"], "o_totalprice",
-        "Linear Regression", None, ["o_orderkey"],
+        orders(spark, sf), ["o_custkey"], "o_totalprice", "Linear Regression", None, ["o_orderkey"]
     )
-    return trained.predictions
+    return rnd(trained.predictions, 3, "predicted", "residual")
 
 
-@query("mod8_class_probabilities")
+@query(
+    "mod8_class_probabilities",
+    f"WITH {split_sql('orders', 'o_orderkey')}, {bayes_sql()} SELECT o_orderkey, c AS class, round(p, 6) AS probability FROM q",
+)
 def mod8(spark, sf):
-    df = orders(spark, sf)
-    trained = classify(spark, sf, "Naive Bayes")
-    return training.class_probabilities(trained.predict(df, ["o_orderkey"]), ["o_orderkey"], trained.classes)
+    trained = bayes(spark, sf)
+    scored = trained.predict(orders(spark, sf), ["o_orderkey"])
+    return rnd(training.class_probabilities(scored, ["o_orderkey"], trained.classes), 6, "probability")
 
 
-@query("mod9_model_registry")
+@query(
+    "mod9_model_registry",
+    f"""
+    WITH {split_sql('orders', 'o_orderkey')}, {bayes_sql()}, sided AS (SELECT actual, predicted, split FROM answer JOIN s USING (o_orderkey)),
+    {report_sql("(SELECT actual, predicted FROM sided WHERE split = 'test')")},
+    line AS (SELECT round(avg(precision), 8) AS precision, round(avg(recall), 8) AS recall, round(avg(f1), 8) AS f1 FROM scored),
+    hit AS (SELECT round(avg((actual = predicted)::INTEGER) FILTER (WHERE split = 'train'), 8) AS train_score,
+        round(avg((actual = predicted)::INTEGER) FILTER (WHERE split = 'test'), 8) AS test_score FROM sided)
+    SELECT model, test_score AS accuracy, precision, recall, f1, 'macro' AS average, train_score, test_score
+    FROM line, hit, (VALUES ('Naive Bayes'), ('own estimator')) AS names(model)
+    """,
+)
 def mod9(spark, sf):
-    # A model by name with its defaults, and one brought by the caller.
-    named = scores(classify(spark, sf, "Naive Bayes")).withColumn("model", F.lit("Naive Bayes"))
-    own = scores(classify(spark, sf, lambda: DecisionTreeClassifier(maxDepth=3)))
-    return named.unionByName(own.withColumn("model", F.lit("own estimator")))
+    # A model by name with its defaults, and the same brought by the caller.
+    named = scores(bayes(spark, sf)).withColumn("model", F.lit("Naive Bayes"))
+    own = scores(bayes(spark, sf, lambda: NaiveBayes(modelType="gaussian"))).withColumn("model", F.lit("own estimator"))
+    return rnd(named.unionByName(own), 8, "accuracy", "precision", "recall", "f1", "train_score", "test_score")
 
 
-@query("mod10_logistic_regression")
+@query(
+    "mod10_logistic_regression",
+    f"""
+    WITH {split_sql('orders', 'o_orderkey')}
+    SELECT o_orderpriority AS priority, round(avg((o_orderstatus = 'F')::INTEGER), 3) AS p_f,
+        round(avg((o_orderstatus = 'O')::INTEGER), 3) AS p_o, round(avg((o_orderstatus = 'P')::INTEGER), 3) AS p_p
+    FROM s WHERE split = 'train' GROUP BY 1
+    """,
+)
 def mod10(spark, sf):
-    return scores(classify(spark, sf, "Logistic Regression", {"C": 0.5}))
+    """One text feature, hardly any penalty: a value's probabilities are its class shares."""
+    df = orders(spark, sf)
+    trained = training.train_classifier(
+        df, ["o_orderpriority"], "o_orderstatus", "Logistic Regression", {"C": 1e9, "max_iter": 1000}, ["o_orderkey"]
+    )
+    scored = trained.predict(df, ["o_orderkey", "o_orderpriority"])
+    shares = [F.round(F.avg(F.col("probability")[i]), 3).alias(f"p_{c}") for i, c in enumerate("fop")]
+    return scored.groupBy(F.col("o_orderpriority").alias("priority")).agg(*shares)
 
 
 # Whole-number points, so that distances are exact and ties are real.
@@ -160,6 +297,17 @@ def mod11(spark, sf):
     )
 
 
+@query(
+    "mod11_neighbours_copies",
+    f"WITH {POINTS} SELECT k AS test_key, tk AS train_key, round(d, 6) AS distance FROM n",
+)
+def mod11_copies(spark, sf):
+    """Rows given several times are answered as if they were given once."""
+    train, test = points(spark, sf)
+    found = neighbors.nearest(train.withColumnRenamed("p_type", "y"), test.unionByName(test).unionByName(test), 5)
+    return rnd(found.select("test_key", "train_key", "distance"), 6, "distance")
+
+
 @query(
     "mod11_neighbours",
     f"WITH {POINTS} SELECT k AS test_key, tk AS train_key, round(d, 6) AS distance FROM n",
@@ -171,36 +319,36 @@ def mod11_neighbours(spark, sf):
     return rnd(found.select("test_key", "train_key", "distance"), 6, "distance")
 
 
-@query("mod12_decision_tree")
+@query("mod12_decision_tree", stump_classes_sql("kind", "entropy", "a b c"))
 def mod12(spark, sf):
-    return scores(classify(spark, sf, "Decision Tree", {"criterion": "entropy", "max_depth": 8, "min_samples_split": 10}))
+    """A tree of one cut: the best one by entropy, which SQL finds by trying all."""
+    params = {"criterion": "entropy", "max_depth": 1, "min_samples_split": 10}
+    return shares_of(on_size(spark, sf, "kind", "Decision Tree", params), sized(spark, sf), "a b c")
 
 
-@query("mod13_random_forest")
-def mod13(spark, sf):
-    return scores(classify(spark, sf, "Random Forest", {"n_estimators": 20, "max_depth": 6}))
+# A wide gap between the classes: every sound model puts each row on its own side.
+def gap_sql(target: str, extra: str = "") -> str:
+    return f"""
+    WITH {SIZED}, known AS (SELECT * FROM sized WHERE {target} IS NOT NULL), {split_sql('known', 'p_partkey')}
+    SELECT p_partkey, {target} AS actual, {target} AS predicted{extra} FROM s WHERE split = 'test'"""
 
 
-BAYES_COLUMNS = ["o_totalprice", "o_custkey"]
+@query("mod13_random_forest", gap_sql("side", ", 1::DOUBLE AS chance"))
+def mod13(spark, sf):
+    test = on_size(spark, sf, "side", "Random Forest", {"n_estimators": 20, "max_depth": 6}).test
+    return test.select("p_partkey", "actual", "predicted", F.round(F.array_max("probability"), 6).alias("chance"))
 
 
 @query(
     "mod14_gaussian_bayes",
-    """
-    WITH v AS (SELECT greatest(var_pop(o_totalprice), var_pop(o_custkey)) * 1e-9::DOUBLE AS extra FROM orders),
-    c AS (SELECT o_orderstatus AS c, ln(count(*)::DOUBLE / (SELECT count(*) FROM orders)) AS prior, avg(o_totalprice) AS m1, var_pop(o_totalprice) + any_value(extra) AS v1,
-        avg(o_custkey) AS m2, var_pop(o_custkey) + any_value(extra) AS v2 FROM orders, v GROUP BY 1),
-    l AS (SELECT o_orderkey, c, prior - 0.5::DOUBLE * ln(2 * pi() * v1) - (o_totalprice - m1) * (o_totalprice - m1) / (2 * v1)
-        - 0.5::DOUBLE * ln(2 * pi() * v2) - (o_custkey - m2) * (o_custkey - m2) / (2 * v2) AS ll FROM orders, c),
-    t AS (SELECT o_orderkey, max(ll) AS top FROM l GROUP BY 1),
-    s AS (SELECT o_orderkey, c, ll, exp(ll - top) / sum(exp(ll - top)) OVER (PARTITION BY o_orderkey) AS p FROM l JOIN t USING (o_orderkey))
+    f"""
+    WITH {split_sql('orders', 'o_orderkey')}, {bayes_sql()}
     SELECT o_orderkey, max_by(c, ll) AS prediction, round(max(p) FILTER (WHERE c = 'F'), 6) AS p_f,
-        round(max(p) FILTER (WHERE c = 'O'), 6) AS p_o, round(max(p) FILTER (WHERE c = 'P'), 6) AS p_p FROM s GROUP BY 1
+        round(max(p) FILTER (WHERE c = 'O'), 6) AS p_o, round(max(p) FILTER (WHERE c = 'P'), 6) AS p_p FROM q GROUP BY 1
     """,
 )
 def mod14(spark, sf):
-    df = orders(spark, sf)
-    scored = fit_gaussian_bayes(df, BAYES_COLUMNS, "o_orderstatus").score(df)
+    scored = bayes(spark, sf).predict(orders(spark, sf), ["o_orderkey"])
     p = F.col("probability")
     return scored.select(
         "o_orderkey", "prediction",
@@ -208,13 +356,6 @@ def mod14(spark, sf):
     )
 
 
-# One standardised feature: the fitted line has a closed form. All orders are used.
-LINE = f"""{split_sql('orders', 'o_orderkey')}, t AS (SELECT * FROM s WHERE split = 'train'),
-    z AS (SELECT avg(o_custkey) AS a, stddev_pop(o_custkey) AS d FROM t),
-    x AS (SELECT (o_custkey - a) / d AS x, o_totalprice AS y FROM t, z),
-    m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM x)"""
-
-
 def line(spark, sf, model, params=None):
     trained = training.train_regressor(
         orders(spark, sf), ["o_custkey"], "o_totalprice", model, params, ["o_orderkey"]
@@ -238,33 +379,34 @@ def mod15(spark, sf):
     return line(spark, sf, "Linear Regression")
 
 
-@query("mod16_support_vectors_linear")
+@query("mod16_support_vectors_linear", gap_sql("side"))
 def mod16(spark, sf):
-    trained = training.train_classifier(
-        labelled(spark, sf), DOC_FEATURES, "quality", "Support Vector Machine", {"kernel": "linear"}, ["doc_id"]
-    )
-    return scores(trained)
+    return on_size(spark, sf, "side", "Support Vector Machine", {"kernel": "linear"}).test.select("p_partkey", "actual", "predicted")
 
 
-@query("mod16_support_vectors_rbf")
+@query("mod16_support_vectors_rbf", gap_sql("side"))
 def mod16_rbf(spark, sf):
-    trained = training.train_classifier(
-        labelled(spark, sf), DOC_FEATURES, "quality", "Support Vector Machine", None, ["doc_id"]
-    )
-    return scores(trained)
+    return on_size(spark, sf, "side", "Support Vector Machine", None).test.select("p_partkey", "actual", "predicted")
 
 
-@query("mod16_support_vectors_poly")
+@query("mod16_support_vectors_poly", gap_sql("side"))
 def mod16_poly(spark, sf):
-    trained = training.train_classifier(
-        labelled(spark, sf), DOC_FEATURES, "quality", "Support Vector Machine", {"kernel": "poly", "C": 0.5}, ["doc_id"]
-    )
-    return scores(trained)
+    return on_size(spark, sf, "side", "Support Vector Machine", {"kernel": "poly", "C": 0.5}).test.select("p_partkey", "actual", "predicted")
 
 
-@query("mod17_gradient_boosting")
+@query(
+    "mod17_gradient_boosting",
+    f"""
+    WITH {SIZED}, signed AS (SELECT *, CASE half WHEN 'large' THEN -1::DOUBLE ELSE 1::DOUBLE END AS sign FROM sized), {split_sql('signed', 'p_partkey')},
+    {stump_sql('sign', 'variance')}, sides AS (SELECT p_size <= cut AS lower, 1 / (1 + exp(-2 * avg(sign))) AS p FROM t, best GROUP BY 1)
+    SELECT p_partkey, CASE WHEN p > 0.5 THEN 'small' ELSE 'large' END AS prediction, round(1 - p, 6) AS p_large, round(p, 6) AS p_small
+    FROM sized, best JOIN sides ON lower = (p_size <= cut)
+    """,
+)
 def mod17(spark, sf):
-    return scores(classify(spark, sf, "Gradient Boosting", {"n_estimators": 10}))
+    """One round of one cut: the log odds are twice the mean of -1 and 1 on each side."""
+    trained = on_size(spark, sf, "half", "Gradient Boosting", {"n_estimators": 1, "max_depth": 1})
+    return shares_of(trained, sized(spark, sf), "large small")
 
 
 @query("mod18_ridge_regression", line_sql("n * sxy / (n * sxx + 250)"))
@@ -277,27 +419,30 @@ def mod19(spark, sf):
     return line(spark, sf, "Lasso Regression", {"alpha": 100.0})
 
 
-def regress(spark, sf, model, params):
-    df = table(spark, sf, "part")
-    trained = training.train_regressor(
-        df, ["p_size", "p_partkey", "p_brand", "p_type"], "p_retailprice", model, params, ["p_partkey"]
-    )
-    return scores(trained)
+STUMP_VALUES = f"""
+    WITH {SIZED}, {split_sql('sized', 'p_partkey')}, {stump_sql('cost', 'variance')},
+    sides AS (SELECT p_size <= cut AS lower, avg(cost) AS p FROM t, best GROUP BY 1)
+    SELECT p_partkey, round(p, 4) AS prediction FROM sized, best JOIN sides ON lower = (p_size <= cut)"""
+
 
+def costs(spark, sf, model, params) -> DataFrame:
+    return rnd(on_size(spark, sf, "cost", model, params).predict(sized(spark, sf), ["p_partkey"]), 4, "prediction")
 
-@query("mod20_tree_regressor")
+
+@query("mod20_tree_regressor", STUMP_VALUES)
 def mod20(spark, sf):
-    return regress(spark, sf, "Decision Tree Regressor", {"max_depth": 8})
+    return costs(spark, sf, "Decision Tree Regressor", {"max_depth": 1})
 
 
-@query("mod21_forest_regressor")
+@query("mod21_forest_regressor", gap_sql("level"))
 def mod21(spark, sf):
-    return regress(spark, sf, "Random Forest Regressor", {"n_estimators": 10, "max_depth": 6})
+    test = on_size(spark, sf, "level", "Random Forest Regressor", {"n_estimators": 10, "max_depth": 6}).test
+    return rnd(test.select("p_partkey", "actual", "predicted"), 6, "predicted")
 
 
-@query("mod22_boosting_regressor")
+@query("mod22_boosting_regressor", STUMP_VALUES)
 def mod22(spark, sf):
-    return regress(spark, sf, "Gradient Boosting Regressor", {"n_estimators": 10})
+    return costs(spark, sf, "Gradient Boosting Regressor", {"n_estimators": 1, "max_depth": 1})
 
 
 @query(
@@ -314,37 +459,72 @@ def mod23(spark, sf):
     return rnd(neighbors.average(found, "distance"), 4, "prediction").withColumnRenamed("test_key", "p_partkey")
 
 
-@query("evl10_cross_validation")
+CUBES = f"""cubes AS (SELECT p_partkey::BIGINT * p_partkey * p_partkey AS x, p_size::BIGINT AS y FROM part UNION ALL
+        SELECT p_partkey::BIGINT * p_partkey * p_partkey, p_size::BIGINT FROM part),
+    s AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY {hash_sql("concat_ws('-', x, y)")}, x, y) <= ceil(count(*) OVER () * 0.2::DOUBLE)
+        THEN 'test' ELSE 'train' END AS split FROM cubes)"""
+
+
+@query(
+    "mod23_knn_registry",
+    f"""
+    WITH {CUBES}, asked AS (SELECT DISTINCT x FROM s WHERE split = 'test'),
+    n AS (SELECT a.x, t.y FROM asked a, s t WHERE t.split = 'train' QUALIFY row_number() OVER (PARTITION BY a.x ORDER BY abs(a.x - t.x)) <= 5),
+    p AS (SELECT x, avg(y) AS p FROM n GROUP BY 1)
+    SELECT y::DOUBLE AS actual, round(p, 6) AS predicted FROM s JOIN p USING (x) WHERE split = 'test'
+    """,
+)
+def mod23_registry(spark, sf):
+    """Every row twice and no keys; no three whole cubes are evenly spaced, so no distances tie."""
+    key = F.col("p_partkey")
+    part = table(spark, sf, "part").select((key * key * key).alias("x"), F.col("p_size").cast("bigint").alias("y"))
+    trained = training.train_regressor(part.unionByName(part), ["x"], "y", "KNN Regressor")
+    return trained.test.select(F.col("actual").cast("double").alias("actual"), F.round("predicted", 6).alias("predicted"))
+
+
+@query(
+    "evl10_cross_validation",
+    f"""
+    WITH f AS (SELECT *, (ntile(5) OVER (PARTITION BY o_orderstatus ORDER BY {hash_sql('o_orderkey')}, o_orderkey) - 1)::INTEGER AS fold FROM orders),
+    k AS (SELECT DISTINCT fold FROM f), {bayes_sql("fold <> fit", "f", "fold")}
+    SELECT fold, round(avg((actual = predicted)::INTEGER), 8) AS score FROM answer JOIN f USING (o_orderkey) WHERE fold = fit GROUP BY 1
+    """,
+)
 def evl10(spark, sf):
-    return training.cross_validate(
-        orders(spark, sf), ORDER_FEATURES, "o_orderstatus", "Naive Bayes", None, ["o_orderkey"], "classification", 5
+    scores = training.cross_validate(
+        orders(spark, sf), BAYES_COLUMNS, "o_orderstatus", "Naive Bayes", None, ["o_orderkey"], "classification", 5
     )
+    return rnd(scores, 8, "score")
 
 
-@query("evl10_cross_validation_summary")
-def evl10_summary(spark, sf):
-    folds = training.cross_validate(
-        table(spark, sf, "part"), ["p_partkey", "p_size"], "p_retailprice", "Linear Regression", None,
-        ["p_partkey"], "regression", 3,
+FOLD_SCORES = f"""
+    f AS (SELECT o_custkey AS x, o_totalprice AS y,
+        (ntile(4) OVER (ORDER BY {hash_sql('o_orderkey')}, o_orderkey) - 1)::INTEGER AS fold FROM orders),
+    k AS (SELECT DISTINCT fold FROM f),
+    w AS (SELECT k.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM k JOIN f ON f.fold <> k.fold GROUP BY 1),
+    r AS (SELECT f.fold, 1 - avg((y - a - b * x) * (y - a - b * x)) / var_pop(y) AS score FROM f JOIN w ON f.fold = w.fold GROUP BY 1)"""
+
+
+def line_folds(spark, sf) -> DataFrame:
+    return training.cross_validate(
+        orders(spark, sf), ["o_custkey"], "o_totalprice", "Linear Regression", None, ["o_orderkey"], "regression", 4
     )
-    return metrics.fold_summary(folds)
 
 
 @query(
-    "evl10_regression_scores",
+    "evl10_cross_validation_summary",
     f"""
-    WITH f AS (SELECT o_custkey AS x, o_totalprice AS y,
-        (ntile(4) OVER (ORDER BY {hash_sql('o_orderkey')}, o_orderkey) - 1)::INTEGER AS fold FROM orders),
-    k AS (SELECT DISTINCT fold FROM f),
-    w AS (SELECT k.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM k JOIN f ON f.fold <> k.fold GROUP BY 1)
-    SELECT f.fold, round(1 - avg((y - a - b * x) * (y - a - b * x)) / var_pop(y), 8) AS score FROM f JOIN w ON f.fold = w.fold GROUP BY 1
+    WITH {FOLD_SCORES} SELECT round(avg(score), 8) AS mean, round(stddev_pop(score), 8) AS std, round(min(score), 8) AS min,
+        round(max(score), 8) AS max, count(*) AS folds FROM r
     """,
 )
+def evl10_summary(spark, sf):
+    return rnd(metrics.fold_summary(line_folds(spark, sf)), 8, "mean", "std", "min", "max")
+
+
+@query("evl10_regression_scores", f"WITH {FOLD_SCORES} SELECT fold, round(score, 8) AS score FROM r")
 def evl10_regression(spark, sf):
-    scores = training.cross_validate(
-        orders(spark, sf), ["o_custkey"], "o_totalprice", "Linear Regression", None, ["o_orderkey"], "regression", 4
-    )
-    return rnd(scores, 8, "score")
+    return rnd(line_folds(spark, sf), 8, "score")
 
 
 @query(
@@ -359,14 +539,38 @@ def cmp1(spark, sf):
     return split.groupBy(SPLIT, "o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
-@query("cmp2_compare_classifiers")
+def compared_sql(name: str, pairs: str, share: str) -> str:
+    """Metrics of ``actual, predicted, score`` for the second of two classes, and the AUC."""
+    return f"""
+    SELECT '{name}' AS model, round(avg((actual = predicted)::INTEGER), 8) AS accuracy,
+        round(coalesce(sum((actual = 'small' AND predicted = 'small')::INTEGER) / nullif(sum((predicted = 'small')::INTEGER), 0)::DOUBLE, 0), 8) AS precision,
+        round(coalesce(sum((actual = 'small' AND predicted = 'small')::INTEGER) / nullif(sum((actual = 'small')::INTEGER), 0)::DOUBLE, 0), 8) AS recall,
+        round(2 * sum((actual = 'small' AND predicted = 'small')::INTEGER) / (sum((predicted = 'small')::INTEGER) + sum((actual = 'small')::INTEGER))::DOUBLE, 8) AS f1,
+        (SELECT round(sum(pos * (below + neg / 2::DOUBLE)) / (sum(pos) * sum(neg))::DOUBLE, 8) FROM
+            (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM
+                (SELECT {share} AS score, sum((actual = 'small')::INTEGER) AS pos, sum((actual <> 'small')::INTEGER) AS neg FROM {pairs} GROUP BY 1))) AS auc
+    FROM {pairs}"""
+
+
+@query(
+    "cmp2_compare_classifiers",
+    f"""
+    WITH {SIZED}, {stratified_sql('sized', 'p_partkey', 'half')}, {stump_sql('half', 'gini')},
+    sides AS (SELECT p_size <= cut AS lower, mode(half) AS predicted, avg((half = 'small')::INTEGER) AS score FROM t, best GROUP BY 1),
+    tree AS (SELECT half AS actual, predicted, score FROM s, best JOIN sides ON lower = (p_size <= cut) WHERE split = 'test'),
+    z AS (SELECT avg(p_size) AS a, stddev_pop(p_size) AS d, count(*) AS n FROM t),
+    g AS (SELECT half AS c, ln(count(*)::DOUBLE / any_value(n)) AS prior, avg((p_size - a) / d) AS m, var_pop((p_size - a) / d) + 1e-9::DOUBLE AS v FROM t, z GROUP BY 1),
+    l AS (SELECT p_size AS size, c, prior - 0.5::DOUBLE * ln(2 * pi() * v) - ((p_size - a) / d - m) * ((p_size - a) / d - m) / (2 * v) AS ll FROM (SELECT DISTINCT p_size FROM s), z, g),
+    o AS (SELECT size, max_by(c, ll) AS predicted, sum(CASE c WHEN 'small' THEN ll ELSE -ll END) AS score FROM l GROUP BY 1),
+    bayes AS (SELECT half AS actual, predicted, score FROM s JOIN o ON size = p_size WHERE split = 'test')
+    {compared_sql('Naive Bayes', 'bayes', 'round(score, 9)')} UNION ALL {compared_sql('Decision Tree', 'tree', 'round(score, 9)')}
+    """,
+)
 def cmp2(spark, sf):
     result = compare.compare_classifiers(
-        labelled(spark, sf), DOC_FEATURES, "quality",
-        ["Logistic Regression", "Naive Bayes", "Decision Tree", "K-Nearest Neighbors"],
-        {"Decision Tree": {"max_depth": 5}, "Logistic Regression": {"max_iter": 100}}, ["doc_id"],
+        sized(spark, sf), ["p_size"], "half", ["Naive Bayes", "Decision Tree"], {"Decision Tree": {"max_depth": 1}}, ["p_partkey"],
     )
-    return result.table
+    return rnd(result.table, 8, "accuracy", "precision", "recall", "f1", "auc")
 
 
 def line_scores_sql(name: str, slope: str) -> str:
@@ -389,11 +593,23 @@ def cmp3_linear(spark, sf):
     return rnd(rnd(result.table, 3, "mae", "rmse"), 7, "r2")
 
 
-@query("cmp3_compare_regressors")
+@query(
+    "cmp3_compare_regressors",
+    f"""
+    WITH {SIZED}, {split_sql('sized', 'p_partkey')}, {stump_sql('cost', 'variance')},
+    sides AS (SELECT p_size <= cut AS lower, avg(cost) AS p FROM t, best GROUP BY 1),
+    fitted AS (SELECT regr_slope(cost, p_size) AS b, regr_intercept(cost, p_size) AS a FROM t),
+    answers AS (SELECT 'Linear Regression' AS model, cost AS y, a + b * p_size AS p FROM s, fitted WHERE split = 'test'
+        UNION ALL SELECT 'Decision Tree Regressor', cost, p FROM s, best JOIN sides ON lower = (p_size <= cut) WHERE split = 'test')
+    SELECT model, round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(1 - avg((y - p) * (y - p)) / var_pop(y), 7) AS r2
+    FROM answers GROUP BY 1
+    """,
+)
 def cmp3(spark, sf):
     result = compare.compare_regressors(
-        table(spark, sf, "part"), ["p_size", "p_partkey", "p_type"], "p_retailprice",
-        ["Linear Regression", "Ridge Regression", "Decision Tree Regressor", "KNN Regressor"],
-        {"Decision Tree Regressor": {"max_depth": 6}}, ["p_partkey"],
+        sized(spark, sf), ["p_size"], "cost", ["Linear Regression", "Decision Tree Regressor"],
+        {"Decision Tree Regressor": {"max_depth": 1}}, ["p_partkey"],
     )
-    return result.table
+    return rnd(rnd(result.table, 4, "mae", "rmse"), 7, "r2")
+
+

@@ -40,9 +40,9 @@ def agg1(spark, sf):
     f"WITH {DIRTY} "
     + each(
         DIRTY_TEXTS,
-        "SELECT '{c}' AS \"column\", 'string' AS data_type, count({c}) AS count, "
+        "SELECT '{c}' AS \"column\", CASE WHEN '{c}' = 'l_shipdate' THEN 'timestamp_ntz' ELSE 'string' END AS data_type, count({c}) AS count, "
         "count(DISTINCT {c}) AS \"unique\", "
-        "(SELECT {c} FROM dirty WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top, "
+        "(SELECT {c}::VARCHAR FROM dirty WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS top, "
         "(SELECT count(*) FROM dirty WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 1 DESC LIMIT 1) AS frequency, "
         "count(*) - count({c}) AS missing FROM dirty",
     ),
@@ -59,13 +59,13 @@ def agg3(spark, sf):
 @query(
     "agg4_duplicate_rows",
     """
-    SELECT (SELECT count(*) FROM lineitem)
-         - (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_tax FROM lineitem)) AS duplicate_rows
+    WITH twice AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)
+    SELECT (SELECT count(*) FROM twice) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) AS duplicate_rows
     """,
 )
 def agg4(spark, sf):
-    df = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_tax")
-    return profile.duplicate_rows(df)
+    df = table(spark, sf, "lineitem")
+    return profile.duplicate_rows(df.unionByName(df.filter("l_linenumber = 1")))
 
 
 @query("agg5_unique_counts", f"WITH {DIRTY} {UNIQUE_SQL}")

@@ -23,6 +23,45 @@ def src1(spark, sf):
     return load_table(spark, path)
 
 
+@query(
+    "src1_wide_ids",
+    """
+    SELECT o_orderkey + 1234567890123450000 AS id, (o_orderkey::HUGEINT + 12345678901234567890123450000)::DECIMAL(38, 0) AS wide FROM orders
+    """,
+)
+def src1_wide(spark, sf):
+    """Whole numbers of 19 and 29 digits come back exactly."""
+    key = F.col("o_orderkey").cast("decimal(38,0)")
+    ids = table(spark, sf, "orders").select(
+        (key + F.lit("1234567890123450000").cast("decimal(38,0)")).cast("string").alias("id"),
+        (key + F.lit("12345678901234567890123450000").cast("decimal(38,0)")).cast("string").alias("wide"),
+    )
+    return load_table(spark, write_csv(ids, scratch_path(spark, "ids") + ".csv"))
+
+
+@query(
+    "src1_quoted_text",
+    """
+    SELECT p_partkey, p_size || '" ' || p_type AS inches, p_name || chr(10) || p_brand || ', "new"' AS two_lines FROM part
+    """,
+)
+def src1_quoted(spark, sf):
+    """Bare quotes inside a cell, and quoted cells with line breaks, commas and quotes."""
+    part = table(spark, sf, "part").select(
+        "p_partkey", F.concat(F.col("p_size").cast("string"), F.lit('" '), "p_type").alias("inches"),
+        F.concat(F.lit('"'), "p_name", F.lit("\n"), "p_brand", F.lit(', ""new"""')).alias("two_lines"),
+    )
+    path = scratch_path(spark, "part-quoted") + ".csv"
+    header = F.lit("p_partkey,inches,two_lines")
+    # Lines as other programs write them; every file starts with the header.
+    lines = part.select(F.concat_ws(",", "p_partkey", "inches", "two_lines").alias("line"))
+    numbered = lines.withColumn("n", F.pmod(F.xxhash64("line"), F.lit(4)))
+    heads = numbered.groupBy("n").agg(F.first("line").alias("line")).select(header.alias("line"), "n", F.lit(0).alias("place"))
+    ordered = numbered.withColumn("place", F.lit(1)).select("line", "n", "place").unionByName(heads)
+    ordered.repartition(4, "n").sortWithinPartitions("n", "place").select("line", "n").write.partitionBy("n").text(path)
+    return load_table(spark, path).drop("n")
+
+
 @query(
     "src2_load_dispatch",
     """
@@ -208,33 +247,47 @@ def flt4(spark, sf):
     )
 
 
-@query("lim1_head", f"SELECT {ORDER_TEXT} FROM orders ORDER BY o_orderkey LIMIT 5")
+@query("lim1_head", f"SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 def lim1(spark, sf):
-    return preview.head(table(spark, sf, "orders").drop("o_orderdate"), ["o_orderkey"])
+    return preview.head(table(spark, sf, "orders"), ["o_orderkey"])
 
 
-@query("lim2_tail", f"SELECT {ORDER_TEXT} FROM orders ORDER BY o_orderkey DESC LIMIT 5")
+@query("lim2_tail", f"SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 5")
 def lim2(spark, sf):
-    return preview.tail(table(spark, sf, "orders").drop("o_orderdate"), ["o_orderkey"])
+    return preview.tail(table(spark, sf, "orders"), ["o_orderkey"])
 
 
 @query(
     "lim3_random_sample",
-    f"SELECT {ORDER_TEXT} FROM orders ORDER BY {hash_sql('o_orderkey')}, o_orderkey LIMIT 100",
+    f"SELECT * FROM orders ORDER BY {hash_sql('o_orderkey')}, o_orderkey LIMIT 100",
 )
 def lim3(spark, sf):
-    return preview.random_sample(table(spark, sf, "orders").drop("o_orderdate"), 100, 42, ["o_orderkey"])
+    return preview.random_sample(table(spark, sf, "orders"), 100, 42, ["o_orderkey"])
 
 
 @query(
     "lim3_large_sample",
     f"""
-    SELECT {ORDER_TEXT} FROM orders
+    SELECT * FROM orders
     QUALIFY row_number() OVER (ORDER BY {hash_sql('o_orderkey', 7)}, o_orderkey) <= 10001
     """,
 )
 def lim3_large(spark, sf):
-    return preview.random_sample(table(spark, sf, "orders").drop("o_orderdate"), 10_001, 7, ["o_orderkey"])
+    return preview.random_sample(table(spark, sf, "orders"), 10_001, 7, ["o_orderkey"])
+
+
+@query(
+    "lim3_shared_key",
+    f"""
+    SELECT * FROM orders
+    ORDER BY {hash_sql('o_custkey')}, o_custkey,
+        {hash_sql("concat_ws('-', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)")},
+        o_orderkey LIMIT 100
+    """,
+)
+def lim3_shared(spark, sf):
+    """Rows that share a key are told apart by the rest of the row, in any layout."""
+    return preview.random_sample(table(spark, sf, "orders").repartition(7), 100, 42, ["o_custkey"])
 
 
 PAIRS = [

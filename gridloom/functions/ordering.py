@@ -78,4 +78,18 @@ def position_codes(values: DataFrame, name: str, rows: int, window_rows: int = W
     """``name, code``: 0-based place of each distinct value in sorted order."""
     ones = values.select(col(name), F.lit(1).alias("_one"))
     ranked = running_sums(ones, [], [name], ["_one"], rows, window_rows)
-    return ranked.select(col(name), (F.col("cum__one") - 1).cast("int").alias("code"))
+    return ranked.select(col(name), (F.col("cum__one") - 1).alias("code"))
+
+
+def join_codes(df: DataFrame, column: str, codes: DataFrame, name: str) -> DataFrame:
+    """Adds the code of each value from ``_v, code``; NULL for unknown values and NULLs.
+
+    NULLs match nothing, so they are dealt evenly over the tasks instead of meeting in one.
+    """
+    spread = F.when(col(column).isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(4096))).otherwise(F.lit(0))
+    left = df.withColumn("_spread", spread.cast("bigint"))
+    right = codes.select(
+        F.col("_v"), F.col("code").alias(name), F.lit(0).cast("bigint").alias("_at")
+    )
+    same = (col(column).cast("string") == F.col("_v")) & (F.col("_spread") == F.col("_at"))
+    return left.join(right, same, "left").drop("_spread", "_v", "_at")

@@ -241,12 +241,15 @@ def take_rows(
 ) -> DataFrame:
     """A seeded sample of ``n`` rows without replacement (all rows if there are fewer).
 
-    A report-sized sample is a top-k by hash; a larger one is cut out in place.
+    A report-sized sample is a top-k by hash; a larger one is cut out in place. Both take the
+    rows in the same order: by the hash of the key and the key, and rows that share one by
+    the hash of the whole row and the row.
     """
     keys = list(keys or df.columns)
     if n <= report_rows:
-        hashed = df.withColumn("_h", key_hash(keys, seed))
-        return hashed.orderBy("_h", *map(col, keys)).limit(n).drop("_h")
+        hashed = df.withColumn("_h", key_hash(keys, seed)).withColumn("_all", key_hash(df.columns, seed))
+        order = ["_h", *map(col, keys), "_all", *map(col, df.columns)]
+        return hashed.orderBy(*order).limit(n).drop("_h", "_all")
     total = df.count()
     n = min(n, total)
     parts = assign_parts(df, keys, seed, {None: [n, total - n]}, name="_part")

@@ -16,6 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named
     context = spark.sparkContext
+    if not context.master.split("[")[0] == "local":
+        raise RuntimeError(f"Set {SETTING} to a folder that all executors share.")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
     return context.getCheckpointDir()

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.sampling import key_hash
+from ..functions.storage import cut_lineage
 
 # Rows per group of training rows, and per batch of query rows, in one task.
 CELL_ROWS = 10_000
@@ -39,7 +40,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def _drop_spare_copies(train: DataFrame, k: int) -> DataFrame:
     """Of rows at the very same point only the k with the smallest keys can be neighbours."""
-    order = Window.partitionBy("x").orderBy("key")
+    order = Window.partitionBy("x").orderBy("key", "y")
     return train.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k).drop("_r")
 
 
@@ -113,8 +114,8 @@ def _local_best(k: int):
         empty = pd.DataFrame({"test_key": [], "train_key": [], "distance2": [], "y": []})
         if len(train) == 0 or len(test) == 0:
             return empty
-        # Sorted by key and searched with a stable sort: of equal distances the smaller key wins.
-        train = train.sort_values("key", kind="stable")
+        # Sorted by key and value, and ranked by place: of equal distances the smaller key wins.
+        train = train.sort_values(["key", "y"], kind="stable")
         points, keys, y = _matrix(train["x"]), train["key"].to_numpy(), train["y"].to_numpy()
         queries, names = _matrix(test["x"]), test["key"].to_numpy()
         out_row, out_at, out_d = [], [], []
@@ -125,12 +126,14 @@ def _local_best(k: int):
                 kth = np.partition(d, k - 1, axis=1)[:, k - 1]
             else:
                 kth = np.full(len(d), np.inf)
-            for i in range(len(d)):
-                close = np.nonzero(d[i] <= kth[i])[0]
-                close = close[np.argsort(d[i][close], kind="stable")][:k]
-                out_row.append(np.full(len(close), start + i))
-                out_at.append(close)
-                out_d.append(d[i][close])
+            row, close = np.nonzero(d <= kth[:, None])
+            order = np.lexsort((close, d[row, close], row))
+            row, close = row[order], close[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, close = row[best], close[best]
+            out_row.append(start + row)
+            out_at.append(close)
+            out_d.append(d[row, close])
         row, at = np.concatenate(out_row), np.concatenate(out_at)
         return pd.DataFrame(
             {"test_key": names[row], "train_key": keys[at], "distance2": np.concatenate(out_d), "y": y[at]}
@@ -144,16 +147,21 @@ def nearest(
 ) -> DataFrame:
     """``test_key, rank, train_key, distance, y``: the k nearest training rows of each row.
 
-    ``train`` has ``key, x, y`` and ``test`` has ``key, x``: a unique key, the point as
-    array<double>, the value to learn. Equal distances go to the smaller training key.
+    ``train`` has ``key, x, y`` and ``test`` has ``key, x``: a key, the point as
+    array<double>, the value to learn. Equal distances go to the smaller training key, equal
+    keys to the smaller value. Training rows may share a key; test rows that share key and
+    point are answered once.
     """
-    train = _drop_spare_copies(train.select("key", "x", "y"), k)
-    test = test.select("key", "x")
+    train = cut_lineage(_drop_spare_copies(train.select("key", "x", "y"), k))
+    asked = cut_lineage(
+        test.select("key", "x").distinct().withColumn("_number", F.monotonically_increasing_id())
+    )
+    test = asked.select(F.col("_number").alias("key"), "x")
     n = train.count()
     if n == 0:
         raise ValueError("There are no training rows to search.")
     pivots = _pivots(train, max(1, min(MAX_PIVOTS, n // cell_rows)))
-    placed = _in_cells(train, pivots)
+    placed = cut_lineage(_in_cells(train, pivots))
     order = Window.partitionBy("cell").orderBy("reach", "key")
     closest = (
         placed.select("cell", "reach", "key")
@@ -169,7 +177,7 @@ def nearest(
         placed.groupBy("cell").agg(F.count("*"), F.max("reach")).collect()
     ):
         sizes[cell], radius[cell] = size, reach
-    visits = _visits(test, pivots, radius, near, k)
+    visits = cut_lineage(_visits(test, pivots, radius, near, k))
     if len(pivots) == 1:
         queries = {0: test.count()}
     else:
@@ -195,9 +203,12 @@ def nearest(
         ]
     )
     found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(_local_best(k), schema)
-    order = Window.partitionBy("test_key").orderBy("distance2", "train_key")
+    order = Window.partitionBy("test_key").orderBy("distance2", "train_key", "y")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("test_key", "rank", "train_key", F.sqrt("distance2").alias("distance"), "y")
+    ranked = ranked.join(asked.select("_number", "key"), F.col("test_key") == F.col("_number"))
+    return ranked.select(
+        F.col("key").alias("test_key"), "rank", "train_key", F.sqrt("distance2").alias("distance"), "y"
+    )
 
 
 def weighted(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:

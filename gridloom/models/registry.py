@@ -106,13 +106,15 @@ class Neighbours:
     weights: None = None
 
     def score(self, df: DataFrame) -> DataFrame:
-        found = neighbors.nearest(self.train, df.select(F.col("_key").alias("key"), _point()), self.k)
+        # Searched once per point: rows at the same point have the same answer.
+        points = df.select(_point()).distinct()
+        found = neighbors.nearest(self.train, points.select(F.col("x").alias("key"), "x"), self.k)
         if self.classes is None:
             answer = neighbors.average(found, self.how)
         else:
             answer = neighbors.vote(found, [float(i) for i in range(len(self.classes))], self.how)
         kept = [c for c in df.columns if c != "features"]
-        return df.select(*kept).join(answer, F.col("_key") == F.col("test_key")).drop("test_key")
+        return df.select(*kept, _point()).join(answer, F.col("x") == F.col("test_key")).drop("x", "test_key")
 
 
 def _point():
@@ -143,7 +145,9 @@ class Spec:
 
 
 def _depth(value: int | None) -> int:
-    return DEEPEST if value is None else min(value, DEEPEST)
+    if value is not None and value > DEEPEST:
+        raise ValueError(f"Trees of up to {DEEPEST} levels can be grown; {value} were asked for.")
+    return DEEPEST if value is None else value
 
 
 def _leaf_rows(min_samples_split: int) -> int:

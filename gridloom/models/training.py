@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -15,7 +15,8 @@ from ..operators.split import SPLIT, TEST, TRAIN, assign_folds, split_train_test
 from .one_vs_rest import in_parallel
 from .registry import fit_model
 
-# Classes a model can be trained for: each has a slot in the probability array.
+# Classes a model is trained for unless the caller allows more: each has a slot in the
+# probability array.
 MAX_MODEL_CLASSES = 1_000
 
 
@@ -52,9 +53,9 @@ def validate_regression_target(df: DataFrame, target: str) -> DataFrame:
         raise ValueError(f"The table has no column `{target}`.")
     dtype = df.schema[target].dataType
     y = col(target)
-    if df.agg(F.count(y)).first()[0] == 0:
-        raise ValueError(f"`{target}` is NULL in every row.")
     if not is_numeric(dtype) and not isinstance(dtype, T.BooleanType):
+        if df.filter(y.isNotNull()).isEmpty():
+            raise ValueError(f"`{target}` is NULL in every row.")
         raise ValueError(f"`{target}` holds no numbers; it is a target for classification.")
     v = as_number(df, target)
     facts = df.select(v.alias("v")).groupBy("v").agg(F.count("*").alias("n")).agg(
@@ -64,16 +65,18 @@ def validate_regression_target(df: DataFrame, target: str) -> DataFrame:
         F.try_divide(F.sum(F.col("v") * F.col("n")), F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).cast("double")).alias("mean"),
         F.lit(type_name(dtype)).alias("data_type"),
     )
-    row = df.agg(F.min(v), F.max(v)).first()
-    if row[0] == row[1]:
+    row = facts.first()
+    if not row["n_unique"]:
+        raise ValueError(f"`{target}` is NULL in every row.")
+    if row["min"] == row["max"]:
         raise ValueError(f"`{target}` never varies; a regression on it is pointless.")
-    return facts
+    return df.sparkSession.createDataFrame([row], facts.schema)
 
 
-def class_list(df: DataFrame, target: str) -> list:
-    rows = df.select(col(target)).filter(col(target).isNotNull()).distinct().limit(MAX_MODEL_CLASSES + 1).collect()
-    if len(rows) > MAX_MODEL_CLASSES:
-        raise ValueError(f"`{target}` has more than {MAX_MODEL_CLASSES} classes.")
+def class_list(df: DataFrame, target: str, limit: int = MAX_MODEL_CLASSES) -> list:
+    rows = df.select(col(target)).filter(col(target).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"`{target}` has more than {limit} classes; allow more with `max_classes`.")
     return sorted(r[0] for r in rows)
 
 
@@ -93,17 +96,19 @@ def _class_value(number: Column, classes: list) -> Column:
     return F.get(names, number.cast("int"))
 
 
-def _row_key(keys: list[str] | None, columns: list[str]) -> Column:
-    keys = keys or columns
+def _row_key(keys: list[str] | None, features: list[str]) -> Column:
+    """What rows are ordered and dealt by: the caller's keys, else the features alone."""
+    keys = keys or features
     return col(keys[0]) if len(keys) == 1 else F.to_json(F.struct(*map(col, keys)))
 
 
 @dataclass
 class Trained:
-    """A fitted model and its prepared rows. Each side is scored only when it is asked for.
+    """A fitted model and its prepared rows, both sides scored at most once.
 
     Scored tables hold ``keys, split, actual, predicted`` and, for classifiers,
-    ``probability``. Persist them when several reports are made from one.
+    ``probability``. Prepared rows and scored sides stay persisted for the reports made
+    from them until ``close()``, or the end of a ``with`` block; later reads compute anew.
     """
 
     model: object
@@ -111,10 +116,23 @@ class Trained:
     classes: list | None
     rows: DataFrame
     keep: list[str]
+    _sides: dict = field(default_factory=dict, repr=False)
 
     def _side(self, side: str) -> DataFrame:
-        rows = self.rows.filter(F.col(SPLIT) == side)
-        return _finish(self.model.score(rows), self.keep, self.classes)
+        if side not in self._sides:
+            rows = self.rows.filter(F.col(SPLIT) == side)
+            self._sides[side] = _finish(self.model.score(rows), self.keep, self.classes).persist()
+        return self._sides[side]
+
+    def close(self) -> None:
+        for held in (self.rows, *self._sides.values()):
+            held.unpersist()
+
+    def __enter__(self) -> Trained:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     @property
     def train(self) -> DataFrame:
@@ -126,7 +144,7 @@ class Trained:
 
     @property
     def scored(self) -> DataFrame:
-        return _finish(self.model.score(self.rows), self.keep, self.classes)
+        return self.train.unionByName(self.test)
 
     @property
     def metrics(self) -> DataFrame:
@@ -154,7 +172,7 @@ class Trained:
 
     def predict(self, df: DataFrame, keys: list[str]) -> DataFrame:
         """Score another table: ``keys, prediction`` and one probability per class."""
-        wide = df.select("*", _row_key(keys, df.columns).alias("_key"))
+        wide = df.select("*", _row_key(keys, keys).alias("_key"))
         scored = self.model.score(self.features.vectors(wide, [*dict.fromkeys([*keys, "_key"])]))
         if self.classes is None:
             return scored.select(*map(col, keys), "prediction")
@@ -196,7 +214,7 @@ def prepare_rows(
         raise ValueError("The features are all empty or of types that cannot be used.")
     label = as_number(df, target) if classes is None else _class_number(col(target), classes)
     wide = df.select(
-        "*", _row_key(keys, df.columns).alias("_key"), label.alias("label"), col(target).alias("_actual")
+        "*", _row_key(keys, chosen).alias("_key"), label.alias("label"), col(target).alias("_actual")
     )
     return table, table.vectors(wide, [*dict.fromkeys([*keep, "_key", "label", "_actual"])])
 
@@ -211,22 +229,25 @@ def _finish(scored: DataFrame, keep: list[str], classes: list | None) -> DataFra
     )
 
 
-def _train(df, features, target, model, params, keys, test_size, seed, stratify, classify, preparer) -> Trained:
+def _train(
+    df, features, target, model, params, keys, test_size, seed, stratify, classify, preparer, max_classes=MAX_MODEL_CLASSES
+) -> Trained:
     df = drop_missing_target(df, target)
     if df.isEmpty():
         raise ValueError(f"`{target}` is NULL in every row.")
     wanted = [*dict.fromkeys([*(keys or []), *existing(df, features), target])]
     split = split_train_test(df.select(*map(col, wanted)) if keys else df, target, keys, test_size, seed, stratify)
     train_rows = F.col(SPLIT) == TRAIN
-    classes = class_list(split.filter(train_rows), target) if classify else None
+    classes = class_list(split.filter(train_rows), target, max_classes) if classify else None
     keep = [*(keys or []), SPLIT]
     table, rows = prepare_rows(split, features, target, keys, classes, train_rows, keep, preparer)
-    # Learners read their rows several times; afterwards each side is scored on demand.
+    # Learners read their rows several times, and so do the reports after them.
     rows.persist()
     try:
         fitted = fit_model(model, rows.filter(train_rows), classes, params, seed)
-    finally:
+    except BaseException:
         rows.unpersist()
+        raise
     return Trained(fitted, table, classes, rows, keep)
 
 
@@ -234,9 +255,16 @@ def train_classifier(
     df: DataFrame, features: list[str], target: str, model="Logistic Regression",
     params: dict | None = None, keys: list[str] | None = None, test_size: float = 0.2,
     random_state: int = 42, stratify: bool = False, preparer=fit_features,
+    max_classes: int = MAX_MODEL_CLASSES,
 ) -> Trained:
-    """Drop rows without a target, split, learn preparation and model on train, score all."""
-    return _train(df, features, target, model, params, keys, test_size, random_state, stratify, True, preparer)
+    """Drop rows without a target, split, learn preparation and model on train, score all.
+
+    More than ``max_classes`` classes are refused. A preparer with a higher bound on
+    categories is ``functools.partial(fit_features, max_categories=...)``.
+    """
+    return _train(
+        df, features, target, model, params, keys, test_size, random_state, stratify, True, preparer, max_classes
+    )
 
 
 def train_regressor(
@@ -250,13 +278,13 @@ def train_regressor(
 def cross_validate(
     df: DataFrame, features: list[str], target: str, model, params: dict | None = None,
     keys: list[str] | None = None, task: str = "classification", n_folds: int = 5,
-    random_state: int = 42, preparer=fit_features,
+    random_state: int = 42, preparer=fit_features, max_classes: int = MAX_MODEL_CLASSES,
 ) -> DataFrame:
     """``fold, score``: accuracy or R2 of each fold, with a preparation learned per fold."""
     df = drop_missing_target(df, target)
     classify = task == "classification"
     folds = assign_folds(df, keys, n_folds, random_state, target if classify else None)
-    classes = class_list(df, target) if classify else None
+    classes = class_list(df, target, max_classes) if classify else None
 
     def one(fold: int) -> tuple[int, float]:
         inside = F.col("fold") != fold
@@ -264,13 +292,13 @@ def cross_validate(
         data.persist()
         try:
             fitted = fit_model(model, data.filter(inside), classes, params, random_state)
+            held = _finish(fitted.score(data.filter(~inside)), ["fold"], classes)
+            if classify:
+                hit = (F.col("actual") == F.col("predicted")).cast("double")
+                return fold, float(held.agg(F.avg(hit)).first()[0])
+            return fold, float(metrics.regression_metrics(held).first()["r2"])
         finally:
             data.unpersist()
-        held = _finish(fitted.score(data.filter(~inside)), ["fold"], classes)
-        if classify:
-            hit = (F.col("actual") == F.col("predicted")).cast("double")
-            return fold, float(held.agg(F.avg(hit)).first()[0])
-        return fold, float(metrics.regression_metrics(held).first()["r2"])
 
     rows = in_parallel(one, list(range(n_folds)))
     return df.sparkSession.createDataFrame(rows, "fold int, score double")

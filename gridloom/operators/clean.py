@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import as_number, col, existing, is_numeric, rows_of
-from ..functions.ordering import WINDOW_ROWS, position_codes
+from ..functions.ordering import WINDOW_ROWS, join_codes, position_codes
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
 from .profile import value_counts
 
@@ -124,8 +124,12 @@ def handle_missing(
     strategy: str = "median",
     fill_value=None,
     distinct_limit: int = DISTINCT_LIMIT,
+    warnings: list[str] | None = None,
 ) -> DataFrame:
-    """Apply one of ``MISSING_STRATEGIES`` to the selected columns."""
+    """Apply one of ``MISSING_STRATEGIES`` to the selected columns.
+
+    What could not be filled is told in a line each, added to ``warnings`` if it is given.
+    """
     if strategy not in MISSING_STRATEGIES:
         raise ValueError(f"Unknown strategy `{strategy}`.")
     names = existing(df, columns)
@@ -135,7 +139,9 @@ def handle_missing(
         return drop_missing_rows(df, names)
     if strategy == "drop columns":
         return df.drop(*names)
-    fills, _ = fit_fill_values(df, names, strategy, fill_value, distinct_limit)
+    fills, told = fit_fill_values(df, names, strategy, fill_value, distinct_limit)
+    if warnings is not None:
+        warnings += told
     return apply_fill_values(df, fills)
 
 
@@ -250,20 +256,17 @@ def encode_categorical(
         values = df.select(col(c).alias("_v")).filter("_v is not null").distinct()
         rows = df.agg(F.approx_count_distinct(col(c))).first()[0]
         codes = position_codes(values, "_v", rows, window_rows)
-        joined = result.join(codes, col(c) == F.col("_v"), "left")
+        codes = codes.withColumn("_v", F.col("_v").cast("string"))
+        joined = join_codes(result, c, codes, "_code")
         result = joined.select(
             *[
-                F.coalesce("code", F.lit(-1)).alias(c) if n == c else col(n)
+                F.coalesce("_code", F.lit(-1)).alias(c) if n == c else col(n)
                 for n in result.columns
             ]
         )
     return result
 
 
-def label_encode(df: DataFrame, column: str) -> DataFrame:
-    return encode_categorical(df, [column], "label")
-
-
 def missing_guard(df: DataFrame, columns: list[str], what: str) -> None:
     """One scan; raises when any of the columns holds a NULL."""
     if not columns:

@@ -19,13 +19,35 @@ from .split import SPLIT, TEST, TRAIN, split_train_test
 
 @dataclass
 class Comparison:
-    """``table``: one row per model. ``scored``: each model's test rows."""
+    """``table``: one row per model. ``scored``: each model's test rows, persisted.
+
+    ``close()``, or the end of a ``with`` block, gives the memory back.
+    """
 
     table: DataFrame
     scored: dict[str, DataFrame]
     classes: list | None
     models: dict = field(default_factory=dict)
 
+    def close(self) -> None:
+        for scored in self.scored.values():
+            scored.unpersist()
+
+    def __enter__(self) -> Comparison:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def _line(name: str, scored: DataFrame, classes: list | None) -> tuple:
+    if classes is None:
+        row = metrics.regression_metrics(scored).first()
+        return name, row["mae"], row["rmse"], row["r2"]
+    row = metrics.classification_metrics(scored, n_classes=len(classes)).first()
+    auc = metrics.roc_auc_brief(scored, classes).first()[0] if "probability" in scored.columns else None
+    return name, row["accuracy"], row["precision"], row["recall"], row["f1"], auc
+
 
 def _compare(df, features, target, names, params, keys, test_size, seed, stratify, classify, preparer):
     if not names:
@@ -44,15 +66,11 @@ def _compare(df, features, target, names, params, keys, test_size, seed, stratif
         def one(name: str):
             fitted = fit_model(name, train, classes, (params or {}).get(name), seed)
             scored = _finish(fitted.score(test), ["_key", SPLIT], classes).persist()
-            if classify:
-                row = metrics.classification_metrics(scored, n_classes=len(classes)).first()
-                auc = metrics.roc_auc_brief(scored, classes).first()[0] if "probability" in scored.columns else None
-                line = (name, row["accuracy"], row["precision"], row["recall"], row["f1"], auc)
-            else:
-                row = metrics.regression_metrics(scored).first()
-                line = (name, row["mae"], row["rmse"], row["r2"])
-            scored.unpersist()
-            return name, fitted, scored, line
+            try:
+                return name, fitted, scored, _line(name, scored, classes)
+            except BaseException:
+                scored.unpersist()
+                raise
 
         done = in_parallel(one, list(names))
     finally:

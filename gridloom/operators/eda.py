@@ -16,7 +16,6 @@ from .profile import missing_values, worst_missing
 
 # Chart defaults and the wording thresholds of the facts.
 DEFAULT_BINS = 30
-PAIRWISE_COLUMNS = 4
 DENSITY_POINTS = 300
 WHISKER = 1.5
 SYMMETRIC_BELOW = 0.1
@@ -202,10 +201,18 @@ def missing_bar(df: DataFrame) -> DataFrame:
     return missing_values(df).filter("missing_count > 0").select("column", "missing_count")
 
 
-def pairwise_points(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Points of every pair of the first four columns, from one scan."""
-    chosen = list(columns)[:PAIRWISE_COLUMNS]
+def _pairwise(df: DataFrame, columns: list[str], most: int | None) -> list[str]:
+    """The columns asked for; more than ``most``, if that is given, is an error."""
+    chosen = list(columns)
     require(df, *chosen)
+    if most is not None and len(chosen) > most:
+        raise ValueError(f"{len(chosen)} columns were given for a matrix of at most {most}.")
+    return chosen
+
+
+def pairwise_points(df: DataFrame, columns: list[str], most: int | None = None) -> DataFrame:
+    """Points of every pair of the columns, from one scan."""
+    chosen = _pairwise(df, columns, most)
     cells = [
         F.struct(
             F.lit(a).alias("x_column"), F.lit(b).alias("y_column"),
@@ -217,11 +224,10 @@ def pairwise_points(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def pairwise_histograms(
-    df: DataFrame, columns: list[str], bins: int = DEFAULT_BINS
+    df: DataFrame, columns: list[str], bins: int = DEFAULT_BINS, most: int | None = None
 ) -> DataFrame:
     """The diagonal of the pairwise matrix: one histogram per column, from two scans."""
-    chosen = list(columns)[:PAIRWISE_COLUMNS]
-    require(df, *chosen)
+    chosen = _pairwise(df, columns, most)
     ends = df.agg(
         *[f(as_number(df, c)).alias(f"{n}{i}") for i, c in enumerate(chosen)
           for n, f in (("lo", F.min), ("hi", F.max))]
@@ -295,13 +301,14 @@ def box_facts(
 
 
 def _extremes(grouped: DataFrame) -> DataFrame:
-    """Highest and lowest group; of equal ones the smallest group."""
+    """Highest and lowest group; of equal ones the smallest group. One group has neither."""
     highest = F.min_by("group", F.struct((-F.col("value")).alias("v"), "group"))
     lowest = F.min_by("group", F.struct("value", "group"))
-    return grouped.agg(
-        highest.cast("string").alias("highest_group"), F.max("value").alias("highest_value"),
-        lowest.cast("string").alias("lowest_group"), F.min("value").alias("lowest_value"),
-    )
+    facts = {
+        "highest_group": highest.cast("string"), "highest_value": F.max("value"),
+        "lowest_group": lowest.cast("string"), "lowest_value": F.min("value"),
+    }
+    return grouped.agg(*[F.when(F.count(F.lit(1)) > 1, fact).alias(name) for name, fact in facts.items()])
 
 
 def bar_facts(df: DataFrame, x: str, y: str, aggregation: str = "mean") -> DataFrame:

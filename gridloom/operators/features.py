@@ -229,8 +229,8 @@ def select_by_variance(df: DataFrame, columns: list[str], threshold: float = 0.0
     return df.drop(*low_variance_columns(df, columns, threshold))
 
 
-def weak_columns(df: DataFrame, target: str, threshold: float = 0.2) -> list[str]:
-    """Numeric features whose correlation with the target is weak or undefined, one scan."""
+def target_correlations(df: DataFrame, target: str) -> dict[str, float | None]:
+    """Correlation of every numeric feature with the target (NULL: undefined), one scan."""
     if target not in df.columns:
         raise ValueError(f"The table has no column `{target}`.")
     dtype = df.schema[target].dataType
@@ -238,10 +238,22 @@ def weak_columns(df: DataFrame, target: str, threshold: float = 0.2) -> list[str
         raise ValueError(f"`{target}` holds no numbers to correlate with.")
     features = [c for c in numeric_columns(df) if c != target]
     if not features:
-        return []
+        return {}
     y = as_number(df, target)
     row = df.agg(*[pearson(as_number(df, c), y).alias(f"r{i}") for i, c in enumerate(features)]).first()
-    return [c for i, c in enumerate(features) if row[i] is None or abs(row[i]) < threshold]
+    return {c: row[i] for i, c in enumerate(features)}
+
+
+def weak_columns(df: DataFrame, target: str, threshold: float = 0.2) -> list[str]:
+    """Numeric features whose correlation with the target is weak or undefined."""
+    return [c for c, r in target_correlations(df, target).items() if r is None or abs(r) < threshold]
+
+
+def correlation_choice(df: DataFrame, target: str, threshold: float = 0.2) -> DataFrame:
+    """``feature, correlation, kept``: what ``select_by_correlation`` decides by."""
+    found = target_correlations(df, target)
+    rows = [(c, r, r is not None and abs(r) >= threshold) for c, r in found.items()]
+    return df.sparkSession.createDataFrame(rows, "feature string, correlation double, kept boolean")
 
 
 def select_by_correlation(df: DataFrame, target: str, threshold: float = 0.2) -> DataFrame:

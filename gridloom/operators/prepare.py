@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import (
     as_number, categorical_feature_columns, col, existing, numeric_columns,
 )
+from ..functions.ordering import WINDOW_ROWS, estimate_rows, join_codes, position_codes
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
+from ..functions.storage import cut_lineage
 from .clean import (
     MAX_ONE_HOT, apply_fill_values, apply_scaler, category_counts, fit_categories,
     fit_fill_values, fit_scaler,
@@ -23,11 +25,15 @@ NULL_CATEGORY = "nan"
 
 @dataclass(frozen=True)
 class Preparation:
-    """Fitted impute, encode and scale steps."""
+    """Fitted impute, encode and scale steps.
+
+    One-hot categories are lists, as each makes a column; ordinal codes are tables.
+    """
 
     fills: dict[str, object] = field(default_factory=dict)
     categories: dict[str, list[str]] = field(default_factory=dict)
     null_category: dict[str, bool] = field(default_factory=dict)
+    codes: dict[str, DataFrame] = field(default_factory=dict)
     method: str = "one-hot"
     scaler: dict[str, tuple[float, float]] = field(default_factory=dict)
     imputed: tuple[str, ...] = ()
@@ -35,7 +41,10 @@ class Preparation:
     def apply(self, df: DataFrame) -> DataFrame:
         """Imputed, encoded and scaled columns first, untouched columns after them."""
         filled = apply_scaler(apply_fill_values(df, self.fills), self.scaler)
-        encoded = [c for c in self.categories if c in df.columns]
+        encoded = [c for c in (self.categories or self.codes) if c in df.columns]
+        for c, codes in self.codes.items():
+            if c in df.columns:
+                filled = join_codes(filled, c, codes, f"_code_{c}")
         first = [c for c in self.imputed if c in df.columns and c not in encoded]
         scaled = [c for c in self.scaler if c in df.columns and c not in first]
         rest = [c for c in df.columns if c not in {*first, *encoded, *scaled}]
@@ -53,9 +62,7 @@ class Preparation:
                 F.coalesce((shown == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
                 for v in names
             ]
-        known = F.array(*[F.lit(v) for v in self.categories[c]])
-        place = F.array_position(known, text)
-        code = F.when(place > 0, place - 1).otherwise(F.lit(-1)).cast("int")
+        code = F.coalesce(col(f"_code_{c}"), F.lit(-1))
         return [F.when(text.isNotNull(), code).alias(c)]
 
 
@@ -84,6 +91,13 @@ def fit_preparation(
     if impute:
         fills, _ = fit_fill_values(train, impute, impute_strategy, impute_fill_value, distinct_limit)
     filled = apply_fill_values(train, fills)
+    if encode_method != "one-hot":
+        codes = {}
+        for c in encode:
+            values = filled.select(col(c).cast("string").alias("_v")).filter("_v is not null").distinct()
+            codes[c] = cut_lineage(position_codes(values, "_v", estimate_rows(filled, [c]), WINDOW_ROWS))
+        scaler = fit_scaler(filled, scale, scale_method, distinct_limit) if scale else {}
+        return Preparation(fills, codes=codes, method=encode_method, scaler=scaler, imputed=tuple(impute))
     categories = fit_categories(filled, encode, max_categories)
     nulls = {}
     if encode:
@@ -92,7 +106,7 @@ def fit_preparation(
         ).first()
         nulls = {c: seen[i] > 0 for i, c in enumerate(encode)}
     scaler = fit_scaler(filled, scale, scale_method, distinct_limit) if scale else {}
-    return Preparation(fills, categories, nulls, encode_method, scaler, tuple(impute))
+    return Preparation(fills, categories, nulls, {}, encode_method, scaler, tuple(impute))
 
 
 @dataclass(frozen=True)

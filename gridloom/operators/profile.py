@@ -432,7 +432,3 @@ def default_target(df: DataFrame, task: str = "classification") -> str | None:
         seen = df.agg(*spread).first() if numbers else ()
         fitting = [c for c, varies in zip(numbers, seen) if varies]
     return (fitting or df.columns or [None])[0]
-
-
-def is_numeric_column(df: DataFrame, name: str) -> bool:
-    return is_numeric(df.schema[name].dataType)

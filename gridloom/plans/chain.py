@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -30,14 +29,27 @@ def apply_feature_op(df: DataFrame, op: dict) -> DataFrame:
     return OPERATIONS[op["key"]](df, **op["params"])
 
 
-def fold_ops(df: DataFrame, ops: list[dict]) -> DataFrame:
+@dataclass(frozen=True)
+class Failure:
+    """The operation that ended a replay: its place from 0, its key, and what it said."""
+
+    step: int
+    key: str
+    error: str
+
+
+def replay_ops(df: DataFrame, ops: list[dict]) -> tuple[DataFrame, Failure | None]:
     """Replay operations from the original table; the first that fails ends the chain."""
-    for op in ops:
+    for step, op in enumerate(ops):
         try:
             df = apply_feature_op(df, op)
-        except (ValueError, KeyError):
-            break
-    return df
+        except (ValueError, KeyError) as error:
+            return df, Failure(step, str(op.get("key")), str(error))
+    return df, None
+
+
+def fold_ops(df: DataFrame, ops: list[dict]) -> DataFrame:
+    return replay_ops(df, ops)[0]
 
 
 @dataclass(frozen=True)
@@ -57,7 +69,3 @@ class OpChain:
 
     def replay(self, df: DataFrame) -> DataFrame:
         return fold_ops(df, list(self.ops))
-
-    def apply_strictly(self, df: DataFrame) -> DataFrame:
-        """Replay that raises instead of stopping at a failing operation."""
-        return reduce(apply_feature_op, self.ops, df)

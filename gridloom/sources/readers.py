@@ -20,7 +20,10 @@ FORMATS = {".csv": "csv", ".parquet": "parquet"}
 ENCODINGS = ("UTF-8", "ISO-8859-1")
 
 _BAD = "_unparsed_line"
-_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+# A quoted cell: the quote opens it at its very start. Any other quote is plain text.
+_QUOTED = r'(?<![^,\r\n])"[^"]*+(?:""[^"]*+)*+"'
+_OPENING = r'(?<![^,\r\n])"'
 _DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
 
@@ -88,28 +91,28 @@ def _raw_csv(spark, path, encoding, columns, multi_line) -> DataFrame:
     )
 
 
-def _inspect_lines(spark: SparkSession, path: str, multi_line: bool):
-    """One scan of the raw lines: are all of them UTF-8, and are all quotes closed?
+def _left_open(text: Column) -> Column:
+    """Whether a quoted cell begins in the text and does not end there."""
+    return F.regexp_replace(text, _QUOTED, "q").rlike(_OPENING)
 
-    A quote may span lines only in multi-line mode; then each file must close its own.
-    """
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    marked = lines.select(
-        F.is_valid_utf8("value").alias("valid"), quotes.alias("quotes"), F.input_file_name().alias("file")
-    )
-    if multi_line:
-        marked = marked.groupBy("file").agg(F.min("valid").alias("valid"), F.sum("quotes").alias("quotes"))
-    return marked.agg(
-        F.coalesce(F.min("valid"), F.lit(True)).alias("utf8"),
-        F.count(F.when(F.col("quotes") % 2 == 1, 1)).alias("open_quotes"),
+
+def _inspect_lines(spark: SparkSession, path: str):
+    """One scan of the raw lines: are all of them UTF-8, and does a cell go on in the next one?"""
+    return spark.read.text(path).agg(
+        F.coalesce(F.min(F.is_valid_utf8("value")), F.lit(True)).alias("utf8"),
+        F.count(F.when(_left_open(F.col("value")), 1)).alias("open_lines"),
     ).first()
 
 
+def _unclosed(spark: SparkSession, path: str) -> bool:
+    """Whether some file ends inside a quoted cell. Read only if lines were left open."""
+    return not spark.read.text(path, wholetext=True).filter(_left_open(F.col("value"))).isEmpty()
+
+
 def _too_wide(width: int) -> Column:
     """A line the parser marked that has more cells than the header (fewer are padded)."""
     line = F.col(_BAD)
-    bare = F.regexp_replace(line, '"[^"]*"', "")
+    bare = F.regexp_replace(line, _QUOTED, "")
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
     return line.isNotNull() & (commas >= width)
 
@@ -126,9 +129,14 @@ def read_csv(
 ) -> DataFrame:
     """Header row, comma separated. Two scans: the raw lines, then the types of the cells.
 
-    Text that is not UTF-8 is read as Latin-1.
+    Text that is not UTF-8 is read as Latin-1. A quoted cell may hold line breaks; files with
+    such cells are parsed whole. Whole numbers stay exact: bigint, beyond that decimal, beyond
+    38 digits text.
     """
-    lines = _inspect_lines(spark, path, multi_line)
+    lines = _inspect_lines(spark, path)
+    if lines["open_lines"] and _unclosed(spark, path):
+        raise DataLoadError("The CSV text is malformed: a quoted cell is never closed.")
+    multi_line = multi_line or lines["open_lines"] > 0
     encoding = ENCODINGS[0] if lines["utf8"] else ENCODINGS[1]
     header = _raw_csv(spark, path, encoding, None, multi_line).columns
     if not header:
@@ -139,13 +147,16 @@ def read_csv(
     checks += [F.count(cell).alias(f"n{i}") for i, cell in enumerate(cells)]
     if schema is None:
         for i, cell in enumerate(cells):
-            for kind, pattern in (("w", _WHOLE), ("d", _DECIMAL), ("t", _TRUTH)):
-                checks.append(F.count(F.when(cell.rlike(pattern), 1)).alias(f"{kind}{i}"))
+            whole = cell.rlike(_WHOLE)
+            exact = {kind: F.trim(cell).try_cast(kind).isNotNull() for kind in ("bigint", "decimal(38,0)")}
+            tests = {
+                "w": whole & exact["bigint"], "z": whole & exact["decimal(38,0)"], "i": whole,
+                "d": cell.rlike(_DECIMAL), "t": cell.rlike(_TRUTH),
+            }
+            checks += [F.count(F.when(test, 1)).alias(f"{kind}{i}") for kind, test in tests.items()]
     seen = raw.agg(*checks).first()
-    if lines["open_quotes"] or seen["broken"]:
-        raise DataLoadError(
-            "The CSV text is malformed: an open quote, or a line with more cells than the header."
-        )
+    if seen["broken"]:
+        raise DataLoadError("The CSV text is malformed: a line has more cells than the header.")
     out = []
     for i, (c, cell) in enumerate(zip(header, cells)):
         if schema is not None:
@@ -154,11 +165,15 @@ def read_csv(
         n = seen[f"n{i}"]
         if n and seen[f"w{i}"] == n:
             kind = "bigint"
+        elif n and seen[f"z{i}"] == n:
+            kind = "decimal(38,0)"
+        elif n and seen[f"i{i}"] == n:
+            kind = "string"
         elif n == 0 or seen[f"d{i}"] == n:
             kind = "double"
         elif seen[f"t{i}"] == n:
             kind = "boolean"
         else:
             kind = "string"
-        out.append((F.trim(cell) if kind in ("bigint", "double") else cell).cast(kind).alias(c))
+        out.append((F.trim(cell) if kind not in ("string", "boolean") else cell).cast(kind).alias(c))
     return raw.select(*out)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows_as
 from gridloom.errors import DataLoadError
-from gridloom.operators import features as fe
+from gridloom.operators import clean, eda, features as fe
+from gridloom.plans import chain
 from gridloom.plans.chain import OpChain, apply_feature_op, fold_ops
 from gridloom.sources.readers import load_table
 from gridloom.sources.writers import write_csv, write_result
@@ -151,3 +152,52 @@ def test_writers(spark, tmp_path, numbers):
     assert rows_as(back, "age", "income", "score") == rows_as(numbers, "age", "income", "score")
     report = spark.createDataFrame([("m", 0.123456)], "model string, score double")
     assert load_table(spark, write_result(report, str(tmp_path / "r.csv"))).first()["score"] == 0.1235
+
+
+def test_csv_quotes_and_wide_numbers(spark, tmp_path):
+    """Bare quotes are text, quoted cells may hold line breaks, whole numbers stay exact."""
+    path = tmp_path / "q.csv"
+    big, small = "1234567890123456789", "1234567890123456788"
+    path.write_text(f'id,size,note\n{big},5" pipe,"one\ntwo, ""three"""\n{small},2" x 4",plain\n')
+    df = load_table(spark, str(path))
+    assert dict(df.dtypes)["id"] == "bigint"
+    rows = sorted(tuple(r) for r in df.collect())
+    assert rows == [(int(small), '2" x 4"', "plain"), (int(big), '5" pipe', 'one\ntwo, "three"')]
+    path.write_text("a,b\n" + "9" * 25 + "," + "9" * 45 + "\n1,2\n")
+    df = load_table(spark, str(path))
+    assert dict(df.dtypes) == {"a": "decimal(38,0)", "b": "string"}
+    assert {str(r["a"]) for r in df.collect()} == {"9" * 25, "1"}
+    path.write_text('a,b\n1,"open\n2,3\n')
+    with pytest.raises(DataLoadError, match="never closed"):
+        load_table(spark, str(path))
+
+
+def test_a_replay_tells_where_it_stopped(numbers):
+    ops = [
+        {"key": "math", "params": {"columns": ["age"], "method": "square"}},
+        {"key": "nonsense", "params": {}}, {"key": "math", "params": {"columns": ["age"], "method": "sqrt"}},
+    ]
+    df, failure = chain.replay_ops(numbers, ops)
+    assert "age_squared" in df.columns and (failure.step, failure.key) == (1, "nonsense") and "nonsense" in failure.error
+    assert chain.replay_ops(numbers, ops[:1])[1] is None
+
+
+def test_warnings_come_back(spark):
+    df = spark.createDataFrame([(None, 1, "x"), (None, 2, None)], "a double, b int, c string")
+    told = []
+    filled = clean.handle_missing(df, ["a", "b", "c"], "median", warnings=told)
+    assert filled.columns == df.columns and len(told) == 2
+    assert any("`a`" in w for w in told) and any("`c`" in w for w in told)
+
+
+def test_correlations_behind_a_choice(spark):
+    df = spark.createDataFrame([(float(i), i * 2.0, float(i % 2), 3.0) for i in range(10)], "t double, strong double, weak double, flat double")
+    rows = {r["feature"]: (r["correlation"], r["kept"]) for r in fe.correlation_choice(df, "t", 0.8).collect()}
+    assert rows["strong"] == (pytest.approx(1.0), True) and rows["flat"] == (None, False) and not rows["weak"][1]
+
+
+def test_pairs_of_many_columns(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0, 5.0)], "a double, b double, c double, d double, e double")
+    assert eda.pairwise_points(df, df.columns).count() == 10
+    with pytest.raises(ValueError):
+        eda.pairwise_points(df, df.columns, most=4)

@@ -143,3 +143,39 @@ def test_shared_dir_comes_from_the_session(spark):
     if named:
         assert storage.shared_dir(spark) == named
     assert storage.cut_lineage(spark.range(5)).count() == 5
+
+
+def test_samples_of_a_shared_key_do_not_depend_on_layout(spark):
+    df = spark.range(100).selectExpr("id % 5 AS k", "id AS v")
+    picks = set()
+    for parts in (1, 3, 7):
+        for limit in (0, 1000):
+            rows = sampling.take_rows(df.repartition(parts), 13, ["k"], 42, report_rows=limit).collect()
+            picks.add(tuple(sorted((r["k"], r["v"]) for r in rows)))
+    assert len(picks) == 1 and len(next(iter(picks))) == 13
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session())
+
+
+def test_null_keys_are_spread_before_a_code_join(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("z",), (None,)], "c string")
+    codes = spark.createDataFrame([("a", 0), ("b", 1)], "_v string, code long")
+    got = ordering.join_codes(df, "c", codes, "n").collect()
+    assert sorted(map(str, ((r["c"], r["n"]) for r in got))) == sorted(
+        map(str, [("b", 1), (None, None), ("a", 0), ("z", None), (None, None)])
+    )

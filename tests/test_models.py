@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from conftest import rows_as
 from gridloom.models import neighbors, training
-from gridloom.models.bayes import fit_gaussian_bayes
 from gridloom.models.registry import CLASSIFIERS, REGRESSORS, default_params
 from gridloom.operators import compare, metrics
 from gridloom.operators.split import split_train_test
@@ -237,18 +236,29 @@ def test_logistic_matches_the_penalised_objective(people):
     assert trained.model.model.coefficients[0] == pytest.approx(w, rel=1e-3)
 
 
-def test_gaussian_bayes_agrees_with_the_library_model(people):
-    df = people.select("id", "b", "y", "two")
-    ours = {r["id"]: r for r in fit_gaussian_bayes(df, ["b", "y"], "two").score(df).collect()}
-    from pyspark.ml.classification import NaiveBayes
-    from pyspark.ml.feature import VectorAssembler
+def test_rows_that_share_a_key_or_repeat(spark):
+    """Neighbours of repeated rows are those of one; without keys only features identify a row."""
+    train = spark.createDataFrame([(i, [float(i)], float(i)) for i in range(20)], "key long, x array<double>, y double")
+    test = spark.createDataFrame([(7, [2.2]), (7, [2.2])], "key long, x array<double>")
+    found = neighbors.nearest(train, test, 5).orderBy("rank").collect()
+    assert [r["train_key"] for r in found] == [2, 3, 1, 4, 0]
+    rows = [(float(i**3), float(i)) for i in range(30)]
+    twice = spark.createDataFrame(rows + rows, "x double, y double")
+    with training.train_regressor(twice, ["x"], "y", "KNN Regressor") as trained:
+        learned = [(r["x"], r["y"]) for r in split_train_test(twice, "y").filter("split = 'train'").collect()]
+        answers = {}
+        for r in trained.test.collect():
+            answers.setdefault(r["actual"], set()).add(round(r["predicted"], 9))
+        for y, given in answers.items():
+            near = sorted(learned, key=lambda t: abs(t[0] - y**3))[:5]
+            assert given == {round(sum(t[1] for t in near) / 5, 9)}
 
-    vectors = VectorAssembler(inputCols=["b", "y"], outputCol="features").transform(
-        df.withColumn("label", (F.col("two") == "yes").cast("double"))
-    )
-    theirs = NaiveBayes(modelType="gaussian").fit(vectors).transform(vectors).collect()
-    for r in theirs:
-        assert ours[r["id"]]["probability"][1] == pytest.approx(r["probability"][1], abs=1e-6)
+
+def test_too_deep_a_tree_is_refused(people):
+    with pytest.raises(ValueError, match="30"):
+        training.train_classifier(people, FEATURES, "two", "Decision Tree", {"max_depth": 31}, ["id"])
+    with pytest.raises(ValueError, match="max_classes"):
+        training.train_classifier(people, FEATURES, "three", "Naive Bayes", None, ["id"], max_classes=2)
 
 
 def test_cross_validation(people):
@@ -267,6 +277,7 @@ def test_comparison(people):
     one = compare.compare_classifiers(people, FEATURES, "two", names, keys=["id"])
     two = compare.compare_classifiers(people.repartition(2), FEATURES, "two", names, keys=["id"])
     assert rows_as(one.table, *one.table.columns) == rows_as(two.table, *two.table.columns)
+    assert all(s.is_cached for s in one.scored.values())
     keys = [sorted(r["_key"] for r in s.collect()) for s in one.scored.values()]
     assert keys[0] == keys[1] and len(keys[0]) == 24
     curves = compare.roc_overlay(compare.overlay_rows(one))

@@ -1,4 +1,7 @@
-"""Every query with an SQL twin, compared at the smallest scale."""
+"""Registered queries and their SQL twins: names, and a few of each kind compared.
+
+All twins are compared by ``check_queries.py``.
+"""
 
 import duckdb
 import pytest
@@ -7,6 +10,13 @@ from check_queries import TABLES, compare
 from gridloom.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
+SOME = [
+    "src1_wide_ids", "src1_quoted_text", "lim3_shared_key", "agg1_numeric_stats", "agg4_duplicate_rows",
+    "agg7_quality_report", "eda2_box_plot_by_group", "eda10_pairwise_points", "cln8_remove_duplicates",
+    "cln10_label_encode", "pre3_many_values", "pre4_workflow", "fe7_quantile_bins", "fe14_correlations",
+    "spl2_stratified_split", "evl5_roc_curves", "evl10_cross_validation", "mod6_train_classifier",
+    "mod11_neighbours_copies", "mod12_decision_tree", "mod23_knn_registry", "cmp2_compare_classifiers",
+]
 
 
 @pytest.fixture(scope="module")
@@ -17,10 +27,10 @@ def con():
     return connection
 
 
-def test_every_twin_belongs_to_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_a_twin():
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", SOME)
 def test_query_equals_sql(spark, con, name):
     assert compare(con, QUERIES[name](spark, FOLDER).toArrow(), ORACLES[name]) is None
