@@ -71,11 +71,13 @@ def column_quantiles(
         aggs += [
             F.count(x[c]).alias(f"_n{i}"),
             F.approx_count_distinct(x[c]).alias(f"_d{i}"),
+            F.min(x[c]).alias(f"_lo{i}"), F.max(x[c]).alias(f"_hi{i}"),
         ]
     if not aggs:
         return {}, None
     head = df.agg(*aggs).first()
     sizes = {c: head[f"_n{i}"] for i, c in enumerate(columns)}
+    ends = {c: (head[f"_lo{i}"], head[f"_hi{i}"]) for i, c in enumerate(columns)}
     small = [c for i, c in enumerate(columns) if 0 < sizes[c] and head[f"_d{i}"] <= distinct_limit]
     large = [c for i, c in enumerate(columns) if head[f"_d{i}"] > distinct_limit]
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
@@ -104,7 +106,8 @@ def column_quantiles(
 
     everything = [r for c in large for r in ranks[c].values()]
     while open_ := [r for r in everything if r.value is None and not r.ready]:
-        _count_brackets(df, x, open_, sizes, distinct_limit)
+        _share_brackets(open_)
+        _count_brackets(df, x, open_, sizes, ends, distinct_limit)
         _tighten(df, x, [r for r in open_ if r.value is None and not r.ready], sketch)
     _read_brackets(df, x, [r for r in everything if r.value is None])
     for c in large:
@@ -150,8 +153,19 @@ def _by_counts(df, x, columns: list[str], sizes, probs) -> dict[str, list[float]
     return result
 
 
-def _count_brackets(df, x, open_: list[_Rank], sizes, distinct_limit: int) -> None:
-    """One scan: where does each rank lie - on an end of its bracket, inside, or outside?"""
+def _share_brackets(open_: list[_Rank]) -> None:
+    """Neighbouring ranks get one bracket around both, so that it is counted once."""
+    for a, b in zip(open_, open_[1:]):
+        if a.column == b.column and b.rank == a.rank + 1 and a.lo <= b.hi and b.lo <= a.hi:
+            a.lo = b.lo = min(a.lo, b.lo)
+            a.hi = b.hi = max(a.hi, b.hi)
+
+
+def _count_brackets(df, x, open_: list[_Rank], sizes, ends, distinct_limit: int) -> None:
+    """One scan: where does each rank lie - on an end of its bracket, inside, or outside?
+
+    Ranks with the same bracket ask for the same sums, which are computed once.
+    """
     aggs = []
     for i, r in enumerate(open_):
         v, lo, hi = x[r.column], F.lit(r.lo), F.lit(r.hi)
@@ -161,8 +175,6 @@ def _count_brackets(df, x, open_: list[_Rank], sizes, distinct_limit: int) -> No
             F.count(_inner(v, r)).alias(f"m{i}"),
             F.approx_count_distinct(_inner(v, r)).alias(f"d{i}"),
             F.count(F.when(v == hi, 1)).alias(f"h{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
         ]
     row = df.agg(*aggs).first()
     for i, r in enumerate(open_):
@@ -171,7 +183,7 @@ def _count_brackets(df, x, open_: list[_Rank], sizes, distinct_limit: int) -> No
         after_inner = after_lo + row[f"m{i}"]
         end = after_inner if r.lo == r.hi else after_inner + row[f"h{i}"]
         if not start <= r.rank < end:
-            r.lo, r.hi, r.slack = row[f"min{i}"], row[f"max{i}"], r.slack * 4
+            (r.lo, r.hi), r.slack = ends[r.column], r.slack * 4
             r.below, r.inner = 0, sizes[r.column]
         elif r.rank < after_lo:
             r.value = r.lo

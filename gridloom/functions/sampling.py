@@ -9,6 +9,7 @@ happens to be laid out, and the sizes are exact.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -21,6 +22,8 @@ MAX_CLASSES = 10_000
 FINE_ROWS = 50_000
 # Up to this many cuts are found with the counts on the driver.
 FEW_CUTS = 64
+# Counts of hash ranges (and classes) that the first pass may bring to the driver.
+FIRST_COUNTS = 262_144
 # The hash is narrowed 12 bits at a time: 4,096 ranges per pass and class.
 _SHIFTS = (20, 8)
 
@@ -31,13 +34,11 @@ def key_hash(keys: list[str], seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def class_sizes(df: DataFrame, by: str) -> dict:
-    """Rows per non-null class; more classes than a driver should hold is an error."""
-    rows = (
-        df.filter(col(by).isNotNull()).groupBy(col(by)).count().limit(MAX_CLASSES + 1).collect()
-    )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"`{by}` has more than {MAX_CLASSES} classes; it cannot be stratified.")
+def class_sizes(df: DataFrame, by: str, limit: int = MAX_CLASSES) -> dict:
+    """Rows per non-null class; more classes than ``limit`` is an error."""
+    rows = df.filter(col(by).isNotNull()).groupBy(col(by)).count().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"`{by}` has more than {limit} classes; it cannot be stratified.")
     return {r[0]: r[1] for r in rows}
 
 
@@ -62,12 +63,14 @@ def assign_parts(
     by: str | None = None,
     name: str = "part",
     fine_rows: int = FINE_ROWS,
+    first: list[tuple] | None = None,
 ) -> DataFrame:
     """Add an int column: the index of the part that each row falls in.
 
     ``parts`` maps each class of ``by`` (or None) to its exact part sizes. Rows of a class
     that is not in ``parts`` get NULL. Without keys the whole row is the key; rows that
-    share a key are told apart by the rest of the row, and exact copies by count.
+    share a key are told apart by the rest of the row, and exact copies by count. ``first``
+    are counts of the first hash ranges, if they are known.
     """
     keys = list(keys or df.columns)
     require(df, *keys)
@@ -76,8 +79,8 @@ def assign_parts(
     )
     rows = sum(sum(sizes) for sizes in parts.values())
     # Each pass leaves 1/4096 of the rows; the last one counts whole hashes.
-    shifts = [s for i, s in enumerate(_SHIFTS) if rows > fine_rows * 4096**i]
-    cuts = _find_cuts(hashed, keys, parts, shifts)
+    shifts = [s for i, s in enumerate(_SHIFTS) if rows > fine_rows * 4096**i or i == 0 and first is not None]
+    cuts = _find_cuts(hashed, keys, parts, shifts, first)
     placed = _place(hashed, keys, parts, cuts, by is None, name)
     torn: dict = {}
     for cut in cuts:
@@ -92,6 +95,45 @@ def assign_parts(
     return reduce(DataFrame.unionByName, [p.drop("_h", "_c") for p in pieces])
 
 
+def assign_planned_parts(
+    df: DataFrame,
+    keys: list[str] | None,
+    seed: int,
+    plan: Callable[[dict], dict],
+    by: str | None = None,
+    name: str = "part",
+    fine_rows: int = FINE_ROWS,
+    max_classes: int = MAX_CLASSES,
+) -> DataFrame:
+    """As ``assign_parts`` with the parts that ``plan`` makes of the class sizes.
+
+    ``plan`` gets ``{class: rows}`` (``{None: rows}`` without ``by``; rows of a NULL class
+    are counted under None). The pass that counts the first hash ranges gives the sizes too;
+    only where there are more of them than the driver should hold are the sizes counted first.
+    """
+    keys = list(keys or df.columns)
+    require(df, *keys)
+    label = F.lit(None).cast("string") if by is None else col(by)
+    ranges = df.select(label.alias("_c"), F.shiftright(key_hash(keys, seed), _SHIFTS[0]).alias("_v"))
+    table = ranges.groupBy("_c", "_v").agg(F.count("*").alias("_k")).limit(FIRST_COUNTS + 1).collect()
+    if len(table) > FIRST_COUNTS:
+        sizes = class_sizes(df, by, max_classes) if by is not None else {None: df.count()}
+        if by is not None:
+            sizes[None] = df.filter(label.isNull()).count()
+        return assign_parts(df, keys, seed, plan(sizes), by, name, fine_rows)
+    sizes: dict = {None: 0}
+    for c, _, k in table:
+        sizes[c] = sizes.get(c, 0) + k
+    _check_classes(sizes, by, max_classes)
+    first = sorted(((c, 0, v, k) for c, v, k in table), key=lambda r: r[2])
+    return assign_parts(df, keys, seed, plan(sizes), by, name, fine_rows, first)
+
+
+def _check_classes(sizes: dict, by: str | None, limit: int) -> None:
+    if len(sizes) > limit + 1:
+        raise ValueError(f"`{by}` has more than {limit} classes; it cannot be stratified.")
+
+
 def _ranks(parts: dict) -> list[tuple]:
     out = []
     for label, sizes in parts.items():
@@ -103,7 +145,9 @@ def _ranks(parts: dict) -> list[tuple]:
     return out
 
 
-def _find_cuts(hashed: DataFrame, keys: list[str], parts: dict, shifts: list[int]) -> list[dict]:
+def _find_cuts(
+    hashed: DataFrame, keys: list[str], parts: dict, shifts: list[int], first: list[tuple] | None = None
+) -> list[dict]:
     """The row at each wanted rank: its hash, its keys, and its place among equal keys."""
     targets = _ranks(parts)
     if not targets:
@@ -112,6 +156,10 @@ def _find_cuts(hashed: DataFrame, keys: list[str], parts: dict, shifts: list[int
     levels = [*zip(steps, steps[1:]), (F.col("_h"), F.struct(*map(col, keys)))]
     find = _hits_on_driver if len(targets) <= FEW_CUTS else _hits_in_spark
     for i, (parent, child) in enumerate(levels):
+        if i == 0 and first is not None:
+            found = _picked(first, targets)
+            targets = [(label, part, need, value) for label, part, need, _, value, _ in found]
+            continue
         rows = hashed.select("_c", parent.alias("_p"), child.alias("_v"))
         found = find(rows, targets, first=i == 0, last=i == len(levels) - 1)
         targets = [(label, part, need, value) for label, part, need, _, value, _ in found]
@@ -134,6 +182,11 @@ def _hits_on_driver(rows: DataFrame, targets: list[tuple], first: bool, last: bo
     counts = rows.groupBy("_c", "_p", "_v").agg(F.count("*").alias("_k"))
     # Keys are put in order by Spark; hash ranges are plain numbers.
     table = counts.orderBy("_v").collect() if last else sorted(counts.collect(), key=lambda r: r["_v"])
+    return _picked(table, targets)
+
+
+def _picked(table: list, targets: list[tuple]) -> list[tuple]:
+    """The range of each target out of ``class, outer range, range, rows`` in order."""
     groups: dict = {}
     for label, outer, value, k in table:
         groups.setdefault((label, outer), []).append((value, k))
