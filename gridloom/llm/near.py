@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import require
 from ..functions.storage import cut_lineage
@@ -32,6 +33,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 # 20 bands of 5 registers: a pair of similarity 0.8 meets with a probability of 0.9996.
 BANDS, ROWS = 20, 5
 REMEMBERED = 400_000
+# Earlier shingles of a prefix that each of its rows carries.
+PRIOR = 16
+# Longs of a set's parity bits.
+PARITY = 16
 _U = np.uint64
 
 
@@ -167,20 +172,30 @@ def sketches(rows: DataFrame, bands: int = BANDS, band_rows: int = ROWS) -> Data
 
 
 def _weighted_sets(rows: DataFrame) -> DataFrame:
-    """``text`` to ``node, keys, weights``: sorted shingles and how often each occurs."""
+    """``text`` to ``node, keys, weights, parity``: sorted shingles and how often each occurs.
+
+    Each shingle flips one of the parity bits, so two sets differ in at least as many
+    shingles as their parities do in bits.
+    """
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts, known in _slices(batches):
             doc, value, weight = shingles(texts, known)
+            bits = 64 * PARITY
+            odd = np.bincount(doc * bits + (value % _U(bits)).astype(np.int64), minlength=bits * len(texts)) & 1
+            parity = np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).ravel()
             value = value.astype(np.int64)
             ends = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
             for a, b in zip(ends, ends[1:]):
                 order = np.argsort(value[a:b], kind="stable")
                 value[a:b], weight[a:b] = value[a:b][order], weight[a:b][order]
             lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (value, weight.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(t) for t in texts], pa.binary()), *lists], ["node", "keys", "weights"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_node(t) for t in texts], pa.binary()), *lists, pa.FixedSizeListArray.from_arrays(pa.array(parity), PARITY).cast(pa.list_(pa.int64()))],
+                ["node", "keys", "weights", "parity"],
+            )
 
-    return rows.mapInArrow(collect, "node binary, keys array<bigint>, weights array<int>")
+    return rows.mapInArrow(collect, "node binary, keys array<bigint>, weights array<int>, parity array<bigint>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -207,25 +222,53 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 def _open_pairs(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Every pair of differently labelled nodes that can reach the similarity, or more pairs.
 
-    ``mixed`` has ``node, label``. Shingles are ordered by how many of these nodes have them;
-    a node's first ones, up to a mass of 1 - similarity, are its prefix.
+    ``mixed`` has ``node, label``. Shingles are ordered by how many of these nodes have them.
+    If two sets share the shares cx and cy of their mass, their similarity is at most
+    1 / (1/cx + 1/cy - 1). What lies before the first shingle that they share is not shared,
+    so that shingle must stand early enough in both. And if they differ in d shingles, the
+    larger mass being m, it is at most 1 / (1 + d / (m - d/2)); parities bound d from below.
+
+    (With A = 1/cx - 1 and B = 1/cy - 1, and u, v the shared parts scaled to mass 1, a term
+    of the similarity is 1 / (A/u + B/v + S), by Cauchy-Schwarz at most (A u + B v + 1/S) /
+    (1 + A + B)^2; all 1/S sum up to a similarity, at most 1, which gives the first bound.
+    What is not shared weighs 1 a shingle at least, which gives the second.)
     """
+    reach = 1 + 1 / similarity + 1e-6
+    differ = (1 / similarity - 1) / (1 + (1 / similarity - 1) / 2) + 1e-6
     own = sets.join(mixed, "node").select("node", "label", F.explode(F.arrays_zip("keys", "weights")).alias("s"))
     own = own.select("node", "label", F.col("s.keys").alias("key"), F.col("s.weights").alias("weight"))
     common = own.groupBy("key").agg(F.count("*").alias("n"))
-    mass = sets.join(mixed, "node").select("node", F.aggregate("weights", F.lit(0), lambda a, w: a + w).alias("mass"))
-    order = Window.partitionBy("node").orderBy("n", "key").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = own.join(common, "key").withColumn("before", F.coalesce(F.sum("weight").over(order), F.lit(0)))
-    prefix = ranked.join(mass, "node").filter(
-        (F.col("before") <= (1 - similarity) * F.col("mass") + 1e-6) & (F.col("n") > 1)
+    parts = [f"p{i}" for i in range(PARITY)]
+    mass = sets.join(mixed, "node").select(
+        "node", F.aggregate("weights", F.lit(0), lambda a, w: a + w).alias("mass"),
+        *[F.get("parity", F.lit(i)).alias(p) for i, p in enumerate(parts)],
+    )
+    order = Window.partitionBy("node").orderBy("n", "key")
+    ranked = own.join(common, "key").withColumn(
+        "before", F.coalesce(F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
+    # 1/cx, if the shingle is the first one shared.
+    prefix = ranked.join(mass, "node").withColumn("need", F.col("mass") / (F.col("mass") - F.col("before")))
+    prefix = prefix.filter((F.col("need") + 1 <= reach) & (F.col("n") > 1))
+    # A few shingles before each, by which most pairs are met at their first one only.
+    prefix = cut_lineage(
+        prefix.select("node", "label", "key", "need", "mass", *parts, F.collect_list("key").over(order.rowsBetween(-PRIOR, -1)).alias("prior"))
     )
-    prefix = cut_lineage(prefix.select("node", "label", "key"))
     # Only shingles whose nodes have different labels can join two components.
     several = prefix.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
     prefix = prefix.join(several, "key", "left_semi")
-    left = prefix.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = prefix.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))).select("a", "b").distinct()
+    sides = [
+        prefix.select("key", F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("label", "need", "mass", "prior", *parts)])
+        for s in ("a", "b")
+    ]
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in parts])
+    met = (
+        (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+        & (F.col("need_a") + F.col("need_b") <= reach)
+        & (apart <= differ * F.greatest("mass_a", "mass_b")) & ~F.arrays_overlap("prior_a", "prior_b")
+    )
+    same = F.col("x.key") == F.col("y.key")
+    return sides[0].alias("x").join(sides[1].alias("y"), same & met).select("a", "b").distinct()
 
 
 def near_groups(

@@ -160,6 +160,27 @@ def test_probability_jaccard_by_definition():
         assert near.probability_jaccard(*arrays) == pytest.approx(want)
 
 
+def test_bounds_of_the_open_pairs():
+    """No pair is more similar than its shared masses, or its differing shingles, allow."""
+    rnd = random.Random(6)
+    for _ in range(3000):
+        pool = list(range(rnd.choice((8, 30))))
+        x, y = ({k: rnd.choice((1, 1, 1, 2, 5)) for k in rnd.sample(pool, rnd.randint(1, len(pool)))} for _ in range(2))
+        both = x.keys() & y.keys()
+        if not both:
+            continue
+        arrays = [np.array(v, t) for s in (x, y) for v, t in ((sorted(s), np.int64), ([s[k] for k in sorted(s)], float))]
+        similarity = near.probability_jaccard(*arrays)
+        mx, my = sum(x.values()), sum(y.values())
+        shared = [sum(s[k] for k in both) / m for s, m in ((x, mx), (y, my))]
+        assert similarity <= 1 / (1 / shared[0] + 1 / shared[1] - 1) + 1e-9
+        apart = len(x.keys() ^ y.keys())
+        for limit in (0.5, 0.8, 0.9):
+            c = 1 / limit - 1
+            if similarity >= limit:
+                assert apart <= c / (1 + c / 2) * max(mx, my) + 1e-9
+
+
 def test_prob_min_hash_estimates():
     rnd = random.Random(2)
     words = [f"w{rnd.randrange(10**9)}" for _ in range(400)]
