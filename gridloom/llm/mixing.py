@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import require
-from ..functions.ordering import estimate_rows, running_sums
+from ..functions.ordering import running_sums
 from ..functions.sampling import key_hash
 from ..functions.storage import cut_lineage
 from .common import fitting, quoted, words
