@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .columns import col
 from .storage import cut_lineage
@@ -26,8 +26,7 @@ def running_sums(
 ) -> DataFrame:
     """Add ``cum_<s>`` and ``all_<s>``: running and whole total of each sum within ``by``.
 
-    ``df`` holds one row per (by, order), already aggregated. ``rows`` is the caller's
-    estimate of its size. Small tables take a plain window. Larger ones are range-sorted
+    ``df`` holds one row per (by, order), already aggregated. ``rows`` is its size, or more. Small tables take a plain window. Larger ones are range-sorted
     and written once; every sorted slice sums itself, and the slices' totals (one row
     per slice and group) give the offsets.
     """
@@ -69,11 +68,6 @@ def running_sums(
     )
 
 
-def estimate_rows(df: DataFrame, columns: list[str]) -> int:
-    """About how many distinct (columns) rows there are: one scan, no shuffle of rows."""
-    return df.agg(F.approx_count_distinct(F.struct(*map(col, columns)))).first()[0]
-
-
 def position_codes(values: DataFrame, name: str, rows: int, window_rows: int = WINDOW_ROWS):
     """``name, code``: 0-based place of each distinct value in sorted order."""
     ones = values.select(col(name), F.lit(1).alias("_one"))
@@ -81,6 +75,12 @@ def position_codes(values: DataFrame, name: str, rows: int, window_rows: int = W
     return ranked.select(col(name), (F.col("cum__one") - 1).alias("code"))
 
 
+def value_codes(df: DataFrame, value: Column, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """``_v, code`` of the distinct values that are not NULL, which are written once."""
+    values = cut_lineage(df.select(value.alias("_v")).filter("_v is not null").distinct())
+    return position_codes(values, "_v", values.count(), window_rows)
+
+
 def join_codes(df: DataFrame, column: str, codes: DataFrame, name: str) -> DataFrame:
     """Adds the code of each value from ``_v, code``; NULL for unknown values and NULLs.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import as_number, col, existing, is_numeric, rows_of
-from ..functions.ordering import WINDOW_ROWS, join_codes, position_codes
+from ..functions.ordering import WINDOW_ROWS, join_codes, value_codes
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
 from .profile import value_counts
 
@@ -253,9 +253,7 @@ def encode_categorical(
         raise ValueError(f"Unknown encoding `{method}`.")
     result = df
     for c in names:
-        values = df.select(col(c).alias("_v")).filter("_v is not null").distinct()
-        rows = df.agg(F.approx_count_distinct(col(c))).first()[0]
-        codes = position_codes(values, "_v", rows, window_rows)
+        codes = value_codes(df, col(c), window_rows)
         codes = codes.withColumn("_v", F.col("_v").cast("string"))
         joined = join_codes(result, c, codes, "_code")
         result = joined.select(

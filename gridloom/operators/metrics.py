@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_number, col, rows_of
-from ..functions.ordering import WINDOW_ROWS, estimate_rows, running_sums
+from ..functions.ordering import WINDOW_ROWS, running_sums
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
+from ..functions.storage import cut_lineage
 from .split import SPLIT, TRAIN
 
 # A matrix has one column per label; more is an error, not a cut.
@@ -153,12 +154,13 @@ def one_vs_rest(df: DataFrame, classes: list, actual: str, probability: str) ->
 
 def _cumulated(scored: DataFrame, by: list[str], window_rows: int) -> DataFrame:
     """Positives and negatives per distinct score, with running totals from the top down."""
-    groups = scored.groupBy(*by, "score").agg(
-        F.count(F.when(F.col("positive"), 1)).alias("pos"),
-        F.count(F.when(~F.col("positive"), 1)).alias("neg"),
+    groups = cut_lineage(
+        scored.groupBy(*by, "score").agg(
+            F.count(F.when(F.col("positive"), 1)).alias("pos"),
+            F.count(F.when(~F.col("positive"), 1)).alias("neg"),
+        )
     )
-    rows = estimate_rows(scored, [*by, "score"])
-    return running_sums(groups, by, ["score"], ["pos", "neg"], rows, window_rows, descending=True)
+    return running_sums(groups, by, ["score"], ["pos", "neg"], groups.count(), window_rows, descending=True)
 
 
 def roc_points(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import (
     as_number, categorical_feature_columns, col, existing, numeric_columns,
 )
-from ..functions.ordering import WINDOW_ROWS, estimate_rows, join_codes, position_codes
+from ..functions.ordering import WINDOW_ROWS, join_codes, value_codes
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
 from ..functions.storage import cut_lineage
 from .clean import (
@@ -94,8 +94,7 @@ def fit_preparation(
     if encode_method != "one-hot":
         codes = {}
         for c in encode:
-            values = filled.select(col(c).cast("string").alias("_v")).filter("_v is not null").distinct()
-            codes[c] = cut_lineage(position_codes(values, "_v", estimate_rows(filled, [c]), WINDOW_ROWS))
+            codes[c] = cut_lineage(value_codes(filled, col(c).cast("string"), WINDOW_ROWS))
         scaler = fit_scaler(filled, scale, scale_method, distinct_limit) if scale else {}
         return Preparation(fills, codes=codes, method=encode_method, scaler=scaler, imputed=tuple(impute))
     categories = fit_categories(filled, encode, max_categories)
