@@ -167,6 +167,8 @@ def encode_decode(
 ) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``, and with ``texts`` also ``ids, decoded``.
 
+    ``model`` is a BPE model with byte fallback, by path or installed name.
+
     Every whole text is encoded with an end id and decoded again, in one pass without a
     shuffle; memory is bounded by the longest text and the fixed number of remembered words.
 

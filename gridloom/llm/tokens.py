@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -43,10 +44,14 @@ def _load(path: str):
     encoder = Tokenizer.from_file(path)
     encoder.no_truncation()
     encoder.no_padding()
-    special = [t.content for t in encoder.get_added_tokens_decoder().values()]
-    tail = [t for t in encoder.get_added_tokens_decoder().values() if t.lstrip or t.rstrip or t.single_word]
-    safe = '"ByteLevel"' in encoder.to_str()[:4000] and not tail and not any(re.search(r"\s", s) for s in special)
-    return encoder, safe, {}
+    parts = json.loads(encoder.to_str())
+    before = parts["pre_tokenizer"] or {}
+    byte_level = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    # Added tokens are found before all else; they must not reach over a cut.
+    plain = not any(
+        t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in parts["added_tokens"]
+    )
+    return encoder, bool(byte_level and plain and parts["normalizer"] is None), {}
 
 
 def token_counts(
@@ -59,6 +64,8 @@ def token_counts(
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every whole text.
 
+    ``vocabulary`` is a file of the tokenizers library, by path or installed name.
+
     Texts are cut at safe boundaries, so even the longest is encoded in bounded batches,
     and a piece that a worker has met before is not encoded again (bounded memory). Where
     the vocabulary gives no such boundaries, texts are encoded whole. One pass, no shuffle.

@@ -74,6 +74,24 @@ def test_pieces(spark, docs):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want
 
 
+def test_pieces_give_ids_and_texts(spark):
+    df = spark.createDataFrame([(1, "two  spaces and é\U0001f600"), (2, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in pieces.encode_decode(df, texts=True).collect()}
+    assert got[1].decoded == "two  spaces and é\U0001f600" and len(got[1].ids) == got[1].n_tokens
+    assert got[2].decoded == "" and got[2].ids == [2]
+
+
+def test_other_vocabularies_are_encoded_whole(spark):
+    from tokenizers import Tokenizer
+
+    name = "word_bpe_49k.json"
+    texts = ["Some  Text here", "", "ABC def\n\nghi <|endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    encoder = Tokenizer.from_file(tokenizer_path(name))
+    got = {r.doc_id: r.n_tokens for r in tokens.token_counts(df, vocabulary=name).collect()}
+    assert got == {i: len(encoder.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -112,6 +130,12 @@ def test_private_base(spark, docs):
         assert ([r.n_email, r.n_ip, r.n_card, r.n_phone], r.base_sha256) == (counts, digest), texts[r.doc_id][:100]
 
 
+def test_private_survives_hostile_texts(spark):
+    texts = ["a.b@" + "c." * 5000 + "d", "@" * 50_000, "1." * 50_000, "+1" * 30_000, "a1 " * 30_000, "- 1 -" * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert private.find_private(df).count() == len(texts)
+
+
 def test_private_learns_from_contexts(spark):
     """A card with a wrong check digit is found behind words that cards stand behind."""
     good = ["4111111111111111", "5500005555555559", "4012888888881881", "6011111111111117", "30569309025904"]
