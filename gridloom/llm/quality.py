@@ -255,6 +255,7 @@ def keep_good(
     docs: DataFrame, model: AdditiveModel, text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """The rows of ``docs`` whose text is not rejected, all columns as they were."""
+    require(docs, text_col)
     names = docs.columns
     at = names.index(text_col)
 
@@ -264,4 +265,6 @@ def keep_good(
                 x = np.array([features(t or "") for t in batch.column(at).to_pylist()]).reshape(-1, len(NAMES))
                 yield batch.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(sift, docs.schema)
+    # Plain names on the way: the Arrow call looks columns up by name, dots and all.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(sift, plain.schema).toDF(*names)
