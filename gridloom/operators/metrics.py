@@ -110,18 +110,22 @@ def classification_report(
 
 
 def confusion_matrix(
-    df: DataFrame, labels: list | None = None, actual: str = "actual", predicted: str = "predicted"
+    df: DataFrame, labels: list | None = None, actual: str = "actual", predicted: str = "predicted",
+    max_labels: int = MAX_MATRIX_LABELS,
 ) -> DataFrame:
-    """One row ``Actual x`` per label, one column ``Predicted y`` per label, zeros filled in."""
+    """One row ``Actual x`` per label, one column ``Predicted y`` per label, zeros filled in.
+
+    Each label is a column: more than ``max_labels`` are refused. ``confusion_counts`` has
+    the same numbers in long form, without a bound.
+    """
     counts = confusion_counts(df, actual, predicted).select(
         F.col("actual").cast("string").alias("a"), F.col("predicted").cast("string").alias("p"), "n"
     )
     if labels is None:
         seen = counts.select(F.explode(F.array("a", "p")).alias("x")).distinct()
-        rows = seen.limit(MAX_MATRIX_LABELS + 1).collect()
-        if len(rows) > MAX_MATRIX_LABELS:
-            raise ValueError("Too many labels for a confusion matrix.")
-        labels = sorted(r[0] for r in rows)
+        labels = sorted(r[0] for r in seen.limit(max_labels + 1).collect())
+    if len(labels) > max_labels:
+        raise ValueError(f"More than {max_labels} labels; allow more with `max_labels`, or use the counts.")
     names = [str(x) for x in labels]
     every = df.sparkSession.createDataFrame([(x,) for x in names], "a string")
     cells = [
