@@ -37,13 +37,16 @@ def words(text: Column) -> Column:
 
 
 def once_per_worker(key: tuple, build: Callable):
-    """A model that is costly to load, kept for all tasks of one Python worker.
+    """A model that is costly to load, kept for the next tasks of one Python worker.
+
+    Only the last one is kept: a worker that goes on to another operator gives it back.
 
     Functions travel by value, so their module's globals are new in every task; the
     interpreter's own ``sys`` module is the one place that stays.
     """
     kept = sys.__dict__.setdefault("_gridloom_worker_models", {})
     if key not in kept:
+        kept.clear()
         kept[key] = build()
     return kept[key]
 

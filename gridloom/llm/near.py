@@ -32,7 +32,7 @@ from .graph import components
 SHINGLE, SIMILARITY = 5, 0.8
 # 20 bands of 5 registers: a pair of similarity 0.8 meets with a probability of 0.9996.
 BANDS, ROWS = 20, 5
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 # Earlier shingles of a prefix that each of its rows carries.
 PRIOR = 16
 # Longs of a set's parity bits.
@@ -141,7 +141,7 @@ def _node(words: list[str]) -> bytes:
     return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 400):
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 300):
     """Slices of few rows, with the worker's memory of word hashes kept in bounds."""
     known = once_per_worker(("word hashes",), _WordHashes)
     for whole in batches:

@@ -22,9 +22,9 @@ MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 _WORDS = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+").findall
 # Words of up to this many characters are remembered: this many recent ones and as many older.
-SHORT, REMEMBERED = 48, 250_000
+SHORT, REMEMBERED = 48, 100_000
 # So many answers of the pair test.
-PAIRS = 1_000_000
+PAIRS = 250_000
 
 
 class PieceCoder:
@@ -62,6 +62,7 @@ class PieceCoder:
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.bits = n.bit_length()
+        self.names = [str(i) for i in range(n)]
         self.pairs: dict = {}
         self.recent: dict = {}
         self.older: dict = {}
@@ -179,7 +180,6 @@ def encode_decode(
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path(model)
         coder = once_per_worker(("pieces", path), lambda: PieceCoder(path))
-        names = once_per_worker(("piece names", path), lambda: [str(i) for i in range(len(coder.raw))])
         for whole in batches:
             for batch in parts_of(whole, 200):
                 counts, ids_hash, text_hash, all_ids, decoded = [], [], [], [], []
@@ -187,7 +187,7 @@ def encode_decode(
                     ids = coder.encode(text)
                     back = coder.decode(ids)
                     counts.append(len(ids))
-                    ids_hash.append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                    ids_hash.append(hashlib.sha256(" ".join(map(coder.names.__getitem__, ids)).encode()).hexdigest())
                     text_hash.append(hashlib.sha256(back.encode()).hexdigest())
                     if texts:
                         all_ids.append(ids)

@@ -20,7 +20,7 @@ _GAP, _INK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 _SAFE = re.compile(f"{_GAP}*{_INK}+|{_GAP}+")
 # Pieces of up to this many characters are remembered, and at most so many of them.
 SHORT = 48
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def balanced(texts: Iterable[str], most_bytes: int) -> Iterator[list[str]]:
