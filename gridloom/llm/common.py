@@ -66,6 +66,24 @@ def parts_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+# About so many bytes of rows travel to a Python worker at a time.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def map_batches(rows: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` over batches bounded by bytes, however long the texts are.
+
+    An executor holds such a batch twice for each of its cores, in the JVM's direct memory and
+    in the worker. The bound is a setting of the session, changed only where it stands at
+    Spark's default.
+    """
+    conf = rows.sparkSession.conf
+    if conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return rows.mapInArrow(function, schema)
+
+
 # A table of at most so many narrow rows is broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 50_000
 

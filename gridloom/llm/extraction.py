@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import require
-from .common import once_per_worker, parts_of, quoted
+from .common import map_batches, once_per_worker, parts_of, quoted
 from .html_blocks import SIGNS, Block, leaf_blocks
 
 TRAINING_PAGES, SEED = 400, 11
@@ -264,5 +264,5 @@ def extract_main_text(
         quoted(id_col).alias("page_id"), quoted(url_col).cast("string").alias("url"), quoted(html_col).cast("string").alias("html")
     )
     kind = rows.schema["page_id"].dataType.simpleString()
-    found = rows.mapInArrow(extract, f"page_id {kind}, url string, text string")
+    found = map_batches(rows, extract, f"page_id {kind}, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("bigint"))

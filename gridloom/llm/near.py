@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import require
 from ..functions.storage import cut_lineage
-from .common import fitting, narrow, once_per_worker, parts_of, quoted
+from .common import fitting, map_batches, narrow, once_per_worker, parts_of, quoted
 from .graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -168,7 +168,7 @@ def sketches(rows: DataFrame, bands: int = BANDS, band_rows: int = ROWS) -> Data
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(sketch, f"doc_id {kind}, digest binary, node binary, bands array<bigint>")
+    return map_batches(rows, sketch, f"doc_id {kind}, digest binary, node binary, bands array<bigint>")
 
 
 def _weighted_sets(rows: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def _weighted_sets(rows: DataFrame) -> DataFrame:
                 ["node", "keys", "weights", "parity"],
             )
 
-    return rows.mapInArrow(collect, "node binary, keys array<bigint>, weights array<int>, parity array<bigint>")
+    return map_batches(rows, collect, "node binary, keys array<bigint>, weights array<int>, parity array<bigint>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -216,7 +216,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         pairs = pairs.join(
             sets.select(F.col("node").alias(side), F.col("keys").alias(f"k{side}"), F.col("weights").alias(f"w{side}")), side
         )
-    return pairs.select("a", "b", "ka", "wa", "kb", "wb").mapInArrow(verify, "a binary, b binary")
+    return map_batches(pairs.select("a", "b", "ka", "wa", "kb", "wb"), verify, "a binary, b binary")
 
 
 def _open_pairs(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import narrow, once_per_worker, parts_of, tokenizer_path
+from .common import map_batches, narrow, once_per_worker, parts_of, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -201,4 +201,4 @@ def encode_decode(
     kind = rows.schema["doc_id"].dataType.simpleString()
     heads = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * texts
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInArrow(code, schema + ", ids array<int>, decoded string" * texts)
+    return map_batches(rows, code, schema + ", ids array<int>, decoded string" * texts)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import require
-from .common import narrow, parts_of, quoted
+from .common import map_batches, narrow, parts_of, quoted
 from .rules import STOP_WORDS
 
 # Labelled rows that a fit takes at most, by order of a hash of their ids.
@@ -195,7 +195,7 @@ def _with_features(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(x, pa.list_(pa.float64()))], heads)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", x array<double>"
-    return rows.mapInArrow(measure, schema)
+    return map_batches(rows, measure, schema)
 
 
 def held_out(id_column: Column) -> Column:
@@ -244,7 +244,7 @@ def score_quality(
 
     rows = narrow(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(look_up, f"doc_id {kind}, score double")
+    scored = map_batches(rows, look_up, f"doc_id {kind}, score double")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
@@ -267,4 +267,4 @@ def keep_good(
 
     # Plain names on the way: the Arrow call looks columns up by name, dots and all.
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    return plain.mapInArrow(sift, plain.schema).toDF(*names)
+    return map_batches(plain, sift, plain.schema).toDF(*names)

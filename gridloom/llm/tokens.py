@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import narrow, once_per_worker, parts_of, tokenizer_path
+from .common import map_batches, narrow, once_per_worker, parts_of, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 # White space as Unicode has it; Python's \s also takes the separators \x1c to \x1f.
@@ -102,4 +102,4 @@ def token_counts(
 
     rows = narrow(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(count, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return map_batches(rows, count, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..functions.columns import require
-from .common import parts_of, quoted
+from .common import map_batches, parts_of, quoted
 
 # (verdict, host, path): a rule fits the host and its subdomains where the path starts so.
 RULES = (
@@ -112,8 +112,8 @@ def judge_urls(
 
     rows = pages.select(quoted(id_col).alias("page_id"), quoted(url_col).cast("string").alias("url"))
     kind = rows.schema["page_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        judge, f"page_id {kind}, host string, path string, rule string, verdict string, n_strict bigint, n_soft bigint"
+    return map_batches(
+        rows, judge, f"page_id {kind}, host string, path string, rule string, verdict string, n_strict bigint, n_soft bigint"
     )
 
 

@@ -1,9 +1,10 @@
 """Each operator on rows that a corpus should not have but does."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import copies, extraction, mixing, near, quality, urls
+from gridloom.llm import common, copies, extraction, mixing, near, quality, urls
 
 NAMES = ["rules", "tokens", "copies", "pieces", "mixing", "near", "private", "quality"]
 
@@ -76,3 +77,20 @@ def test_pages(spark):
     assert (by[4].host, by[4].path) == ("user@a.net:80", "/En")
     assert (by[5].host, by[5].path, by[5].rule, by[5].verdict) == ("net", "/", "net/", "block")
     assert extraction.extract_main_text(pages.limit(0)).collect() == [] and urls.judge_urls(pages.limit(0)).collect() == []
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Long texts reach a worker a few at a time; a bound that the user has set stays."""
+    setting = common._BATCH_SETTING
+    before = spark.conf.get(setting)
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]}) for b in batches)
+    long = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    try:
+        spark.conf.set(setting, common._BATCH_DEFAULT)
+        got = common.map_batches(long, sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in got) == 40 and max(r.bytes for r in got) <= common.BATCH_BYTES + (2 << 20)
+        spark.conf.set(setting, "1000000")
+        got = common.map_batches(long, sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in got) == 40 and max(r.rows for r in got) <= 2
+    finally:
+        spark.conf.set(setting, before)
