@@ -6,7 +6,9 @@ import html
 import re
 from dataclasses import dataclass
 
-_TAG = re.compile(r"""</?([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]{0,8192}"|'[^']{0,8192}')*)>|</?([A-Za-z][^\s/>]*)([^>]*)>""")
+_TAG = re.compile(r"</?([A-Za-z][^\s/>]*+)")
+# On to what follows the next equals sign, a quote or a value without quotes, or to the end of the tag.
+_ATTRIBUTE = re.compile(r"""[^=>]*+(?:=\s*+(?:(["'])|[^\s>]*+)|>)""")
 _NAMES = re.compile(r"""(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""display\s*:\s*none|(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*["']?true""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -71,6 +73,28 @@ def signs_of(tag: str, attributes: str) -> int:
     return bits
 
 
+def tag_end(page: str, at: int, endless: set[int]) -> int:
+    """Where the tag ends whose attributes begin at ``at``, just behind its bracket; -1 if the page breaks off in it.
+
+    A quote behind an equals sign holds all up to the next one like it, however far, brackets
+    included. If the page ends before such a tag does, the tag ends at its first bracket.
+    ``endless`` remembers quotes from which no end was found, so a page is read a bounded
+    number of times whatever it holds.
+    """
+    i, passed = at, []
+    while (step := _ATTRIBUTE.match(page, i)) is not None:
+        i = step.end()
+        if step[1]:
+            passed.append(i)
+            i = 0 if i in endless else page.find(step[1], i) + 1
+            if not i:
+                break
+        elif page[i - 1] == ">":
+            return i
+    endless.update(passed)
+    return page.find(">", at) + 1 or -1
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Blocks with text in page order. Scripts, styles, comments and markup are left out."""
     blocks: list[Block] = []
@@ -103,6 +127,7 @@ def leaf_blocks(page: str) -> list[Block]:
         del stack[depth:]
 
     at, size = 0, len(page)
+    endless: set[int] = set()
     while at < size:
         mark = page.find("<", at)
         if mark < 0:
@@ -118,15 +143,16 @@ def leaf_blocks(page: str) -> list[Block]:
             at = size if end < 0 else end + 1
             continue
         tag = _TAG.match(page, mark)
-        if tag is None:
+        end = tag_end(page, tag.end(), endless) if tag else -1
+        if tag is None or end < 0:
             if mark + 1 < size and (page[mark + 1].isalpha() or page[mark + 1] == "/"):
                 at = size  # a tag that the page breaks off in
             else:
                 add("<")
                 at = mark + 1
             continue
-        at = tag.end()
-        name = (tag[1] or tag[3]).lower()
+        at = end
+        name = tag[1].lower()
         if page[mark + 1] == "/":
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
             if name not in INLINE:
@@ -134,7 +160,7 @@ def leaf_blocks(page: str) -> list[Block]:
             if depth and (name not in INLINE or all(e[0] in INLINE for e in stack[depth:])):
                 pop_to(depth)
             continue
-        attributes = tag[2] or tag[4] or ""
+        attributes = page[tag.end() : end - 1]
         if name == "br":
             add(" ")
             continue
