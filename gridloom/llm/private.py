@@ -28,25 +28,28 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _LOOSE = r"[\x20-](?![0-9])|(?<![0-9])[\x20-]"
 CARD = r"[0-9][\x200-9-]{11,}"
 _CARD_HINT = r"[0-9](?:[\x20-]?[0-9]){11}"
-# Something like an identifier: up to six neighbouring tokens with a digit or an at sign.
+# Something like an identifier: neighbouring tokens with a digit or an at sign, however many.
 _INK = r"[^\x20\x09-\x0D]"
 _TOKEN = rf"[^\x20\x09-\x0D0-9@]*+[0-9@]{_INK}*+"
-CANDIDATE = rf"(?<!{_INK}){_TOKEN}(?:\x20{_TOKEN}){{0,5}}+"
-_CONTEXT = 48
+CANDIDATE = rf"(?<!{_INK}){_TOKEN}(?:\x20{_TOKEN})*+"
+# Where a base span cuts a candidate, what is left begins and ends with something like these.
+_HEAD_GLUE, _TAIL_GLUE = r"^[^\p{L}\p{N}@+(]++", r"(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$"
+# An identifier as a word of the context of what follows it; a word there is known by its last characters.
+_STAND_IN, _WORD_END = "0", 48
 ROUNDS, CONFIDENT, SUPPORT, DIGITS = 3, 0.8, 3, 4
 
-_SPAN = "array<struct<start:int,end:int,hit:string,before:string>>"
+_SPAN = "array<struct<start:int,end:int,hit:string>>"
+_CUT = "struct<start:int,k:int,end:int,hit:string>"
+_PART = "struct<start:int,end:int,k:int,hit:string>"
 
 
 def located(text: Column, pattern: str) -> Column:
-    """Matches in order: start and end in code points, the match, and what stands before it."""
+    """Matches in order: start and end in code points, and the match."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.slice(F.split(text, pattern), F.lit(1), F.size(hits))
     start = lambda a, x: a["at"] + F.length(x["b"])
     end = lambda a, x: a["at"] + F.length(x["b"]) + F.length(x["h"])
-    found = lambda a, x: F.struct(
-        start(a, x).alias("start"), end(a, x).alias("end"), x["h"].alias("hit"), F.right(x["b"], F.lit(_CONTEXT)).alias("before")
-    )
+    found = lambda a, x: F.struct(start(a, x).alias("start"), end(a, x).alias("end"), x["h"].alias("hit"))
     return F.aggregate(
         F.arrays_zip(between.alias("b"), hits.alias("h")),
         F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")),
@@ -55,6 +58,91 @@ def located(text: Column, pattern: str) -> Column:
     )
 
 
+def _placed(text: Column, pattern: str, words_of: Callable) -> Column:
+    """Matches with the last two ``words_of`` all that stands before them in the text.
+
+    A match stands in the words of those behind it as one stand-in, so contexts that differ in
+    an earlier identifier only are one.
+    """
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.slice(F.split(text, pattern), F.lit(1), F.size(hits))
+    start = lambda a, x: a["at"] + F.length(x["b"])
+    end = lambda a, x: a["at"] + F.length(x["b"]) + F.length(x["h"])
+    words = lambda a, x: _last_two(F.concat(a["words"], x["w"]))
+    found = lambda a, x: F.struct(
+        start(a, x).alias("start"), end(a, x).alias("end"), x["h"].alias("hit"), words(a, x).alias("words")
+    )
+    return F.aggregate(
+        F.arrays_zip(between.alias("b"), hits.alias("h"), F.transform(between, words_of).alias("w")),
+        F.struct(
+            F.lit(0).alias("at"), F.array().cast("array<string>").alias("words"),
+            F.array().cast("array<struct<start:int,end:int,hit:string,words:array<string>>>").alias("out"),
+        ),
+        lambda a, x: F.struct(
+            end(a, x).alias("at"), F.concat(words(a, x), F.array(F.lit(_STAND_IN))).alias("words"),
+            F.concat(a["out"], F.array(found(a, x))).alias("out"),
+        ),
+        lambda a: a["out"],
+    )
+
+
+def _last_two(words: Column) -> Column:
+    return F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2))
+
+
+def _last_words(before: Column) -> Column:
+    """The last two words of a stretch of text, or fewer, in lower case."""
+    plain = F.lower(F.regexp_replace(before, r"[^\p{L}\p{N}=:#]+", " "))
+    words = F.filter(F.split(plain, " "), lambda w: w != "")
+    last = F.flatten(F.transform(F.array(words), _last_two))  # the words are split once
+    return F.transform(last, lambda w: F.right(w, F.lit(_WORD_END)))
+
+
+def _pattern(words: Column, place: Column) -> Column:
+    """The two words before the part at ``place`` of a candidate; NULL if the text starts less than two before."""
+    words = F.concat(words, F.array_repeat(F.lit(_STAND_IN), F.least(place, F.lit(2))))
+    return F.when(F.size(words) >= 2, F.array_join(_last_two(words), " "))
+
+
+def _once(value: Column, use: Callable) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parts(c: Column) -> Column:
+    """A candidate in order: the base spans that start in it, and what they leave of it."""
+    part = lambda start, end, k, hit: F.struct(
+        start.cast("int").alias("start"), end.cast("int").alias("end"), k.cast("int").alias("k"), hit.alias("hit")
+    )
+    none = F.array().cast(f"array<{_PART}>")
+    gap = lambda start, end, b: F.struct(start.alias("start"), end.alias("end"), b.alias("b"))
+    gaps = F.aggregate(
+        c["cuts"],
+        F.struct(c["start"].alias("at"), F.array().cast(f"array<struct<start:int,end:int,b:{_CUT}>>").alias("out")),
+        lambda a, b: F.struct(
+            F.greatest(a["at"], b["end"]).alias("at"), F.concat(a["out"], F.array(gap(a["at"], b["start"], b))).alias("out")
+        ),
+        lambda a: F.concat(a["out"], F.array(gap(a["at"], c["end"], F.lit(None).cast(_CUT)))),
+    )
+
+    def left(g: Column) -> Column:
+        hit = F.substring(c["hit"], g["start"] - c["start"] + 1, g["end"] - g["start"])
+        headless = lambda t: F.when(g["start"] > c["start"], F.regexp_replace(t, _HEAD_GLUE, "")).otherwise(t)
+        tailless = lambda t: F.when(g["end"] < c["end"], F.regexp_replace(t, _TAIL_GLUE, "")).otherwise(t)
+        begin = lambda t, w: g["start"] + F.length(t) - F.length(w)
+        found = lambda t, w: part(begin(t, w), begin(t, w) + F.length(w), F.lit(None), w)
+        parts = lambda t: _once(headless(t), lambda w: F.when(w.rlike("[0-9@]"), F.array(found(t, w))).otherwise(none))
+        return F.when(
+            g["start"] < g["end"], _once(hit, lambda h: F.when(h.rlike("[0-9@]"), _once(tailless(h), parts)).otherwise(none))
+        ).otherwise(none)
+
+    b = lambda g, name: g["b"][name]
+    seed = lambda g: F.when(
+        b(g, "start") >= g["start"], F.array(part(b(g, "start"), b(g, "end"), b(g, "k"), b(g, "hit")))
+    ).otherwise(none)
+    return F.flatten(F.transform(gaps, lambda g: F.concat(left(g), seed(g))))
+
+
 def _digits(hit: Column) -> Column:
     return F.regexp_replace(hit, "[^0-9]+", "")
 
@@ -89,14 +177,6 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(hint, F.filter(found, fits)).otherwise(none)
 
 
-def _pattern(before: Column) -> Column:
-    """The last two words before an identifier, in lower case; NULL at the start of a text."""
-    plain = F.lower(F.regexp_replace(before, r"[^\p{L}\p{N}=:#]+", " "))
-    last = F.slice(F.filter(F.split(plain, " "), lambda w: w != ""), -2, 2)
-    last = F.when(F.size(F.filter(F.split(plain, " "), lambda w: w != "")) >= 2, last)
-    return F.array_join(last, " ")
-
-
 def scored_patterns(
     edges: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT
 ) -> DataFrame:
@@ -140,7 +220,8 @@ def find_private(
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added``, one row per row.
 
     Base spans are always kept; the method adds identifiers of at least ``digits`` digits, or
-    with an at sign, that stand behind a confident pattern and overlap no base span.
+    with an at sign, that stand behind a confident pattern. A run of tokens that base spans
+    lie in is cut there: the rest is looked at, the base spans are the seeds.
 
     NULL and empty texts have no spans (the digest of nothing, an empty list); repeated rows
     give repeated rows and count as one instance; an empty table gives an empty one; a NULL
@@ -149,23 +230,21 @@ def find_private(
     rows = narrow(docs, id_col, text_col)
     for kind in KINDS:
         rows = rows.withColumn(kind, base_spans(F.col("text"), kind))
-    rows = rows.withColumn(
-        "maybe", F.when(F.col("text").rlike("[0-9@]"), located(F.col("text"), CANDIDATE)).otherwise(F.array().cast(_SPAN))
-    )
     tagged: Callable = lambda kind, k: F.transform(
-        kind, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("k"), s["end"].alias("end"))
+        kind, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("k"), s["end"].alias("end"), s["hit"].alias("hit"))
     )
-    base = F.concat(*[tagged(F.col(kind), k) for k, kind in enumerate(KINDS)])
+    base = F.array_sort(F.concat(*[tagged(F.col(kind), k) for k, kind in enumerate(KINDS)]))
     rows = rows.select(
-        "doc_id", *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in KINDS], base.alias("base"), "maybe"
+        "doc_id", *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in KINDS], base.alias("base"),
+        F.when(F.col("text").rlike("[0-9@]"), _placed(F.col("text"), CANDIDATE, _last_words)).alias("maybe"),
     )
     rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
 
-    touching = F.filter("base", lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start")))
-    seen = rows.filter(F.size("maybe") > 0).select("row", "base", F.explode("maybe").alias("c")).select(
-        "row", F.col("c.start").alias("start"), F.col("c.end").alias("end"),
-        _pattern(F.col("c.before")).alias("pattern"), F.lower("c.hit").alias("instance"),
-        F.get(touching, F.lit(0))["k"].alias("kind"),
+    cut: Callable = lambda c: F.filter("base", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"]))
+    seen = rows.select("row", F.explode(F.transform("maybe", lambda c: c.withField("cuts", cut(c)))).alias("c"))
+    seen = seen.select("row", F.col("c.words").alias("words"), F.posexplode(_parts(F.col("c"))).alias("place", "p")).select(
+        "row", F.col("p.start").alias("start"), F.col("p.end").alias("end"),
+        _pattern(F.col("words"), F.col("place")).alias("pattern"), F.lower("p.hit").alias("instance"), F.col("p.k").alias("kind"),
     ).filter("pattern IS NOT NULL")
     patterns = scored_patterns(seen.select("pattern", "instance", "kind").distinct(), rounds, confident, support)
     like_one = (F.length(_digits(F.col("instance"))) >= digits) | F.col("instance").contains("@")
@@ -175,7 +254,8 @@ def find_private(
         F.collect_list(F.struct("start", "k", "end")).alias("added")  # spans of one text
     )
     none = F.array().cast("array<struct<start:int,k:int,end:int>>")
-    rows = rows.drop("maybe").join(added, "row", "left").withColumn("added", F.coalesce("added", none))
+    spots = F.transform("base", lambda b: b.dropFields("hit"))
+    rows = rows.withColumn("base", spots).drop("maybe").join(added, "row", "left").withColumn("added", F.coalesce("added", none))
     return rows.select(
         "doc_id", *[f"n_{kind}" for kind in KINDS], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.concat("base", "added")).alias("spans"), F.size("added").cast("bigint").alias("n_added"),

@@ -148,6 +148,47 @@ def test_private_learns_from_contexts(spark):
     assert all(got[i].n_card == 1 and got[i].n_added == 0 for i in range(5))
 
 
+GOOD_CARDS = ["4111111111111111", "5500005555555559", "4012888888881881", "6011111111111117", "30569309025904"]
+
+
+def found_spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.spans for r in sorted(private.find_private(df).collect())]
+
+
+def test_private_context_reaches_over_an_earlier_identifier(spark):
+    texts = [f"SSN 078-05-11{i}0 DOB {c}" for i, c in enumerate(GOOD_CARDS)]
+    got = found_spans(spark, [*texts, "SSN 078-05-1120 DOB 1980-01-01"])
+    assert got[-1] == "card:20:30"
+    texts = [f"my card number a1 - {c}" for c in GOOD_CARDS]  # no word in between
+    assert found_spans(spark, [*texts, "card number b2 - 4111111111111112"])[-1] == "card:17:33"
+
+
+def test_private_takes_a_run_of_any_number_of_tokens(spark):
+    texts = [f"account is held at {c}" for c in GOOD_CARDS]
+    account = "FR14 2004 1010 0505 0001 3M02 606"
+    more = [t.replace("held", "kept") for t in texts]
+    got = found_spans(spark, [*texts, *more, f"it is held at {account}", "kept at" + " 1234" * 500 + " end"])
+    assert got[-2:] == ["card:14:47", "card:8:2507"]
+
+
+def test_private_cuts_candidates_at_base_spans(spark):
+    texts = [f"card number {c}" for c in GOOD_CARDS]
+    got = found_spans(spark, [
+        *texts, "card number 4111111111111112 +1 (555) 123-4567", "our card number 4111111111111112/+1 (555) 123-4567.",
+        "card number 5500005555555559, 12345",
+    ])
+    assert got[5] == "card:12:28,phone:29:46"
+    assert got[6] == "card:16:32,phone:33:50"
+    assert got[7] == "card:12:28"
+
+
+def test_private_long_words_and_gaps_are_a_context(spark):
+    texts = [f"{'x' * 60} number   {' ' * 60} {c}" for c in GOOD_CARDS]
+    got = found_spans(spark, [*texts, f"{'x' * 60} number 4111111111111112"])
+    assert got[-1] == "card:68:84"
+
+
 def components_of(pairs, n):
     parent = list(range(n))
 
