@@ -184,7 +184,8 @@ def scored_patterns(
 
     ``edges`` has distinct ``pattern, instance, kind``; ``kind`` is that of a seed or NULL.
     A pattern's score for a kind is the mean confidence of its instances, an instance's is
-    what its confident patterns leave no doubt about; seeds are certain.
+    what its confident patterns leave no doubt about; seeds are certain. A pattern needs
+    ``support`` instances that are themselves confident, seeds or discovered in a round before.
     """
     edges = cut_lineage(edges)
     seeds = edges.filter("kind IS NOT NULL").select("instance", "kind", F.lit(1.0).alias("sure")).distinct()
@@ -193,12 +194,12 @@ def scored_patterns(
     known, patterns = seeds, None
     for _ in range(rounds):
         sums = links.join(known, "instance").groupBy("pattern", "kind").agg(
-            F.sum("sure").alias("sure"), F.count_if(F.col("sure") == 1.0).alias("seeds")
+            F.sum("sure").alias("sure"), F.count_if(F.round("sure", 9) >= confident).alias("backing")
         )
         patterns = sums.join(sizes, "pattern").select(
-            "pattern", "kind", F.round(F.col("sure") / F.col("n"), 9).alias("score"), "seeds"
+            "pattern", "kind", F.round(F.col("sure") / F.col("n"), 9).alias("score"), "backing"
         )
-        patterns = cut_lineage(patterns.filter((F.col("score") >= confident) & (F.col("seeds") >= support)))
+        patterns = cut_lineage(patterns.filter((F.col("score") >= confident) & (F.col("backing") >= support)))
         doubt = F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.99))))
         reached = links.join(patterns, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("sure"))
         reached = reached.join(seeds.select("instance", "kind"), ["instance", "kind"], "left_anti")

@@ -189,6 +189,14 @@ def test_private_long_words_and_gaps_are_a_context(spark):
     assert got[-1] == "card:68:84"
 
 
+def test_private_patterns_behind_discovered_instances(spark):
+    """Two hops: seeds make one pattern confident, what it discovers the next one."""
+    edges = [("first", f"s{i}", "card") for i in range(27)] + [("first", f"x{i}", None) for i in range(3)]
+    edges += [("second", f"x{i}", None) for i in range(3)] + [("third", f"x{i}", None) for i in range(2)]
+    df = spark.createDataFrame(edges, "pattern string, instance string, kind string")
+    assert {r.pattern for r in private.scored_patterns(df).collect()} == {"first", "second"}
+
+
 def components_of(pairs, n):
     parent = list(range(n))
 
