@@ -20,8 +20,8 @@ KINDS = ("email", "ip", "card", "phone")
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 # The same matches as the plain patterns, written so that Java's matcher neither goes back
 # over long runs nor recurses deeply: a match starts where a run does, or at the end of the
-# match before. Domains of more than 900 labels would end there.
-EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_HOST}++(?:\.{_HOST}++){{1,900}}+"
+# match before. A possessive group is matched in a loop, over any number of labels.
+EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_HOST}++(?:\.{_HOST}++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Separators that do not stand between two digits; without them a card is a plain run.

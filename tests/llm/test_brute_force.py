@@ -189,6 +189,14 @@ def test_private_long_words_and_gaps_are_a_context(spark):
     assert got[-1] == "card:68:84"
 
 
+@pytest.mark.parametrize("labels", [1200, 5000, 200_000])
+def test_private_emails_of_many_labels(spark, labels):
+    text = "a.b@" + "c." * labels + "d, x@y.z"
+    df = spark.createDataFrame([(text,)], "text string")
+    [r] = df.select(private.base_spans(F.col("text"), "email").alias("s")).collect()
+    assert [(x.start, x.end) for x in r.s] == [m.span() for m in re.finditer(PLAIN["email"], text)]
+
+
 def test_private_patterns_behind_discovered_instances(spark):
     """Two hops: seeds make one pattern confident, what it discovers the next one."""
     edges = [("first", f"s{i}", "card") for i in range(27)] + [("first", f"x{i}", None) for i in range(3)]
