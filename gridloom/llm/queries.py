@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import textwrap
 
-from . import copies, extraction, mixing, near, pieces, private, quality, rules, tokens, urls
+from . import (
+    centroids, copies, divergence, extraction, mixing, near, packing, pieces, private, quality, rules, tokens, urls,
+)
 from .common import table
 
 
@@ -49,11 +51,24 @@ def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_centroid_clusters(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_token_counts, op3_exact_dedup, op4_html_text, op5_sentencepiece,
         op6_mix_sources, op7_near_dedup, op8_private_data, op9_quality_classifier, op10_url_filter,
+        op11_centroid_clusters, op12_source_divergence, op13_best_fit_packing,
     )
 }
 ORACLES = {
@@ -63,5 +78,7 @@ ORACLES = {
         ("op3_exact_dedup", copies.ORACLE_SQL),
         ("op6_mix_sources", mixing.oracle_sql()),
         ("op10_url_filter", urls.oracle_sql()),
+        ("op11_centroid_clusters", centroids.oracle_sql()),
+        ("op12_source_divergence", divergence.ORACLE_SQL),
     )
 }
