@@ -12,8 +12,10 @@ per slice of the written table, and each piece looks its run up where it lies.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
@@ -21,21 +23,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.storage import cut_lineage
-from .common import fitting, map_batches, narrow, once_per_worker, parts_of, tokenizer_path
+from .common import fitting, map_batches, narrow, once_per_worker, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
-# Words that a worker remembers, and the longest of them in bytes.
-REMEMBERED, SHORT = 250_000, 64
+# Words, and parts of words, that a worker remembers, and the longest of them.
+REMEMBERED, SHORT = 500_000, 64
 
 # The vocabulary files whose words never reach over white space have this
 # normaliser and these patterns.
 SAFE_NORMALIZERS = ["NFC", "NFD", "NFKC", "NFKD", "Lowercase"]
 SAFE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+
+# The same pattern for words in Latin characters, which Unicode has settled long ago and whose
+# normal form is themselves: its matches are encoded apart, so "Sea," and "sea" share one.
+_LATIN = [c for c in map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x250)]) if c not in "\u0130\xad"]
+_LETTERS = re.escape("".join(c for c in _LATIN if c.isalpha()))
+_NUMBERS = re.escape("".join(c for c in _LATIN if c.isnumeric()))
+_PLAIN = re.compile(f"[{re.escape(''.join(_LATIN))}]+")
+_PARTS = re.compile(
+    f"'[sStTmMdD]|'[rR][eE]|'[vV][eE]|'[lL][lL]|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+"
+)
 
 
 def _cuts_at_spaces(parts: dict) -> bool:
@@ -51,40 +65,108 @@ def _cuts_at_spaces(parts: dict) -> bool:
     return bool(words and split["behavior"] == "Removed" and plain)
 
 
-def _load(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-    from tokenizers import Tokenizer
+class Encoder:
+    """Token ids of UTF-8 texts, as little-endian 32-bit numbers, exactly as the library gives them.
+
+    Where the vocabulary allows it, texts are cut at ASCII white space; words met before are
+    looked up, and new Latin ones are put together from their parts. The library encodes what
+    is new, many parts at a time: a part ends with the one token that has the word end.
+    """
 
-    encoder = Tokenizer.from_file(path)
-    encoder.no_truncation()
-    encoder.no_padding()
-    return encoder, _cuts_at_spaces(json.loads(encoder.to_str())), {}
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        parts = json.loads(self.library.to_str())
+        self.safe = _cuts_at_spaces(parts)
+        lower = any(n["type"] == "Lowercase" for n in (parts["normalizer"] or {}).get("normalizers", []))
+        self.by_parts = self.safe and lower and parts["model"].get("end_of_word_suffix") == WORD_END
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        codes = self.library.encode_batch_fast(words, add_special_tokens=False)
+        return [_ids(code.ids) for code in codes]
+
+    def _encode_parts(self, new: list[str]) -> None:
+        for start in range(0, len(new), 5000):
+            some = new[start : start + 5000]
+            code = self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(code.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):  # not as expected of the vocabulary: one by one
+                self.parts.update(zip(some, self._whole(some)))
+                continue
+            all_ids, at = ids.tobytes(), 0
+            for part, end in zip(some, (4 * cuts).tolist()):
+                self.parts[part] = all_ids[at:end]
+                at = end
+
+    def _learn(self, new: list[str]) -> None:
+        """The ids of new words."""
+        odd = [w for w in new if not (self.by_parts and _PLAIN.fullmatch(w)) or "<|" in w]
+        for start in range(0, len(odd), 1000):
+            some = odd[start : start + 1000]
+            self.words.update(zip(some, self._whole(some)))
+        plain = list({*new}.difference(odd))
+        found = [_PARTS.findall(w.lower() if w.isascii() else w) for w in plain]
+        missing = {p for ps in found for p in ps if p not in self.parts}
+        if len(self.parts) + len(missing) > REMEMBERED:
+            self.parts.clear()
+            missing = {p for ps in found for p in ps}
+        self._encode_parts(list(missing))
+        get = self.parts.__getitem__
+        self.words.update(zip(plain, [get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps)) for ps in found]))
+        for part in missing:
+            if len(part) > SHORT:
+                del self.parts[part]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and where each text's ids end.
+
+        Each word is looked up once a batch; the ids are then gathered by number.
+        """
+        if self.safe:
+            lists = pc.ascii_split_whitespace(texts)
+            coded, ends = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        else:
+            coded, ends = texts.dictionary_encode(), np.arange(1, len(texts) + 1)
+        words, of = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        was_on = gc.isenabled()
+        gc.disable()  # only strings and bytes are made, in large numbers
+        try:
+            if self.safe:
+                missing = [w for w in words if w not in self.words]
+                if len(self.words) + len(missing) > REMEMBERED:
+                    self.words.clear()
+                    missing = words
+                self._learn(missing)
+                codes = list(map(self.words.__getitem__, words))
+                for w in missing:
+                    if len(w) > SHORT:
+                        del self.words[w]
+            else:
+                codes = self._whole(words)
+        finally:
+            if was_on:
+                gc.enable()
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        held = np.frombuffer(b"".join(codes), "<u4")
+        starts, counts = (np.cumsum(sizes) - sizes)[of], sizes[of]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        return held[np.repeat(starts - upto[:-1], counts) + np.arange(upto[-1])], upto[ends]
 
 
 def _ids(codes: list[int]) -> bytes:
     return np.array(codes, "<u4").tobytes()
 
 
-def encoded(texts: list[bytes], encoder, safe: bool, known: dict) -> list[bytes]:
-    """Token ids of UTF-8 texts as little-endian 32-bit numbers; words are encoded once."""
-    split = [t.split() if safe else [t] if t else [] for t in texts]
-    new = {w for ws in split for w in ws if w not in known}
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = {w for ws in split for w in ws}
-    fresh = list(new)
-    for start in range(0, len(fresh), 2000):
-        some = fresh[start : start + 2000]
-        codes = encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-        for word, code in zip(some, codes):
-            known[word] = _ids(code.ids)
-    out = [b"".join(map(known.__getitem__, ws)) for ws in split]
-    for w in fresh:
-        if len(w) > SHORT:
-            del known[w]
-    return out
-
-
 def pieces(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
     capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False,
@@ -95,39 +177,39 @@ def pieces(
     that length, the last one may be shorter. ``place`` counts pieces of one length in a slice
     (a task of this pass).
     """
-    rows = narrow(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    end, width = _ids([end_id]), 4 * capacity
+    rows, width = narrow(docs, id_col, text_col), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path(vocabulary)
-        encoder, safe, known = once_per_worker(("packing", path), lambda: _load(path))
+        encoder = once_per_worker(("packing", path), lambda: Encoder(path))
         own, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for whole in batches:
-            for batch in parts_of(whole, 500):
-                of, number, start, length, crc, place, kept = [], [], [], [], [], [], []
-                for i, ids in enumerate(encoded(batch.column(1).to_pylist(), encoder, safe, known)):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at : at + width]
-                        n = len(part) // 4
-                        of.append(i)
-                        number.append(k)
-                        start.append(at // 4)
-                        length.append(n)
-                        crc.append(zlib.crc32(part))
-                        place.append(seen[n])
-                        seen[n] += 1
-                        if keep_ids:
-                            kept.append(part)
-                columns = {
-                    "doc_id": batch.column(0).take(pa.array(of, pa.int64())), "piece": pa.array(number, pa.int32()),
-                    "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
-                    "ids_crc32": pa.array(crc, pa.int64()), "slice": pa.array([own] * len(of), pa.int32()),
-                    "place": pa.array(place, pa.int64()),
-                }
-                if keep_ids:
-                    columns["ids"] = pa.array(kept, pa.binary())
-                yield pa.RecordBatch.from_pydict(columns)
+        for batch in batches:
+            ids, ends = encoder.encode(batch.column(1))
+            all_ids = np.insert(ids, ends, end_id).astype("<u4").tobytes()
+            starts = [0, *(4 * (ends + np.arange(1, len(ends) + 1))).tolist()]
+            of, number, start, length, crc, place, kept = [], [], [], [], [], [], []
+            for i, (first, last) in enumerate(zip(starts, starts[1:])):
+                for k, at in enumerate(range(first, last, width)):
+                    part = all_ids[at : min(at + width, last)]
+                    n = len(part) // 4
+                    of.append(i)
+                    number.append(k)
+                    start.append(k * capacity)
+                    length.append(n)
+                    crc.append(zlib.crc32(part))
+                    place.append(seen[n])
+                    seen[n] += 1
+                    if keep_ids:
+                        kept.append(part)
+            columns = {
+                "doc_id": batch.column(0).take(pa.array(of, pa.int64())), "piece": pa.array(number, pa.int32()),
+                "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
+                "ids_crc32": pa.array(crc, pa.int64()), "slice": pa.array([own] * len(of), pa.int32()),
+                "place": pa.array(place, pa.int64()),
+            }
+            if keep_ids:
+                columns["ids"] = pa.array(kept, pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, slice int, place bigint"

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -198,14 +199,29 @@ def test_sequences_hold_the_ids(spark, odd, tokenizer):
 TEXTS = st.lists(st.text(st.sampled_from("aB1 .'st\n\t  \x1c\x85é́İßΣ日가ᄀ\U0001f600<|endoftext>"), max_size=40), max_size=8)
 
 
-@settings(max_examples=150, deadline=None)
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.Encoder(tokenizer_path(packing.VOCABULARY))
+
+
+def by_text(encoder, texts):
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip([0, *ends], ends)]
+
+
+@settings(max_examples=200, deadline=None)
 @given(TEXTS)
-def test_words_alone_give_the_tokens_of_the_text(texts):
-    encoder, safe, known = packing._load(tokenizer_path(packing.VOCABULARY))
-    texts += ["a <|endoftext|> b", "<|startoftext|>x"]
-    assert safe
-    got = packing.encoded([t.encode() for t in texts], encoder, safe, known)
-    assert got == [packing._ids(encoder.encode(t, add_special_tokens=False).ids) for t in texts]
+def test_words_and_parts_give_the_tokens_of_the_text(encoder, texts):
+    texts += ["a <|endoftext|> b", "<|startoftext|>x don'T WE'RE it'Ll ''s -'s \xbd\xb2x\xaa \u0149 \u01c5 \xad", "", " " + "long" * 30]
+    assert encoder.by_parts
+    assert by_text(encoder, texts) == [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_every_latin_character_next_to_others(encoder, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 100)
+    texts = [f"a{chr(c)} {chr(c)}b 1{chr(c)}2 .{chr(c)}'s {chr(c)}{chr(c)}" for c in [*range(1, 0x280), 0x3A3, 0x2160, 0x1E9E]]
+    got = [x for i in range(0, len(texts), 50) for x in by_text(encoder, texts[i : i + 50])]
+    assert got == [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_other_vocabularies_are_encoded_whole(spark, tokenizer):
