@@ -23,7 +23,7 @@ from .common import BROADCAST_ROWS, fitting, map_batches, parts_of, quoted
 LEAST_DOCS, TOP, ADDED, UNITS = 30, 50, 5, 1_000_000_000
 # Entries that a task adds up before it gives them on, and numbers of one matrix at a time.
 HELD, CELLS = 300_000, 1 << 20
-# Digests of eight bytes of which so many are broadcast; beyond it joins shuffle.
+# So many digests of eight bytes are sent to the tasks; beyond it joins shuffle.
 DIGESTS = 500_000
 # ASCII bytes that are no letters become spaces, A-Z become a-z; other bytes are parts of terms.
 _TERM_BYTES = bytes(
@@ -84,8 +84,11 @@ def _counted(rows: DataFrame, bits: int, strings: bool) -> DataFrame:
     return map_batches(rows, count, schema)
 
 
-def _spelled(rows: DataFrame, bits: int) -> DataFrame:
-    """``digest, term``: the strings of the texts, each about once a task."""
+def _spelled(rows: DataFrame, bits: int, wanted: np.ndarray | None) -> DataFrame:
+    """``digest, term``: the strings of the texts, each about once a task.
+
+    With ``wanted``, which is sorted, only those behind these digests.
+    """
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -95,12 +98,16 @@ def _spelled(rows: DataFrame, bits: int) -> DataFrame:
                 for text in batch.column(0).to_pylist():
                     new.update(terms(text))
                 words = list(new - seen)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_digests(words, bits)), pa.array(words, pa.binary()).cast(pa.string())], ["digest", "term"]
-                )
                 if len(seen) > HELD:
                     seen.clear()
                 seen.update(words)
+                found = _digests(words, bits)
+                columns = [pa.array(found), pa.array(words, pa.binary()).cast(pa.string())]
+                out = pa.RecordBatch.from_arrays(columns, ["digest", "term"])
+                if wanted is not None:
+                    at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+                    out = out.filter(pa.array(wanted[at] == found))
+                yield out
 
     return map_batches(rows.select("text"), spell, "digest bigint, term string")
 
@@ -118,13 +125,12 @@ def kept_terms(rows: DataFrame, least_docs: int, bits: int, digests: int) -> tup
     ``tag`` is empty, but for the terms that share a digest: for those it is the term.
     """
     kept = cut_lineage(_frequent(_counted(rows, bits, False), ["digest"], least_docs))
-    wanted = fitting(kept.select("digest").distinct(), digests)
-    small = wanted.count() <= digests
-    spelled = _spelled(rows, bits)
-    # Few digests are looked up before strings travel, many after equal strings have met.
-    spelled = spelled.join(wanted, "digest", "left_semi") if small else spelled
-    names = spelled.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    names = cut_lineage(names if small else names.join(wanted, "digest", "left_semi"))
+    wanted = cut_lineage(kept.select("digest").distinct())
+    n = wanted.count()
+    # Few digests go to the texts; many meet the strings where equal ones have been put together.
+    small = np.sort(wanted.toPandas()["digest"].to_numpy()) if 0 < n <= digests else None
+    names = _spelled(rows, bits, small).groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
+    names = cut_lineage(names if small is not None else names.join(wanted, "digest", "left_semi"))
     shared = fitting(names.filter("low <> high").select("digest"), digests)
     plain = kept.withColumn("tag", F.lit(""))
     if shared.isEmpty():
