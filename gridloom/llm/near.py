@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import require
 from ..functions.storage import cut_lineage
 from .common import fitting, map_batches, narrow, once_per_worker, parts_of, quoted
-from .graph import components
+from .graph import components, mapped
 
 SHINGLE, SIMILARITY = 5, 0.8
 # 20 bands of 5 registers: a pair of similarity 0.8 meets with a probability of 0.9996.
@@ -292,10 +292,9 @@ def near_groups(
         known.groupBy("node").agg(first.alias("first"), F.count("*").alias("n"), F.any_value("bands").alias("bands"))
     )
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    hubs = members.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "bucket"), "node")).alias("hub")
-    ).filter("n > 1")
-    meeting = cut_lineage(members.join(hubs.select("bucket", F.col("hub.node").alias("hub")), "bucket"))
+    # One order of hubs for all buckets, by the digest: a group has few, a node is linked to each once.
+    hubs = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter("n > 1")
+    meeting = cut_lineage(members.join(hubs.select("bucket", "hub"), "bucket"))
     wanted = meeting.select("node").distinct().join(nodes, "node").select(F.col("first.doc_id").alias("wanted_id"))
     texts = rows.join(wanted.distinct(), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     sets = cut_lineage(_weighted_sets(texts.select("text")).dropDuplicates(["node"]))
@@ -313,7 +312,10 @@ def near_groups(
     more = _verified(_open_pairs(mixed, sets, similarity), sets, similarity)
     more = cut_lineage(more)
     if not more.isEmpty():
-        labels = components(links.unionByName(more))
+        # Between components already found, not over all links again.
+        joined = components(mapped(mapped(more, "a", labels), "b", labels))
+        alone = joined.join(labels.select("node"), "node", "left_anti")
+        labels = cut_lineage(mapped(labels, "label", joined).unionByName(alone))
 
     grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = grouped.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("group_size"))
@@ -343,7 +345,9 @@ def near_dedup(
     if repeated.isEmpty():
         return left
     # The same id and text more than once: one row of each stays.
-    once = Window.partitionBy("_row.`%s`" % id_col, "_digest").orderBy(F.lit(0))
     again = left.join(renamed(repeated), match, "left_semi").select(F.struct("*").alias("_row"), digest.alias("_digest"))
-    again = again.withColumn("_place", F.row_number().over(once)).filter("_place = 1").select("_row.*")
+    # The row with the least hash, found where the rows are before any meet.
+    again = again.withColumn("_order", F.xxhash64(F.to_json("_row")))
+    one = again.groupBy(F.col(f"_row.`{id_col}`").alias("_id"), "_digest").agg(F.min_by("_row", "_order").alias("_row"))
+    again = one.select("_row.*")
     return left.join(renamed(repeated), match, "left_anti").unionByName(again)
