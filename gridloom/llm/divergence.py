@@ -87,11 +87,13 @@ def _counted(rows: DataFrame, bits: int, strings: bool) -> DataFrame:
 def _spelled(rows: DataFrame, bits: int, wanted: np.ndarray | None) -> DataFrame:
     """``digest, term``: the strings of the texts, each about once a task.
 
-    With ``wanted``, which is sorted, only those behind these digests.
+    With ``wanted``, which is sorted, only those behind these digests, and each just once a
+    task: what a task has given is no more than there are digests wanted.
     """
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
+        given: set = set()
         for whole in batches:
             for batch in parts_of(whole, 200):
                 new = set()
@@ -102,12 +104,13 @@ def _spelled(rows: DataFrame, bits: int, wanted: np.ndarray | None) -> DataFrame
                     seen.clear()
                 seen.update(words)
                 found = _digests(words, bits)
-                columns = [pa.array(found), pa.array(words, pa.binary()).cast(pa.string())]
-                out = pa.RecordBatch.from_arrays(columns, ["digest", "term"])
                 if wanted is not None:
                     at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-                    out = out.filter(pa.array(wanted[at] == found))
-                yield out
+                    hits = [i for i in np.flatnonzero(wanted[at] == found).tolist() if words[i] not in given]
+                    words, found = [words[i] for i in hits], found[hits]
+                    given.update(words)
+                columns = [pa.array(found), pa.array(words, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["digest", "term"])
 
     return map_batches(rows.select("text"), spell, "digest bigint, term string")
 
