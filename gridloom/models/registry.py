@@ -12,23 +12,14 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from . import neighbors
-from .one_vs_rest import binary_label, in_parallel, normalised
 from .svm import SupportVectors, fit_svm
-
-# Deepest tree MLlib grows: what "unlimited" comes to.
-DEEPEST = 30
-# Candidate split points per feature.
-SPLIT_BINS = 64
+from .trees import Rule, fit_boosting, fit_forest, fit_tree
 
 
 @dataclass
@@ -69,32 +60,6 @@ class VectorMachine:
         return None if found is None else np.abs(found)
 
 
-@dataclass
-class Boosted:
-    """One boosted model per class; their scores are scaled to sum to one."""
-
-    models: list
-
-    def score(self, df: DataFrame) -> DataFrame:
-        scored = df
-        for i, model in enumerate(self.models):
-            model = model.copy()
-            model.setPredictionCol(f"_p{i}").setProbabilityCol(f"_q{i}").setRawPredictionCol(f"_r{i}")
-            scored = model.transform(scored)
-        scored = scored.withColumn(
-            "_scores", F.array(*[vector_to_array(f"_q{i}")[1] for i in range(len(self.models))])
-        )
-        best = F.array_position("_scores", F.array_max("_scores")) - 1
-        return scored.select(
-            *[c for c in df.columns if c != "features"],
-            best.cast("double").alias("prediction"), normalised("_scores").alias("probability"),
-        )
-
-    @property
-    def weights(self) -> np.ndarray | None:
-        return np.mean([m.featureImportances.toArray() for m in self.models], axis=0)
-
-
 @dataclass
 class Neighbours:
     """The training rows are the model."""
@@ -144,17 +109,6 @@ class Spec:
         return values
 
 
-def _depth(value: int | None) -> int:
-    if value is not None and value > DEEPEST:
-        raise ValueError(f"Trees of up to {DEEPEST} levels can be grown; {value} were asked for.")
-    return DEEPEST if value is None else value
-
-
-def _leaf_rows(min_samples_split: int) -> int:
-    """MLlib limits the rows of a child; half the rows of a split comes closest."""
-    return max(1, math.ceil(min_samples_split / 2))
-
-
 def _logistic(train, classes, v, seed):
     learner = LogisticRegression(
         maxIter=v["max_iter"], regParam=1.0 / (v["C"] * train.count()), elasticNetParam=0.0,
@@ -169,19 +123,14 @@ def _knn(train, classes, v, seed):
 
 
 def _tree_classifier(train, classes, v, seed):
-    learner = DecisionTreeClassifier(
-        impurity=v["criterion"], maxDepth=_depth(v["max_depth"]), maxBins=SPLIT_BINS,
-        minInstancesPerNode=_leaf_rows(v["min_samples_split"]), seed=seed,
-    )
-    return MLModel(learner.fit(train))
+    criterion = "entropy" if v["criterion"] == "entropy" else "variance"
+    return fit_tree(train, classes, Rule(v["max_depth"], v["min_samples_split"], criterion, seed=seed))
 
 
 def _forest_classifier(train, classes, v, seed):
-    learner = RandomForestClassifier(
-        numTrees=v["n_estimators"], maxDepth=_depth(v["max_depth"]), maxBins=SPLIT_BINS,
-        featureSubsetStrategy="sqrt", seed=seed,
-    )
-    return MLModel(learner.fit(train))
+    first = train.select("features").first()
+    some = max(1, math.isqrt(len(first.features))) if first else 1
+    return fit_forest(train, classes, v["n_estimators"], Rule(v["max_depth"], subset=some, seed=seed))
 
 
 def _bayes(train, classes, v, seed):
@@ -192,15 +141,8 @@ def _svm(train, classes, v, seed):
     return VectorMachine(fit_svm(train, classes, v["kernel"], v["C"], seed))
 
 
-def _boosting_classifier(train, classes, v, seed):
-    learner = GBTClassifier(
-        maxIter=v["n_estimators"], stepSize=v["learning_rate"], maxDepth=_depth(v["max_depth"]),
-        maxBins=SPLIT_BINS, seed=seed,
-    )
-    if len(classes) == 2:
-        return MLModel(learner.fit(train))
-    fits = in_parallel(lambda i: learner.fit(binary_label(train, i)), list(range(len(classes))))
-    return Boosted(fits)
+def _boosting(train, classes, v, seed):
+    return fit_boosting(train, classes, v["n_estimators"], v["learning_rate"], Rule(v["max_depth"], seed=seed))
 
 
 def _linear(train, classes, v, seed):
@@ -227,27 +169,11 @@ def _lasso(train, classes, v, seed):
 
 
 def _tree_regressor(train, classes, v, seed):
-    learner = DecisionTreeRegressor(
-        maxDepth=_depth(v["max_depth"]), maxBins=SPLIT_BINS,
-        minInstancesPerNode=_leaf_rows(v["min_samples_split"]), seed=seed,
-    )
-    return MLModel(learner.fit(train))
+    return fit_tree(train, classes, Rule(v["max_depth"], v["min_samples_split"], seed=seed))
 
 
 def _forest_regressor(train, classes, v, seed):
-    learner = RandomForestRegressor(
-        numTrees=v["n_estimators"], maxDepth=_depth(v["max_depth"]), maxBins=SPLIT_BINS,
-        featureSubsetStrategy="all", seed=seed,
-    )
-    return MLModel(learner.fit(train))
-
-
-def _boosting_regressor(train, classes, v, seed):
-    learner = GBTRegressor(
-        maxIter=v["n_estimators"], stepSize=v["learning_rate"], maxDepth=_depth(v["max_depth"]),
-        maxBins=SPLIT_BINS, seed=seed,
-    )
-    return MLModel(learner.fit(train))
+    return fit_forest(train, classes, v["n_estimators"], Rule(v["max_depth"], seed=seed))
 
 
 _WEIGHTS = {"weights": ["uniform", "distance"]}
@@ -266,7 +192,7 @@ CLASSIFIERS: dict[str, Spec] = {
         {"kernel": "rbf", "C": 1.0}, _svm, (), {"kernel": ["rbf", "linear", "poly", "sigmoid"]}
     ),
     "Gradient Boosting": Spec(
-        {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}, _boosting_classifier,
+        {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}, _boosting,
         ("max_depth",),
     ),
 }
@@ -282,7 +208,7 @@ REGRESSORS: dict[str, Spec] = {
         {"n_estimators": 100, "max_depth": 0}, _forest_regressor, ("max_depth",)
     ),
     "Gradient Boosting Regressor": Spec(
-        {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}, _boosting_regressor,
+        {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}, _boosting,
         ("max_depth",),
     ),
     "KNN Regressor": Spec({"n_neighbors": 5, "weights": "uniform"}, _knn, choices=_WEIGHTS),
