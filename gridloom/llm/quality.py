@@ -210,7 +210,8 @@ def fit_quality(
     """Fit on at most ``sample_rows`` labelled documents that are not held out.
 
     Rows without id, label or document are left out; of several labels of one id the larger
-    counts.
+    counts, of several texts the one with the least hash, wherever the rows lie. So there is
+    one row an id before any reaches the driver.
     """
     require(labels, id_col, label_col)
     known = labels.select(quoted(id_col).alias("doc_id"), quoted(label_col).cast("int").alias("label"))
@@ -218,8 +219,9 @@ def fit_quality(
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)  # so many narrow rows at most
     rows = narrow(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-    table = _with_features(rows.select("doc_id", "label", "text")).toPandas()
-    table = table.sort_values(["doc_id", "label"], kind="stable").drop_duplicates("doc_id")
+    measured = _with_features(rows.select("doc_id", "label", F.xxhash64("text").alias("h"), "text"))
+    once = measured.groupBy("doc_id", "label").agg(F.min(F.struct("h", "x")).alias("m"))
+    table = once.select("doc_id", "label", "m.x").toPandas().sort_values("doc_id")
     x = np.array(table["x"].tolist(), float).reshape(len(table), len(NAMES))
     return fit(x, table["label"].to_numpy(float))
 

@@ -1,5 +1,6 @@
 """Each operator on rows that a corpus should not have but does."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,12 @@ def test_batches_are_bounded_by_bytes(spark):
         assert sum(r.rows for r in got) == 40 and max(r.rows for r in got) <= 2
     finally:
         spark.conf.set(setting, before)
+
+
+def test_quality_model_of_repeated_ids_ignores_the_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    known = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    twice = docs.unionByName(docs.withColumn("text", F.reverse("text"))).unionByName(docs)
+    x = np.random.RandomState(0).normal(size=(60, len(quality.NAMES)))
+    scores = [quality.fit_quality(twice.repartition(n), known).score(x) for n in (1, 3, 7)]
+    assert np.array_equal(scores[0], scores[1]) and np.array_equal(scores[0], scores[2])
