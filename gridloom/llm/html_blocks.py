@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 _TAG = re.compile(r"</?([A-Za-z][^\s/>]*+)")
@@ -100,6 +101,9 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     # Open elements: tag, signs of all up to it, signs of itself, whether its text is skipped.
     stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
+    # Where the open elements of each tag, and those that are blocks, stand in the stack.
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    block_at = [0]
     parts: list[str] = []
     linked = links = 0
 
@@ -109,8 +113,7 @@ def leaf_blocks(page: str) -> list[Block]:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                own = next((e[2] for e in reversed(stack) if e[0] not in INLINE), 0)
-                blocks.append(Block(text, stack[-1][1], own, linked))
+                blocks.append(Block(text, stack[-1][1], stack[block_at[-1]][2], linked))
             linked = 0
 
     def add(text: str) -> None:
@@ -122,9 +125,12 @@ def leaf_blocks(page: str) -> list[Block]:
 
     def pop_to(depth: int) -> None:
         nonlocal links
-        for entry in stack[depth:]:
-            links -= entry[0] == "a"
-        del stack[depth:]
+        while len(stack) > depth:
+            tag = stack.pop()[0]
+            links -= tag == "a"
+            places[tag].pop()
+            if block_at[-1] == len(stack):
+                block_at.pop()
 
     at, size = 0, len(page)
     endless: set[int] = set()
@@ -154,10 +160,10 @@ def leaf_blocks(page: str) -> list[Block]:
         at = end
         name = tag[1].lower()
         if page[mark + 1] == "/":
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
+            depth = places[name][-1] if places[name] else 0
             if name not in INLINE:
                 flush()
-            if depth and (name not in INLINE or all(e[0] in INLINE for e in stack[depth:])):
+            if depth and (name not in INLINE or block_at[-1] < depth):
                 pop_to(depth)
             continue
         attributes = page[tag.end() : end - 1]
@@ -175,10 +181,12 @@ def leaf_blocks(page: str) -> list[Block]:
         if name not in INLINE:
             flush()
             # An open paragraph, with what is open inside it, ends where a block begins.
-            depth = next((i for i in range(len(stack) - 1, max(0, len(stack) - 12), -1) if stack[i][0] not in INLINE), 0)
+            depth = block_at[-1]
             if depth and (stack[depth][0] == "p" or stack[depth][0] in _CLOSES.get(name, ())):
                 pop_to(depth)
+            block_at.append(len(stack))
         own = signs_of(name, attributes)
+        places[name].append(len(stack))
         stack.append((name, stack[-1][1] | own, own, stack[-1][3] or name in SKIPPED))
         links += name == "a"
     flush()

@@ -34,3 +34,16 @@ def test_hostile_pages_take_no_longer_than_their_length(part):
     started = time.process_time()
     leaf_blocks(part * (600_000 // len(part)))
     assert time.process_time() - started < 10
+
+
+@pytest.mark.parametrize("open_elements", [0, 10, 11, 10_000])
+def test_a_paragraph_ends_the_one_before_however_much_is_open_in_it(open_elements):
+    first, second = leaf_blocks('<p class="ad">' + "<b>" * open_elements + "one<p>two")
+    assert (first.text, second.text) == ("one", "two") and first.signs != second.signs and second.parent != first.parent
+
+
+@pytest.mark.parametrize("page", ["<b>" * 130_000 + "</i>" * 130_000 + "x", ("<b>x<div>y" * 90_000), "<b><i>" * 80_000 + "x</b>" * 80_000])
+def test_many_open_elements_take_no_longer_than_the_page(page):
+    started = time.process_time()
+    assert leaf_blocks(page)
+    assert time.process_time() - started < 6
