@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..errors import DataLoadError
 from ..functions.columns import blank_nan, col
+from .records import QUOTED, left_open, quoted_records
 
 # Cell texts that mean "missing" in a CSV file.
 MISSING_TOKENS = [
@@ -21,9 +22,6 @@ ENCODINGS = ("UTF-8", "ISO-8859-1")
 
 _BAD = "_unparsed_line"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
-# A quoted cell: the quote opens it at its very start. Any other quote is plain text.
-_QUOTED = r'(?<![^,\r\n])"[^"]*+(?:""[^"]*+)*+"'
-_OPENING = r'(?<![^,\r\n])"'
 _DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
 
@@ -72,47 +70,44 @@ def validate_table(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _raw_csv(spark, path, encoding, columns, multi_line) -> DataFrame:
-    reader = (
-        spark.read.option("header", True)
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-    )
-    if columns is None:
-        return reader.csv(path)
+_OPTIONS = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+
+
+def _header(spark, path, encoding, multi_line) -> list[str]:
+    reader = spark.read.option("header", True).option("escape", '"').option("encoding", encoding)
+    # A header with a line break of its own hides from the parser that lines end in \r\n.
+    return [c.removesuffix("\r") for c in reader.option("multiLine", multi_line).csv(path).columns]
+
+
+def _raw_csv(spark, path, encoding, columns) -> DataFrame:
+    """Cells as text, of files in which each line is a record."""
     fields = [T.StructField(c, T.StringType()) for c in [*columns, _BAD]]
-    return (
-        reader.schema(T.StructType(fields))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD)
-        .option("enforceSchema", True)
-        .csv(path)
-    )
+    reader = spark.read.schema(T.StructType(fields)).options(header=True, encoding=encoding, enforceSchema=True, **_OPTIONS)
+    return reader.csv(path)
 
 
-def _left_open(text: Column) -> Column:
-    """Whether a quoted cell begins in the text and does not end there."""
-    return F.regexp_replace(text, _QUOTED, "q").rlike(_OPENING)
+def _raw_records(spark, path, encoding, columns) -> DataFrame:
+    """The same of files with line breaks in quoted cells."""
+    records, folders = quoted_records(spark, path, encoding)
+    inside = [c for c in columns if c not in folders]
+    kinds = ", ".join("`" + c.replace("`", "``") + "` STRING" for c in [*inside, _BAD])
+    parsed = F.from_csv("text", kinds, {**_OPTIONS, "multiLine": "true"})
+    cells = records.select(parsed.alias("_cells"), *[col(f) for f in folders])
+    return cells.select(*[col(c) if c in folders else F.col("_cells").getField(c).alias(c) for c in [*columns, _BAD]])
 
 
 def _inspect_lines(spark: SparkSession, path: str):
     """One scan of the raw lines: are all of them UTF-8, and does a cell go on in the next one?"""
     return spark.read.text(path).agg(
         F.coalesce(F.min(F.is_valid_utf8("value")), F.lit(True)).alias("utf8"),
-        F.count(F.when(_left_open(F.col("value")), 1)).alias("open_lines"),
+        F.count(F.when(left_open(F.col("value")), 1)).alias("open_lines"),
     ).first()
 
 
-def _unclosed(spark: SparkSession, path: str) -> bool:
-    """Whether some file ends inside a quoted cell. Read only if lines were left open."""
-    return not spark.read.text(path, wholetext=True).filter(_left_open(F.col("value"))).isEmpty()
-
-
 def _too_wide(width: int) -> Column:
     """A line the parser marked that has more cells than the header (fewer are padded)."""
     line = F.col(_BAD)
-    bare = F.regexp_replace(line, _QUOTED, "")
+    bare = F.regexp_replace(line, QUOTED, "")
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
     return line.isNotNull() & (commas >= width)
 
@@ -129,19 +124,17 @@ def read_csv(
 ) -> DataFrame:
     """Header row, comma separated. Two scans: the raw lines, then the types of the cells.
 
-    Text that is not UTF-8 is read as Latin-1. A quoted cell may hold line breaks; files with
-    such cells are parsed whole. Whole numbers stay exact: bigint, beyond that decimal, beyond
+    Text that is not UTF-8 is read as Latin-1. A quoted cell may hold line breaks; such files are
+    read split by split as well, with a pass more to find where records begin. Whole numbers stay exact: bigint, beyond that decimal, beyond
     38 digits text.
     """
     lines = _inspect_lines(spark, path)
-    if lines["open_lines"] and _unclosed(spark, path):
-        raise DataLoadError("The CSV text is malformed: a quoted cell is never closed.")
     multi_line = multi_line or lines["open_lines"] > 0
     encoding = ENCODINGS[0] if lines["utf8"] else ENCODINGS[1]
-    header = _raw_csv(spark, path, encoding, None, multi_line).columns
+    header = _header(spark, path, encoding, multi_line)
     if not header:
         raise DataLoadError("There is no header line to read.")
-    raw = _raw_csv(spark, path, encoding, header, multi_line)
+    raw = (_raw_records if multi_line else _raw_csv)(spark, path, encoding, header)
     cells = [_cell(c) for c in header]
     checks = [F.count(F.when(_too_wide(len(header)), 1)).alias("broken")]
     checks += [F.count(cell).alias(f"n{i}") for i, cell in enumerate(cells)]
