@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from ..operators import clean, profile
@@ -112,6 +114,27 @@ def agg10(spark, sf):
     return rnd(profile.correlations(dirty(spark, sf).select(*NUMBERS)), 8, "correlation")
 
 
+# 24 columns of whole numbers, each with NULLs in other rows: 276 pairs.
+_WIDE = [
+    (f"w{k}", f"CASE WHEN l_linenumber <> {1 + k % 7} THEN (l_partkey * {k + 1} + l_suppkey) % {20 + k} + l_linenumber END")
+    for k in range(24)
+]
+
+
+@query(
+    "agg10_wide_correlations",
+    "WITH wide AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _WIDE) + " FROM lineitem), r AS (SELECT "
+    + ", ".join(f"corr({a}, {b}) AS {a}_{b}" for a, b in combinations([c for c, _ in _WIDE], 2)) + " FROM wide)\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, round({a}_{b}, 8) AS correlation FROM r"
+        for a, b in combinations([c for c, _ in _WIDE], 2)
+    ),
+)
+def agg10_wide(spark, sf):
+    wide = table(spark, sf, "lineitem").select(*[F.expr(e).alias(c) for c, e in _WIDE])
+    return rnd(profile.correlations(wide), 8, "correlation")
+
+
 @query(
     "agg11_top_correlations",
     f"""

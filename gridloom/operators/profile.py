@@ -10,6 +10,7 @@ from ..functions.columns import (
     as_number, categorical_columns, categorical_feature_columns, col, is_numeric,
     numeric_columns, pearson, rows_of,
 )
+from ..functions.gram import pair_correlations
 from ..functions.quantiles import DISTINCT_LIMIT, column_quantiles
 
 # What the reports call wide and how deep the rankings go.
@@ -265,27 +266,34 @@ def quality_report(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``column_a, column_b, correlation`` for every pair of numeric columns.
 
-    One scan, or one per ``PAIRS_PER_SCAN`` pairs of a very wide table.
+    One scan. Above ``PAIRS_PER_SCAN`` pairs it adds up masked products of blocks of columns; the
+    few pairs that sums cannot tell from constants are computed from the rows.
     """
     columns = columns or numeric_columns(df)
     if len(columns) < 2:
         raise ValueError("Correlations take two numeric columns or more.")
     pairs = list(combinations(columns, 2))
-    result = None
-    for start in range(0, len(pairs), PAIRS_PER_SCAN):
-        chunk = pairs[start : start + PAIRS_PER_SCAN]
-        wide = df.agg(
-            *[pearson(as_number(df, a), as_number(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(chunk)]
-        )
-        spec = [
-            {"column_a": F.lit(a), "column_b": F.lit(b), "correlation": F.col(f"r{i}")}
-            for i, (a, b) in enumerate(chunk)
-        ]
-        piece = wide.select(rows_of(spec))
-        result = piece if result is None else result.unionByName(piece)
+    if len(pairs) <= PAIRS_PER_SCAN:
+        return _pair_by_pair(df, pairs)
+    known, doubtful = pair_correlations(df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)]))
+    names = F.array(*map(F.lit, columns))
+    result = known.select(
+        F.get(names, F.col("a")).alias("column_a"), F.get(names, F.col("b")).alias("column_b"), "correlation"
+    )
+    for start in range(0, len(doubtful), PAIRS_PER_SCAN):
+        chunk = [(columns[a], columns[b]) for a, b in doubtful[start : start + PAIRS_PER_SCAN]]
+        result = result.unionByName(_pair_by_pair(df, chunk))
     return result
 
 
+def _pair_by_pair(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    wide = df.agg(*[pearson(as_number(df, a), as_number(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    spec = [
+        {"column_a": F.lit(a), "column_b": F.lit(b), "correlation": F.col(f"r{i}")} for i, (a, b) in enumerate(pairs)
+    ]
+    return wide.select(rows_of(spec))
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Both triangles and the diagonal, in long form. The diagonal is NULL for constants."""
     columns = columns or numeric_columns(df)
