@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..functions.columns import require
-from .common import map_batches, parts_of, quoted
+from .common import map_batches, once_per_worker, parts_of, quoted
 
 # (verdict, host, path): a rule fits the host and its subdomains where the path starts so.
 RULES = (
@@ -84,15 +84,17 @@ def judge_urls(
     """``page_id, host, path, rule, verdict, n_strict, n_soft`` of every url.
 
     The longest fitting rule decides. Where none fits, the vocabulary does: terms are
-    searched in all that follows ``://`` (in the whole url without it).
+    searched in all that follows ``://`` (in the whole url without it). Terms are lower-case and
+    may be any number: a worker builds its automaton once, and a url is read once.
 
     A NULL or empty url has empty host and path, no hits, and is allowed. Repeated rows
     give repeated rows, an empty table an empty one; other columns are left out.
     """
     require(pages, id_col, url_col)
+    strict, soft = tuple(strict), tuple(soft)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = build_automaton(strict, soft)
+        automaton = once_per_worker(("urls", strict, soft), lambda: build_automaton(strict, soft))
         for whole in batches:
             for batch in parts_of(whole, 5000):
                 rows = []
