@@ -18,6 +18,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from . import neighbors
+from .kernel_machine import KernelVotes, fit_kernel_votes
 from .svm import SupportVectors, fit_svm
 from .trees import Rule, fit_boosting, fit_forest, fit_tree
 
@@ -49,7 +50,7 @@ class MLModel:
 
 @dataclass
 class VectorMachine:
-    machine: SupportVectors
+    machine: SupportVectors | KernelVotes
 
     def score(self, df: DataFrame) -> DataFrame:
         return self.machine.score(df)
@@ -138,7 +139,8 @@ def _bayes(train, classes, v, seed):
 
 
 def _svm(train, classes, v, seed):
-    return VectorMachine(fit_svm(train, classes, v["kernel"], v["C"], seed))
+    fit = fit_kernel_votes if v["solver"] == "exact" else fit_svm
+    return VectorMachine(fit(train, classes, v["kernel"], v["C"], seed=seed))
 
 
 def _boosting(train, classes, v, seed):
@@ -189,7 +191,8 @@ CLASSIFIERS: dict[str, Spec] = {
     "Random Forest": Spec({"n_estimators": 100, "max_depth": 0}, _forest_classifier, ("max_depth",)),
     "Naive Bayes": Spec({}, _bayes),
     "Support Vector Machine": Spec(
-        {"kernel": "rbf", "C": 1.0}, _svm, (), {"kernel": ["rbf", "linear", "poly", "sigmoid"]}
+        {"kernel": "rbf", "C": 1.0, "solver": "mapped"}, _svm, (),
+        {"kernel": ["rbf", "linear", "poly", "sigmoid"], "solver": ["mapped", "exact"]},
     ),
     "Gradient Boosting": Spec(
         {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}, _boosting,
