@@ -121,15 +121,17 @@ def fit_svm(train: DataFrame, classes: list, kernel: str = "rbf", c: float = 1.0
         feature_map = (
             _fourier_map(gamma, width, seed) if kernel == "rbf" else _landmark_map(train, kernel, gamma, seed)
         )
-    mapped = _mapped(train, feature_map).withColumn(
-        "_fold", F.pmod(key_hash(["_key"], seed + 1), F.lit(CALIBRATION_FOLDS))
-    ).select("features", "label", "_fold")
-    n = mapped.count()
-    # Every iteration is a job over this table: few rows need few tasks.
-    mapped = mapped.coalesce(n // ROWS_PER_TASK + 1).persist()
+    fold = F.pmod(key_hash(["_key"], seed + 1), F.lit(CALIBRATION_FOLDS))
+    # Rows at the same point with the same class and fold are one row with their number as weight.
+    points = train.select("features", "label", fold.alias("_fold")).groupBy("features", "label", "_fold")
+    points = points.agg(F.count("*").cast("double").alias("weight")).persist()
+    n, size = points.agg(F.sum("weight"), F.count("*")).first()
+    # Every iteration is a job over this table: few rows need few tasks, and no task has
+    # many, however few parts the input has. Rows are dealt out before the map makes them wide.
+    mapped = _mapped(points.repartition(size // ROWS_PER_TASK + 1), feature_map).persist()
 
     def machine(rows: DataFrame):
-        learner = LinearSVC(maxIter=_MAX_ITER, regParam=1.0 / (c * n), standardization=False)
+        learner = LinearSVC(maxIter=_MAX_ITER, regParam=1.0 / (c * n), standardization=False, weightCol="weight")
         return learner.fit(rows)
 
     def fit_one(job: tuple[int, int | None]):
@@ -143,10 +145,10 @@ def fit_svm(train: DataFrame, classes: list, kernel: str = "rbf", c: float = 1.0
         for fold in range(CALIBRATION_FOLDS):
             held = binary_label(mapped.filter(F.col("_fold") == fold), index)
             part = machines[index, fold].transform(held).select(
-                array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features"), "label"
+                array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features"), "label", "weight"
             )
             unseen = part if unseen is None else unseen.unionByName(part)
-        fitted = LogisticRegression(maxIter=_MAX_ITER, regParam=0.0, family="binomial").fit(unseen)
+        fitted = LogisticRegression(maxIter=_MAX_ITER, regParam=0.0, family="binomial", weightCol="weight").fit(unseen)
         return float(fitted.coefficients[0]), float(fitted.intercept)
 
     positives = [1] if len(classes) == 2 else list(range(len(classes)))
@@ -156,6 +158,7 @@ def fit_svm(train: DataFrame, classes: list, kernel: str = "rbf", c: float = 1.0
         curves = in_parallel(curve, positives)
     finally:
         mapped.unpersist()
+        points.unpersist()
     models = [machines[i, None] for i in positives]
     single = kernel == "linear" and len(models) == 1
     return SupportVectors(

@@ -3,10 +3,11 @@ import itertools
 import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import rows_as
-from gridloom.models import neighbors, training
+from gridloom.models import neighbors, svm, training
 from gridloom.models.registry import CLASSIFIERS, REGRESSORS, default_params
 from gridloom.operators import compare, metrics
 from gridloom.operators.split import split_train_test
@@ -294,3 +295,20 @@ def test_ranking(spark):
     table = spark.createDataFrame([("A", 0.8, 0.7), ("B", 0.8, 0.9)], "model string, accuracy double, f1 double")
     assert compare.best_model(table).first()["model"] == "B"
     assert [r["model"] for r in compare.ranked(table).orderBy("place").collect()] == ["B", "A"]
+
+
+def test_mapped_rows_are_dealt_out_and_copies_are_weights(spark, monkeypatch):
+    """One input part must not become one task, and copies must not become wide rows."""
+    seen, plain = [], svm._mapped
+    monkeypatch.setattr(svm, "_mapped", lambda df, feature_map: seen.append(df) or plain(df, feature_map))
+    monkeypatch.setattr(svm, "ROWS_PER_TASK", 50)
+    points = [(float(i % 40), float(i % 15)) for i in range(200)]
+    rows = [(3 * i + n, Vectors.dense(p), float(p[0] > 19)) for i, p in enumerate(points) for n in range(3)]
+    train = spark.createDataFrame(rows, ["_key", "features", "label"]).coalesce(1)
+    machine = svm.fit_svm(train, ["a", "b"], "rbf")
+    sizes = [len(part) for part in seen[0].rdd.glom().collect()]
+    assert sum(sizes) == train.selectExpr("features", f"pmod(conv(substring(md5(concat_ws('-', _key, '43')), 1, 8), 16, 10), 3)").distinct().count()
+    assert sum(sizes) < 600 and len(sizes) > 1 and max(sizes) <= 100
+    assert seen[0].agg(F.sum("weight")).first()[0] == 600
+    got = machine.score(train).filter("prediction = label").count()
+    assert got >= 590
