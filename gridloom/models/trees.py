@@ -7,6 +7,9 @@ each feature comes to the driver. A node of at most ``LOCAL_ROWS`` rows is finis
 task, with the same rule on sorted arrays. So the distributed levels are about as many as the
 rows can be halved down to that size.
 
+Rows of a tree at the same point are added up before the first level: a search needs only
+sums of weights and targets per value. Where most points are different nothing is added up.
+
 The target is a vector: class membership or a number. Gini impurity is the variance of class
 membership, so both are the same search; entropy has its own loss. Gains are compared after
 rounding to nine digits, and equal ones go to the smaller feature, then the smaller value:
@@ -37,6 +40,10 @@ MAX_NODES = 2_000_000
 TREES_AT_ONCE = 20
 # A table of so few splits is broadcast when rows are sent down.
 BROADCAST_SPLITS = 50_000
+# Rows that one task draws for a forest: each becomes a row per tree.
+ROWS_PER_TASK = 50_000
+# Rows are added up per point where there are at most so many points a row.
+POINTS_PER_ROW = 0.5
 
 
 @dataclass(frozen=True)
@@ -126,17 +133,18 @@ def _is_leaf(rule: Rule, depth: int, rows: int, loss: float, squares: float) ->
     return rows < max(2, rule.min_rows) or loss <= 1e-12 * max(squares, 1e-300)
 
 
-def grow_here(x, y, w, h, rule: Rule, depth: int, key: str) -> dict[str, list]:
-    """The subtree over these rows, as lists of nodes; the first is its root.
+def grow_here(x, c, n, q, s, d, rule: Rule, depth: int, key: str) -> dict[str, list]:
+    """The subtree over these points, as lists of nodes; the first is its root.
 
-    ``y`` has a row of targets per row, ``w`` weights, ``h`` what leaf sums are divided by.
+    A point has ``c`` rows of weight ``n``, sums ``s`` of targets (a row a point) and ``q`` of
+    their squares, and ``d``, what leaf sums are divided by.
     """
     nodes: dict[str, list] = {k: [] for k in ("feature", "threshold", "left", "right", "value", "gain")}
     width = x.shape[1]
 
     def add(rows: np.ndarray) -> int:
-        below = (h[rows] * w[rows]).sum()
-        value = (y[rows] * w[rows, None]).sum(axis=0) / below if abs(below) > 1e-150 else np.zeros(y.shape[1])
+        below = d[rows].sum()
+        value = s[rows].sum(axis=0) / below if abs(below) > 1e-150 else np.zeros(s.shape[1])
         for name, v in (("feature", -1), ("threshold", 0.0), ("left", -1), ("right", -1), ("value", value.tolist()), ("gain", 0.0)):
             nodes[name].append(v)
         return len(nodes["feature"]) - 1
@@ -144,21 +152,19 @@ def grow_here(x, y, w, h, rule: Rule, depth: int, key: str) -> dict[str, list]:
     todo = [(add(np.arange(len(x))), np.arange(len(x)), depth, key)]
     while todo:
         at, rows, level, name = todo.pop()
-        wy = y[rows] * w[rows, None]
-        n, sums, squares = w[rows].sum(), wy.sum(axis=0), (wy * y[rows]).sum()
-        loss = float(_loss(rule.criterion, n, sums, squares))
-        if _is_leaf(rule, level, len(rows), loss, squares):
+        weight, sums, squares = n[rows].sum(), s[rows].sum(axis=0), q[rows].sum()
+        loss = float(_loss(rule.criterion, weight, sums, squares))
+        if _is_leaf(rule, level, c[rows].sum(), loss, squares):
             continue
         found, looked = {}, 0
         for j in feature_order(rule, name, width):
-            order = np.argsort(x[rows, j], kind="stable")
-            v = x[rows[order], j]
+            order = rows[np.argsort(x[rows, j], kind="stable")]
+            v = x[order, j]
             cuts = np.flatnonzero(v[:-1] < v[1:])
             if not len(cuts):
                 continue
-            below, part = np.cumsum(w[rows[order]])[cuts], np.cumsum(wy[order], axis=0)[cuts]
-            square = np.cumsum((wy * y[rows]).sum(axis=1)[order])[cuts]
-            children = _loss(rule.criterion, below, part, square) + _loss(rule.criterion, n - below, sums - part, squares - square)
+            below, part, square = np.cumsum(n[order])[cuts], np.cumsum(s[order], axis=0)[cuts], np.cumsum(q[order])[cuts]
+            children = _loss(rule.criterion, below, part, square) + _loss(rule.criterion, weight - below, sums - part, squares - square)
             gains = np.round(1 - children / loss, 9)
             best = int(np.argmax(gains))
             found[j] = (float(gains[best]), float(v[cuts[best]]), float(v[cuts[best] + 1]))
@@ -189,20 +195,40 @@ def _finish(rows: DataFrame, small: dict[int, tuple[int, str]], rule: Rule) -> l
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         node = int(group["node"].iloc[0])
         depth, key = small[node]
-        x, y = np.stack(group["x"].to_numpy()), np.stack(group["y"].to_numpy())
-        got = grow_here(x, y, group["w"].to_numpy(float), group["h"].to_numpy(float), rule, depth, key)
+        x, s = np.stack(group["x"].to_numpy()), np.stack(group["s"].to_numpy())
+        got = grow_here(x, *(group[k].to_numpy(float) for k in "cnq"), s, group["d"].to_numpy(float), rule, depth, key)
         return pd.DataFrame({"node": [node], **{k: [v] for k, v in got.items()}})
 
     return rows.groupBy("node").applyInPandas(grow, _GROWN).collect()
 
 
+def _sums(rows: DataFrame, points: bool) -> DataFrame:
+    """``node, x, c, n, q, s, d`` of ``node, x, y, w, h``: what the search needs, per point or row."""
+    square = F.col("w") * F.aggregate("y", F.lit(0.0), lambda a, v: a + v * v)
+    if not points:
+        return rows.select(
+            "node", "x", F.lit(1).cast("bigint").alias("c"), F.col("w").alias("n"), square.alias("q"),
+            F.transform("y", lambda v: v * F.col("w")).alias("s"), (F.col("w") * F.col("h")).alias("d"),
+        )
+    first = rows.select("y").first()
+    targets = [F.sum(F.col("w") * F.get("y", F.lit(i))) for i in range(len(first.y) if first else 0)]
+    return rows.groupBy("node", "x").agg(
+        F.count("*").alias("c"), F.sum("w").alias("n"), F.sum(square).alias("q"),
+        F.array(*targets).alias("s"), F.sum(F.col("w") * F.col("h")).alias("d"),
+    )
+
+
+def _few_points(rows: DataFrame) -> bool:
+    """Whether rows share their points so often that adding them up saves work."""
+    seen, points = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64("x"))).first()
+    return points <= POINTS_PER_ROW * seen
+
+
 def _best_cuts(rows: DataFrame, targets: int, criterion: str, losses: dict[int, float]) -> dict:
     """``node -> feature -> (gain, value, next value)`` of the best cut of each feature."""
     sums = ["c", "n", "q", *[f"s{i}" for i in range(targets)]]
     flat = rows.select(
-        "node", F.posexplode("x").alias("j", "v"), F.lit(1).alias("c"), F.col("w").alias("n"),
-        (F.col("w") * F.aggregate("y", F.lit(0.0), lambda a, v: a + v * v)).alias("q"),
-        *[(F.col("w") * F.get("y", F.lit(i))).alias(f"s{i}") for i in range(targets)],
+        "node", F.posexplode("x").alias("j", "v"), "c", "n", "q", *[F.get("s", F.lit(i)).alias(f"s{i}") for i in range(targets)],
     )
     counted = cut_lineage(flat.groupBy("node", "j", "v").agg(*[F.sum(s).alias(s) for s in sums]))
     running = running_sums(counted, ["node", "j"], ["v"], sums, counted.count())
@@ -230,12 +256,14 @@ def _best_cuts(rows: DataFrame, targets: int, criterion: str, losses: dict[int,
     return found
 
 
-def grow(rows: DataFrame, roots: dict[int, str], rule: Rule, local_rows: int = LOCAL_ROWS, sizes: dict | None = None) -> Trees:
+def grow(
+    rows: DataFrame, roots: dict[int, str], rule: Rule, local_rows: int = LOCAL_ROWS, sizes: dict | None = None, points: bool = False
+) -> Trees:
     """Trees over rows of ``tree, x, y, w, h``: features, targets, weight, divisor of leaf sums.
 
     Trees are numbered from 0. ``roots`` gives each one's key, from which its nodes draw their
-    features; ``sizes`` are the numbers of rows, if they are known. A tree without rows
-    answers like the others' roots on average.
+    features; ``sizes`` are the numbers of rows, if they are known; with ``points`` rows at the
+    same point are added up first. A tree without rows answers like the others' roots on average.
     """
     spark = rows.sparkSession
     columns: dict[str, list] = {k: [] for k in ("feature", "threshold", "left", "right", "value", "gain")}
@@ -251,7 +279,7 @@ def grow(rows: DataFrame, roots: dict[int, str], rule: Rule, local_rows: int = L
     open_nodes = {add(): (0, roots[t]) for t in order}
     places = dict(zip(order, open_nodes))
     rows = rows.withColumn("node", F.col("tree").cast("bigint"))
-    rows = rows.select("node", "x", "y", "w", "h")
+    rows = _sums(rows, points)
     known = {places[t]: n for t, n in (sizes or {}).items()}
     if not known or max(known.values()) > local_rows:
         rows, known = cut_lineage(rows), {}
@@ -260,12 +288,12 @@ def grow(rows: DataFrame, roots: dict[int, str], rule: Rule, local_rows: int = L
         if known:
             stats = {}
         else:
-            targets = len(rows.select("y").first().y)
-            totals = [F.sum(F.col("w") * F.get("y", F.lit(i))).alias(f"s{i}") for i in range(targets)]
-            square = F.sum(F.col("w") * F.aggregate("y", F.lit(0.0), lambda a, v: a + v * v)).alias("q")
-            found = rows.groupBy("node").agg(F.count("*").alias("c"), F.sum("w").alias("n"), F.sum(F.col("w") * F.col("h")).alias("h"), square, *totals)
-            stats = {r.node: r for r in found.collect()}
-            known = {node: r.c for node, r in stats.items()}
+            first = rows.select("s").first()
+            targets = len(first.s) if first else 0
+            totals = [F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(targets)]
+            held = [F.sum(k).alias(k) for k in ("c", "n", "q", "d")]
+            stats = {r.node: r for r in rows.groupBy("node").agg(F.count("*").alias("held"), *held, *totals).collect()}
+            known = {node: r.held for node, r in stats.items()}
         small = {node: at for node, at in open_nodes.items() if known.get(node, 0) <= local_rows}
         if small:
             few = rows if len(small) == len(open_nodes) else rows.join(
@@ -283,7 +311,7 @@ def grow(rows: DataFrame, roots: dict[int, str], rule: Rule, local_rows: int = L
             r = stats[node]
             sums = np.array([r[f"s{i}"] for i in range(targets)])
             loss = float(_loss(rule.criterion, r.n, sums, r.q))
-            columns["value"][node] = (sums / r.h if abs(r.h) > 1e-150 else np.zeros(targets)).tolist()
+            columns["value"][node] = (sums / r.d if abs(r.d) > 1e-150 else np.zeros(targets)).tolist()
             if not _is_leaf(rule, depth, r.c, loss, r.q):
                 losses[node] = loss
         open_nodes, splits = {}, []
@@ -305,7 +333,7 @@ def grow(rows: DataFrame, roots: dict[int, str], rule: Rule, local_rows: int = L
             down = spark.createDataFrame(splits, "node bigint, j int, threshold double, l bigint, r bigint")
             down = F.broadcast(down) if len(splits) <= BROADCAST_SPLITS else down
             lower = F.get("x", F.col("j")) <= F.col("threshold")
-            rows = rows.join(down, "node").select(F.when(lower, F.col("l")).otherwise(F.col("r")).alias("node"), "x", "y", "w", "h")
+            rows = rows.join(down, "node").select(F.when(lower, F.col("l")).otherwise(F.col("r")).alias("node"), "x", "c", "n", "q", "s", "d")
             rows, known = cut_lineage(rows), {}
     seen = [columns["value"][places[t]] for t in order if columns["value"][places[t]] is not None]
     if not seen:
@@ -328,10 +356,14 @@ def bootstrap(train: DataFrame, trees: list[int], seed: int) -> DataFrame:
     Poisson numbers from 32 bits of md5 over the row's key, the seed and the tree, so they
     do not depend on the layout. Rows that are not drawn are left out.
     """
-    each = train.withColumn("tree", F.explode(F.array(*map(F.lit, trees))))
-    text = F.concat_ws("-", F.col("_key").cast("string"), F.lit(str(seed)), F.col("tree").cast("string"))
-    u = (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
-    return each.withColumn("w", sum(((u >= p).cast("double") for p in POISSON), F.lit(0.0))).filter("w > 0")
+    def u(tree: int) -> Column:
+        text = F.concat_ws("-", F.col("_key").cast("string"), F.lit(str(seed)), F.lit(str(tree)))
+        return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
+
+    # As arrays, so that no hash is worked out again for each number it is compared with.
+    drawn = F.transform(F.array(*map(u, trees)), lambda u: sum(((u >= p).cast("double") for p in POISSON), F.lit(0.0)))
+    each = train.select("*", F.posexplode(drawn).alias("_place", "w")).filter("w > 0")
+    return each.withColumn("tree", F.get(F.array(*map(F.lit, trees)), F.col("_place"))).drop("_place")
 
 
 def _rows(train: DataFrame, classes: list | None) -> DataFrame:
@@ -380,7 +412,7 @@ def _width(train: DataFrame) -> int:
 
 def fit_tree(train: DataFrame, classes: list | None, rule: Rule, local_rows: int = LOCAL_ROWS) -> TreeModel:
     rows = _rows(train, classes).select(F.lit(0).alias("tree"), "x", "y", F.lit(1.0).alias("w"), "h")
-    return TreeModel(grow(rows, {0: "0"}, rule, local_rows), classes, _width(train))
+    return TreeModel(grow(rows, {0: "0"}, rule, local_rows, points=_few_points(rows)), classes, _width(train))
 
 
 def _joined(parts: list[Trees]) -> Trees:
@@ -397,11 +429,13 @@ def fit_forest(
     train: DataFrame, classes: list | None, trees: int, rule: Rule, local_rows: int = LOCAL_ROWS, at_once: int = TREES_AT_ONCE
 ) -> TreeModel:
     """Trees over resampled rows; a class forest looks at ``rule.subset`` features per node."""
-    rows, parts = cut_lineage(_rows(train, classes)), []
+    # Every row is drawn for every tree: no task gets many, however few parts the input has.
+    rows = cut_lineage(_rows(train, classes).repartition(train.count() // ROWS_PER_TASK + 1))
+    points, parts = _few_points(rows), []
     for start in range(0, trees, at_once):
         some = list(range(start, min(start + at_once, trees)))
         drawn = bootstrap(rows, some, rule.seed).select((F.col("tree") - start).alias("tree"), "x", "y", "w", "h")
-        part = grow(drawn, {t - start: str(t) for t in some}, rule, local_rows)
+        part = grow(drawn, {t - start: str(t) for t in some}, rule, local_rows, points=points)
         # Nodes of trees grown side by side lie between each other; importances need them apart.
         parts += _split(part)
         if sum(len(p.feature) for p in parts) > MAX_NODES:

@@ -155,3 +155,23 @@ def test_large_models_are_refused(spark, data, monkeypatch):
     monkeypatch.setattr(trees, "MAX_NODES", 20)
     with pytest.raises(ValueError, match="max_depth"):
         trees.fit_tree(frame(spark, data[0], data[1]), None, Rule())
+
+
+@pytest.mark.parametrize("local", [1000, 5])
+def test_rows_of_a_forest_are_added_up_per_point(spark, data, local, monkeypatch):
+    """Rows at few points reach the levels as one row a point and tree, and the trees are the same."""
+    x, _, kind = data
+    x = x[:, [0, 2]]
+    grown, plain = [], trees._sums
+    monkeypatch.setattr(trees, "_sums", lambda rows, points: grown.append(plain(rows, points)) or grown[-1])
+    monkeypatch.setattr(trees, "ROWS_PER_TASK", 100)
+    models = []
+    for share in (0.5, 0.0):
+        monkeypatch.setattr(trees, "POINTS_PER_ROW", share)
+        models.append(trees.fit_forest(frame(spark, x, kind, 1), list("abc"), 3, Rule(2, subset=1, seed=5), local).trees)
+    assert grown[0].count() <= 3 * len(np.unique(x, axis=0)) < grown[1].count()
+    assert grown[0].agg({"c": "sum"}).first()[0] == grown[1].count()
+    assert grown[1].rdd.getNumPartitions() > 1
+    for name in ("feature", "left", "right"):
+        assert (getattr(models[0], name) == getattr(models[1], name)).all()
+    assert np.allclose(models[0].value, models[1].value) and np.allclose(models[0].threshold, models[1].threshold)
