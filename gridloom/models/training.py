@@ -283,22 +283,24 @@ def cross_validate(
     """``fold, score``: accuracy or R2 of each fold, with a preparation learned per fold."""
     df = drop_missing_target(df, target)
     classify = task == "classification"
-    folds = assign_folds(df, keys, n_folds, random_state, target if classify else None)
-    classes = class_list(df, target, max_classes) if classify else None
+    used = [*dict.fromkeys([*(keys or []), *existing(df, features), target])]
+    df = df.select(*map(col, used)) if keys else df
+    # Dealt once and held: every fold reads the rows several times, and keys are costly to hash.
+    folds = assign_folds(df, keys, n_folds, random_state, target if classify else None).persist()
 
     def one(fold: int) -> tuple[int, float]:
         inside = F.col("fold") != fold
         _, data = prepare_rows(folds, features, target, keys, classes, inside, ["fold"], preparer)
-        data.persist()
-        try:
-            fitted = fit_model(model, data.filter(inside), classes, params, random_state)
-            held = _finish(fitted.score(data.filter(~inside)), ["fold"], classes)
-            if classify:
-                hit = (F.col("actual") == F.col("predicted")).cast("double")
-                return fold, float(held.agg(F.avg(hit)).first()[0])
-            return fold, float(metrics.regression_metrics(held).first()["r2"])
-        finally:
-            data.unpersist()
-
-    rows = in_parallel(one, list(range(n_folds)))
+        fitted = fit_model(model, data.filter(inside), classes, params, random_state)
+        held = _finish(fitted.score(data.filter(~inside)), ["fold"], classes)
+        if classify:
+            hit = (F.col("actual") == F.col("predicted")).cast("double")
+            return fold, float(held.agg(F.avg(hit)).first()[0])
+        return fold, float(metrics.regression_metrics(held).first()["r2"])
+
+    try:
+        classes = class_list(folds, target, max_classes) if classify else None
+        rows = in_parallel(one, list(range(n_folds)))
+    finally:
+        folds.unpersist()
     return df.sparkSession.createDataFrame(rows, "fold int, score double")

@@ -10,6 +10,7 @@ from conftest import rows_as
 from gridloom.models import neighbors, svm, training
 from gridloom.models.registry import CLASSIFIERS, REGRESSORS, default_params
 from gridloom.operators import compare, metrics
+from gridloom.operators.prepare import fit_features
 from gridloom.operators.split import split_train_test
 
 
@@ -312,3 +313,20 @@ def test_mapped_rows_are_dealt_out_and_copies_are_weights(spark, monkeypatch):
     assert seen[0].agg(F.sum("weight")).first()[0] == 600
     got = machine.score(train).filter("prediction = label").count()
     assert got >= 590
+
+
+def test_folds_are_dealt_once_and_let_go(spark):
+    rows = spark.range(300).selectExpr("id AS k", "id % 50 AS x", "id % 50 * 2.0 + id % 7 AS y", "'t' AS spare")
+    plans, held = [], len(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def preparer(df, columns):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return fit_features(df, columns)
+
+    scores = training.cross_validate(rows, ["x"], "y", "Linear Regression", None, ["k"], "regression", 3, preparer=preparer)
+    assert sorted(r.fold for r in scores.collect()) == [0, 1, 2]
+    assert len(plans) == 3 and all("InMemoryRelation" in p for p in plans)
+    assert not any("spare" in p.split("InMemoryRelation")[1].split("\n")[0] for p in plans)
+    spread = [r.score for r in scores.collect()]
+    assert all(0.99 < s < 1 for s in spread)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == held
