@@ -22,6 +22,9 @@ from ..functions.storage import cut_lineage
 # Rows per group of training rows, and per batch of query rows, in one task.
 CELL_ROWS = 10_000
 MAX_PIVOTS = 1_024
+# Rows that one task compares with all pivots, and pairs that one task compares.
+TASK_ROWS, TASK_PAIRS = 10_000, 50_000_000
+MAX_TASKS = 10_000
 _BLOCK_CELLS = 4_000_000
 
 
@@ -156,12 +159,13 @@ def nearest(
     asked = cut_lineage(
         test.select("key", "x").distinct().withColumn("_number", F.monotonically_increasing_id())
     )
-    test = asked.select(F.col("_number").alias("key"), "x")
+    # Rows are small and their work is not, so tasks are made by rows and not by bytes.
+    test = asked.select(F.col("_number").alias("key"), "x").repartition(asked.count() // TASK_ROWS + 1)
     n = train.count()
     if n == 0:
         raise ValueError("There are no training rows to search.")
     pivots = _pivots(train, max(1, min(MAX_PIVOTS, n // cell_rows)))
-    placed = cut_lineage(_in_cells(train, pivots))
+    placed = cut_lineage(_in_cells(train.repartition(n // TASK_ROWS + 1), pivots))
     order = Window.partitionBy("cell").orderBy("reach", "key")
     closest = (
         placed.select("cell", "reach", "key")
@@ -194,6 +198,10 @@ def nearest(
         F.explode(F.sequence(F.lit(0), (chunks - 1).cast("int"))).alias("chunk"),
     )
     group = ["cell", "chunk", "batch"]
+    groups = sum(math.ceil(sizes[c] / cell_rows) * math.ceil(q / cell_rows) for c, q in queries.items() if c in sizes)
+    pairs = sum(sizes[c] * q for c, q in queries.items() if c in sizes)
+    tasks = max(1, min(groups, pairs // TASK_PAIRS + 1, MAX_TASKS))
+    left, right = left.repartition(tasks, *group), right.repartition(tasks, *group)
     schema = T.StructType(
         [
             T.StructField("test_key", test.schema["key"].dataType),

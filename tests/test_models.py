@@ -330,3 +330,17 @@ def test_folds_are_dealt_once_and_let_go(spark):
     spread = [r.score for r in scores.collect()]
     assert all(0.99 < s < 1 for s in spread)
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == held
+
+
+def test_neighbour_search_is_dealt_by_rows(spark, monkeypatch):
+    """Small rows in one input part must not become one task."""
+    monkeypatch.setattr(neighbors, "TASK_ROWS", 50)
+    seen = {}
+    for name in ("_in_cells", "_visits"):
+        plain = getattr(neighbors, name)
+        monkeypatch.setattr(neighbors, name, lambda df, *rest, n=name, f=plain: seen.update({n: df.rdd.getNumPartitions()}) or f(df, *rest))
+    train = spark.range(400).selectExpr("id AS key", "array(double(id * id)) AS x", "id AS y").coalesce(1)
+    test = spark.range(200).selectExpr("id AS key", "array(id * id + 0.25D) AS x").coalesce(1)
+    found = neighbors.nearest(train, test, 1, cell_rows=40).collect()
+    assert {r.test_key: r.train_key for r in found} == {i: i for i in range(200)}
+    assert seen == {"_in_cells": 9, "_visits": 5}
